@@ -143,3 +143,71 @@ def r(expr: str, places: int) -> str:
 __all__ = ["d", "case", "pollutant_daily", "weather_daily", "monthly_pollutant", "monthly_weather",
            "monthly_weather_long", "monthly_features", "grid", "with_ctes", "r",
            "sql_subindex", "sql_subindex_by_param"]
+
+
+# -- stages (mirrors aerocast.plans.stages) -------------------------------------
+
+def pollutant_long(name="pollutant_long") -> str:
+    return f"""
+{name} AS (SELECT param, state_code, year, month, max_value AS value FROM monthly_pollutant)"""
+
+
+def in_training(src: str) -> str:
+    return f"(SELECT * FROM {src} WHERE year >= {S.TRAIN_FIRST_YEAR} AND year <= {S.TRAIN_LAST_YEAR})"
+
+
+def weather_train(name="weather_train", truncate_label=False) -> str:
+    v = "CAST(CAST(value AS INTEGER) AS DOUBLE) AS value" if truncate_label else "value"
+    return f"""
+{name} AS (
+  SELECT variable, state_code, year, month, {v} FROM (
+    SELECT *, row_number() OVER (PARTITION BY variable, state_code ORDER BY year, month) AS rn
+    FROM {in_training("weather_long")}) WHERE rn <= {S.WEATHER_TRAINING_MONTHS}
+)"""
+
+
+def weather_forecast(name="weather_forecast") -> str:
+    from ..operators.linear import sql_ols2, sql_ols2_value
+    return f"""
+wfit AS ({sql_ols2("weather_train", ["variable", "state_code"])}),
+{name} AS (
+  SELECT f.variable, g.state_code, g.year, g.month, {sql_ols2_value("f", "g")} AS prediction
+  FROM grid g JOIN wfit f ON g.state_code = f.state_code
+)"""
+
+
+def pollutant_forecast(name="pollutant_forecast") -> str:
+    from ..operators.linear import sql_trend, sql_trend_value
+    return f"""
+pfit AS ({sql_trend(in_training("pollutant_long"), ["param", "state_code"])}),
+{name} AS (
+  SELECT f.param, g.state_code, g.year, g.month, {sql_trend_value(fit="f", grid="g")} AS prediction
+  FROM grid g JOIN pfit f ON g.state_code = f.state_code
+)"""
+
+
+def naive(src: str, name_col: str, name: str) -> str:
+    return f"""
+{name} AS (SELECT {name_col}, state_code, year + 1 AS year, month, CAST(value AS DOUBLE) AS prediction FROM {src})"""
+
+
+def chain(grid_name: str, long_name: str, name_col: str, value_col: str, columns: dict,
+          mode: str, keys=("state_code", "year", "month"), fill=0.0) -> str:
+    """SQL of the grid's outer chain (both D1 modes) over a long table of arms."""
+    arms, sel = [], []
+    for i, (n, c) in enumerate(columns.items()):
+        src = f"(SELECT {', '.join(keys)}, avg({value_col}) AS {c} FROM {long_name} WHERE {name_col} = '{n}' " \
+              f"GROUP BY {', '.join(keys)})" if mode == "merge" else \
+              f"(SELECT {', '.join(keys)}, {value_col} AS {c} FROM {long_name} WHERE {name_col} = '{n}')"
+        arms.append((f"a{i}", src, c))
+        sel.append(f"coalesce(a{i}.{c}, {d(fill)}) AS {c}" if fill is not None else f"a{i}.{c}")
+    if mode == "merge":
+        body = f"{grid_name} t" + "".join(f" FULL OUTER JOIN {src} {a} USING ({', '.join(keys)})"
+                                         for a, src, _ in arms)
+        keysel = ", ".join(keys)
+    else:
+        body = f"{grid_name} t" + "".join(
+            f" FULL OUTER JOIN {src} {a} ON " + " AND ".join(f"t.{k} = {a}.{k}" for k in keys)
+            for a, src, _ in arms)
+        keysel = ", ".join(f"t.{k} AS {k}" for k in keys)
+    return f"SELECT {keysel}, {', '.join(sel)} FROM {body}"

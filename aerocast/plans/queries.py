@@ -133,3 +133,115 @@ def q_aqi_monthly(spark, sf):
     m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf), STATE)
     return m.select("param", "state_code", "year", "month", "max_value",
                     aqi.subindex_by_param(F.col("max_value"), F.col("param")).alias("aqi"))
+
+
+# -- stages: top-k, linear forecasts, grid alignment ---------------------------------
+
+from ..operators import align, evaluate, index, topk  # noqa: E402
+from . import stages as ST  # noqa: E402
+
+_WL = Q.with_ctes(Q.weather_daily(), Q.monthly_weather_long())
+_PL = [Q.pollutant_daily(), Q.monthly_pollutant(), Q.pollutant_long()]
+_WF = [Q.weather_daily(), Q.monthly_weather_long(), Q.grid(), Q.weather_train(), Q.weather_forecast()]
+_PF = [*_PL, Q.grid(), Q.pollutant_forecast()]
+
+
+@register("first_60_months", _WL + f"""
+SELECT variable, state_code, year, month, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY variable, state_code ORDER BY year, month) AS rn
+  FROM weather_long) WHERE rn <= {S.WEATHER_TRAINING_MONTHS}""",
+          "O2: first 60 months per (variable, state) in (year, month) order")
+def q_first_60_months(spark, sf):
+    return topk.first_n_per_group(ST.weather_long(spark, sf), ["variable", "state_code"],
+                                  ["year", "month"], S.WEATHER_TRAINING_MONTHS)
+
+
+@register("forecast_linear_weather", Q.with_ctes(*_WF) + """
+SELECT variable, state_code, year, month, round(prediction, 6) AS prediction FROM weather_forecast""",
+          "C2 linear form (M1 features month, year): one closed-form fit per (variable, state)")
+def q_forecast_linear_weather(spark, sf):
+    return rounded(ST.weather_linear_forecast(spark, sf))
+
+
+@register("forecast_linear_pollutant", Q.with_ctes(*_PF) + """
+SELECT param, state_code, year, month, round(prediction, 6) AS prediction FROM pollutant_forecast""",
+          "C4 linear form: trend of monthly mean max value per (param, state)")
+def q_forecast_linear_pollutant(spark, sf):
+    return rounded(ST.pollutant_linear_forecast(spark, sf))
+
+
+_WA = [Q.weather_daily(), Q.monthly_weather_long(), Q.grid(), Q.naive("weather_long", "variable", "warms")]
+_PA = [*_PL, Q.grid(), Q.naive("pollutant_long", "param", "parms")]
+
+
+def _nullable_keys(df, keys=("state_code", "year", "month")):
+    """Reference mode yields null keys; as DOUBLE they convert alike from both engines."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in keys else F.col(c) for c in df.columns])
+
+
+def _sql_nullable_keys(sql, keys=("state_code", "year", "month")):
+    ks = ", ".join(f"CAST({k} AS DOUBLE) AS {k}" for k in keys)
+    return f"SELECT * REPLACE ({ks}) FROM ({sql})"
+
+
+def _grid_with_weather(spark, sf, mode):
+    return align.combine_long(X.grid(spark, sf), ST.weather_naive_arms(spark, sf), ["state_code", "year", "month"],
+                              "variable", "prediction", ST.WEATHER_ARM_COLUMNS, mode)
+
+
+def _combine(spark, sf, mode):
+    return align.combine_long(X.grid(spark, sf), ST.pollutant_naive_arms(spark, sf), ["state_code", "year", "month"],
+                              "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, mode)
+
+
+@register("grid_with_weather", Q.with_ctes(*_WA) + Q.chain("grid", "warms", "variable", "prediction",
+                                                             ST.WEATHER_ARM_COLUMNS, "merge"),
+          "C3 (J2, P8, F3), merge mode: grid + four weather forecast arms, keys coalesced, gaps 0")
+def q_grid_with_weather(spark, sf):
+    return _grid_with_weather(spark, sf, "merge")
+
+
+@register("grid_with_weather_reference", Q.with_ctes(*_WA) + _sql_nullable_keys(
+    Q.chain("grid", "warms", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "reference")),
+          "C3, reference mode (D1): grid keys only, unmatched arm rows keep null keys")
+def q_grid_with_weather_reference(spark, sf):
+    return _nullable_keys(_grid_with_weather(spark, sf, "reference"))
+
+
+@register("combine_forecasts", Q.with_ctes(*_PA) + Q.chain("grid", "parms", "param", "prediction",
+                                                             ST.POLLUTANT_ARM_COLUMNS, "merge"),
+          "C5 (J3, P8), merge mode: grid + six pollutant forecast arms")
+def q_combine_forecasts(spark, sf):
+    return _combine(spark, sf, "merge")
+
+
+@register("combine_forecasts_reference", Q.with_ctes(*_PA) + _sql_nullable_keys(
+    Q.chain("grid", "parms", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "reference")),
+          "C5, reference mode (D1)")
+def q_combine_forecasts_reference(spark, sf):
+    return _nullable_keys(_combine(spark, sf, "reference"))
+
+
+_AQI_COLS = ", ".join(
+    [f"{S.forecast_column(p)}" for p in S.POLLUTANTS]
+    + [f"{Q.sql_subindex(S.forecast_column(p), p)} AS {S.aqi_column(p)}" for p in S.POLLUTANTS])
+_GLOBAL = "greatest(" + ", ".join(S.aqi_column(p) for p in S.POLLUTANTS) + ")"
+
+
+@register("aqi_global", Q.with_ctes(*_PA) + f"""
+SELECT *, {_GLOBAL} AS global_aqi FROM (
+  SELECT state_code, year, month, {_AQI_COLS}
+  FROM ({Q.chain("grid", "parms", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge")}))""",
+          "C6 (F4, F5, A6): six sub-indices of the combined forecasts and their maximum")
+def q_aqi_global(spark, sf):
+    return index.air_quality_index(_combine(spark, sf, "merge"))
+
+
+@register("aqi_dominant", Q.with_ctes(*_PL) + f"""
+SELECT state_code, year, month, aqi AS global_aqi, param AS dominant_param FROM (
+  SELECT *, row_number() OVER (PARTITION BY state_code, year, month ORDER BY aqi DESC, param) AS rn
+  FROM (SELECT param, state_code, year, month, {Q.sql_subindex_by_param("value", "param")} AS aqi
+        FROM pollutant_long) WHERE aqi IS NOT NULL) WHERE rn = 1""",
+          "A6 long form: per state-month the maximum sub-index and its pollutant (ties: smallest code)")
+def q_aqi_dominant(spark, sf):
+    return index.dominant_pollutant(ST.pollutant_long(spark, sf), ["state_code", "year", "month"])

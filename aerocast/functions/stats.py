@@ -23,3 +23,23 @@ def exact_mean(col: Column | str, exact: bool = True) -> Column:
 
 def sql_exact_mean(expr: str) -> str:
     return f"(CAST(CAST(sum({expr}) AS VARCHAR) AS DOUBLE) / count({expr}))"
+
+
+def round_sig(col: Column | str, digits: int = 9) -> Column:
+    """Round to ``digits`` significant digits (for comparing large or tiny statistics).
+
+    Only exact powers of ten (10^n, n >= 0) are used as scale factors.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    k = F.floor(F.log10(F.abs(c)))
+    up, down = F.pow(F.lit(10.0), k), F.pow(F.lit(10.0), -k)
+    return (F.when(c == F.lit(0.0), F.lit(0.0))
+            .when(k >= 0, F.round(c / up, digits - 1) * up)
+            .otherwise(F.round(c * down, digits - 1) / down))
+
+
+def sql_round_sig(expr: str, digits: int = 9) -> str:
+    k = f"floor(log10(abs({expr})))"
+    return (f"(CASE WHEN {expr} = 0 THEN 0.0 "
+            f"WHEN {k} >= 0 THEN round({expr} / pow(10.0, {k}), {digits - 1}) * pow(10.0, {k}) "
+            f"ELSE round({expr} * pow(10.0, -{k}), {digits - 1}) / pow(10.0, -{k}) END)")

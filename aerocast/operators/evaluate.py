@@ -67,23 +67,21 @@ def best_model(mse: DataFrame, group_cols) -> DataFrame:
         F.min_by("model", order).alias("best_model"), F.min("mse").alias("best_mse"))
 
 
-def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols,
+def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols, name_cols=(),
                    value_col: str = "arithmetic_mean", pred_col: str = "prediction",
                    match_year: bool = False) -> DataFrame:
     """Observed means per (month, key) against forecasts, ``diff = predicted - observed``.
 
-    A4 averages the observed rows per (month, key), year included (``year_x``).
-    J4 joins on (key, month) only unless ``match_year`` (D17), keeping the
-    forecast's year as ``year_y``.
+    A4 averages the observed daily rows per (names, month, key), year included
+    (``year_x``). J4 joins on (names, key, month) -- not on the year unless
+    ``match_year`` (D17) -- keeping the forecast's year as ``year_y``.
     """
     obs = (observed_daily.withColumn("year", F.year("date_local")).withColumn("month", F.month("date_local"))
-           .groupBy("month", *key_cols)
+           .groupBy(*name_cols, "month", *key_cols)
            .agg(exact_mean(value_col).alias("observed"), F.avg(F.col("year").cast("double")).alias("year_x")))
-    fc = forecast.select(*key_cols, "month", F.col("year").alias("year_y"), F.col(pred_col).alias("predicted"))
-    on = ["month", *key_cols]
+    fc = forecast.select(*name_cols, *key_cols, "month", F.col("year").alias("year_y"),
+                         F.col(pred_col).alias("predicted"))
+    out = obs.join(fc, [*name_cols, "month", *key_cols])
     if match_year:
-        fc = fc.withColumn("_y", F.col("year_y").cast("double"))
-        obs = obs.withColumn("_y", F.col("year_x"))
-        on = [*on, "_y"]
-    out = obs.join(fc, on).drop("_y") if match_year else obs.join(fc, on)
+        out = out.where(F.col("year_x") == F.col("year_y").cast("double"))
     return out.withColumn("diff", F.col("predicted") - F.col("observed"))

@@ -245,3 +245,128 @@ SELECT state_code, year, month, aqi AS global_aqi, param AS dominant_param FROM
           "A6 long form: per state-month the maximum sub-index and its pollutant (ties: smallest code)")
 def q_aqi_dominant(spark, sf):
     return index.dominant_pollutant(ST.pollutant_long(spark, sf), ["state_code", "year", "month"])
+
+
+# -- evaluation, history, recency, end to end ------------------------------------
+
+from ..functions.stats import round_sig, sql_round_sig, sql_exact_mean  # noqa: E402
+from ..operators.linear import sql_trend, sql_trend_value  # noqa: E402
+
+TEST_YEAR = S.TRAIN_LAST_YEAR
+
+
+def _sql_candidates(src: str, name_col: str) -> str:
+    g = f"{name_col}, state_code"
+    return f"""
+ev_train AS (SELECT * FROM {src} WHERE year < {TEST_YEAR} AND year >= {S.TRAIN_FIRST_YEAR}),
+ev_test AS (SELECT {g}, year, month, CAST(value AS DOUBLE) AS label FROM {src} WHERE year = {TEST_YEAR}),
+ev_fit AS ({sql_trend("ev_train", [name_col, "state_code"])}),
+ev_preds AS (
+  SELECT t.{name_col}, t.state_code, t.year, t.month, {sql_trend_value(fit="f", grid="t")} AS prediction,
+         'linear' AS model
+  FROM ev_test t JOIN ev_fit f ON t.{name_col} = f.{name_col} AND t.state_code = f.state_code
+  UNION ALL
+  SELECT t.{name_col}, t.state_code, t.year, t.month, m.mean AS prediction, 'mean' AS model
+  FROM ev_test t JOIN (SELECT {g}, avg(CAST(value AS DOUBLE)) AS mean FROM ev_train GROUP BY {g}) m
+    ON t.{name_col} = m.{name_col} AND t.state_code = m.state_code
+  UNION ALL
+  SELECT {g}, year + 1 AS year, month, CAST(value AS DOUBLE) AS prediction, 'seasonal_naive' AS model
+  FROM ev_train WHERE year = {TEST_YEAR - 1}
+),
+ev_scored AS (SELECT t.*, p.prediction, p.model FROM ev_test t JOIN ev_preds p USING ({g}, year, month)),
+ev_mse AS (
+  SELECT {g}, model, avg((prediction - label) * (prediction - label)) AS mse, count(*) AS n_test
+  FROM ev_scored GROUP BY {g}, model
+)"""
+
+
+def _mse(spark, sf, long_df, name_col):
+    scored = evaluate.candidate_predictions(long_df, [name_col], ["state_code"], TEST_YEAR)
+    return evaluate.mse_by_model(scored, [name_col, "state_code"])
+
+
+@register("holdout_mse", _WL.rstrip("\n") + "," + _sql_candidates("weather_long", "variable") + f"""
+SELECT variable, state_code, model, {sql_round_sig("mse")} AS mse, n_test FROM ev_mse""",
+          "M7, A5: train 1996-1999, score 2000; mse of linear / mean / seasonal-naive per (variable, state)")
+def q_holdout_mse(spark, sf):
+    m = _mse(spark, sf, ST.weather_long(spark, sf), "variable")
+    return m.withColumn("mse", round_sig("mse"))
+
+
+@register("best_model", Q.with_ctes(*_PL).rstrip("\n") + "," + _sql_candidates("pollutant_long", "param") + f"""
+SELECT param, state_code, model AS best_model, {sql_round_sig("mse")} AS best_mse FROM (
+  SELECT *, row_number() OVER (PARTITION BY param, state_code ORDER BY mse, model) AS rn FROM ev_mse
+) WHERE rn = 1""",
+          "M6 / C9: the candidate with the smallest holdout mse per (param, state), ties by name")
+def q_best_model(spark, sf):
+    b = evaluate.best_model(_mse(spark, sf, ST.pollutant_long(spark, sf), "param"), ["param", "state_code"])
+    return b.withColumn("best_mse", round_sig("best_mse"))
+
+
+@register("forecast_error", Q.with_ctes(*_WF) + f"""
+SELECT variable, month, state_code, round(observed, 6) AS observed, year_x, year_y,
+       round(predicted, 6) AS predicted, round(predicted - observed, 6) AS diff
+FROM (SELECT variable, month, state_code, {sql_exact_mean("arithmetic_mean")} AS observed,
+             avg(CAST(year AS DOUBLE)) AS year_x
+      FROM (SELECT *, {Q.ym()} FROM weather_daily) WHERE year = {S.GRID_YEAR}
+      GROUP BY variable, month, state_code) o
+JOIN (SELECT variable, state_code, month, year AS year_y, prediction AS predicted FROM weather_forecast) f
+USING (variable, month, state_code)""",
+          "C8 (A4, J4, F6): grid-year observations against the weather forecasts, joined without the year")
+def q_forecast_error(spark, sf):
+    obs = X.weather_daily(spark, sf).where(F.year("date_local") == F.lit(S.GRID_YEAR))
+    out = evaluate.forecast_error(obs, ST.weather_linear_forecast(spark, sf), ["state_code"], ["variable"])
+    return rounded(out, cols=["observed", "predicted", "diff"])
+
+
+@register("history_and_forecast", Q.with_ctes(*_WF) + """
+SELECT variable, state_code, year, month, round(value, 6) AS value, 'history' AS kind FROM weather_long
+UNION ALL
+SELECT variable, state_code, year, month, round(prediction, 6) AS value, 'forecast' AS kind FROM weather_forecast""",
+          "C7 (U3): observed monthly series and forecasts in one table, union by name")
+def q_history_and_forecast(spark, sf):
+    wl = ST.weather_long(spark, sf)
+    fc = ST.weather_linear_forecast(spark, sf, wl=wl).withColumnRenamed("prediction", "value")
+    return rounded(align.history_and_forecast(wl, fc))
+
+
+RECENT_FROM = 1998
+
+
+@register("recent_training",
+          Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(),
+                      Q.monthly_features()) + f"""
+SELECT param, state_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features
+WHERE year >= {RECENT_FROM} AND year <= {S.TRAIN_LAST_YEAR}""",
+          "P10: pollutant training rows restricted to recent years (year >= min_year)")
+def q_recent_training(spark, sf):
+    f = monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), STATE)
+    return ST.in_training(f, RECENT_FROM)
+
+
+def end_to_end(spark, sf, keys=STATE):
+    """C1-C6 with the linear forms: monthly features -> weather and pollutant
+    forecasts -> grid with weather (C3) -> combined forecasts (C5) -> index (C6)."""
+    k = [*keys, "year", "month"]
+    g = X.grid(spark, sf, keys)
+    wf = ST.weather_linear_forecast(spark, sf, keys)
+    gw = align.combine_long(g, wf, k, "variable", "prediction", ST.WEATHER_ARM_COLUMNS)
+    pf = ST.pollutant_linear_forecast(spark, sf, keys)
+    comb = align.combine_long(g, pf, k, "param", "prediction", ST.POLLUTANT_ARM_COLUMNS)
+    return gw.join(index.air_quality_index(comb), k)
+
+
+@register("pipeline_end_to_end", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + f"""
+SELECT * FROM (
+  SELECT state_code, year, month, {", ".join(f"round({c}, 6) AS {c}" for c in _W)},
+         {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
+         {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
+                    for p in S.POLLUTANTS)},
+         round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
+           AS global_aqi
+  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge")}) gw
+  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge")}) pc
+  USING (state_code, year, month))""",
+          "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
+def q_pipeline_end_to_end(spark, sf):
+    return rounded(end_to_end(spark, sf))

@@ -370,3 +370,22 @@ SELECT * FROM (
           "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
 def q_pipeline_end_to_end(spark, sf):
     return rounded(end_to_end(spark, sf))
+
+
+# -- model forms: rows-only checks ------------------------------------------------------
+
+for _kind in ("gbt", "rf", "dt"):
+    def _make(kind):
+        def q(spark, sf):
+            return ST.model_pipeline(spark, sf, STATE, kind, "pooled")
+        q.__name__ = f"q_forecast_{kind}_pooled"
+        return q
+    register(f"forecast_{_kind}_pooled", None,
+             f"M1-M3 pooled {_kind}: one model per target over all states (state as a categorical "
+             "feature), full chain to the index")(_make(_kind))
+
+
+@register("forecast_gbt_per_region", None,
+          "M4, M5 parity form: one GBT pipeline per (target, state) on a bounded thread pool")
+def q_forecast_gbt_per_region(spark, sf):
+    return ST.model_pipeline(spark, sf, STATE, "gbt", "per_key")

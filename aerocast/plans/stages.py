@@ -68,3 +68,39 @@ def pollutant_naive_arms(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
 
 WEATHER_ARM_COLUMNS = dict(S.WEATHER_COLUMNS)
 POLLUTANT_ARM_COLUMNS = {p: S.forecast_column(p) for p in S.POLLUTANTS}
+
+
+# -- model forms (pyspark.ml) ---------------------------------------------------------
+
+def weather_model_forecast(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt",
+                           form: str = "pooled") -> DataFrame:
+    """C2 with a tree model (M1, M3, M4). The parity form truncates the label (D3)."""
+    from ..operators import forecast
+    train = weather_training(weather_long(spark, sf, keys), keys, truncate_label=(form == "per_key"))
+    fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast
+    return fn(train, X.grid(spark, sf, keys), "variable", S.WEATHER_VARIABLES, keys,
+              S.WEATHER_FEATURES, "value", kind)
+
+
+def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame, keys=STATE,
+                             kind: str = "gbt", form: str = "pooled") -> DataFrame:
+    """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score."""
+    from ..operators import align, forecast
+    k = [*keys, "year", "month"]
+    feats = monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys)
+    gw = align.combine_long(X.grid(spark, sf, keys), weather_fc, k, "variable", "prediction",
+                            WEATHER_ARM_COLUMNS)
+    fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast
+    return fn(feats, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind)
+
+
+def model_pipeline(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", form: str = "pooled") -> DataFrame:
+    """C1-C6 with model forecasts: weather -> grid with weather -> pollutants -> combine -> index."""
+    from ..operators import align, index
+    k = [*keys, "year", "month"]
+    g = X.grid(spark, sf, keys)
+    wf = weather_model_forecast(spark, sf, keys, kind, form)
+    gw = align.combine_long(g, wf, k, "variable", "prediction", WEATHER_ARM_COLUMNS)
+    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, form)
+    comb = align.combine_long(g, pf, k, "param", "prediction", POLLUTANT_ARM_COLUMNS)
+    return gw.join(index.air_quality_index(comb), k)

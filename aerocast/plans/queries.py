@@ -389,3 +389,84 @@ for _kind in ("gbt", "rf", "dt"):
           "M4, M5 parity form: one GBT pipeline per (target, state) on a bounded thread pool")
 def q_forecast_gbt_per_region(spark, sf):
     return ST.model_pipeline(spark, sf, STATE, "gbt", "per_key")
+
+
+# -- sources, sinks and the streaming form ---------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import readers, writers  # noqa: E402
+
+_MP_SQL = Q.with_ctes(Q.pollutant_daily(), Q.monthly_pollutant()) + f"""
+SELECT param, state_code, year, month, {", ".join(S.MEASURES)} FROM monthly_pollutant"""
+_MF_SQL = Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(),
+                      Q.monthly_features()) + f"""
+SELECT param, state_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features"""
+
+
+def _partition_values(spark, root: str, name: str) -> list[str]:
+    """Values of the ``name=`` partition directories one level below ``root``."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = set()
+    for st in fs.listStatus(p):
+        if st.isDirectory() and st.getPath().getName().startswith(f"{name}="):
+            for sub in fs.listStatus(st.getPath()):
+                n = sub.getPath().getName()
+                if sub.isDirectory() and n.startswith("year="):
+                    out.add(n.split("=", 1)[1])
+    return sorted(out)
+
+
+@register("union_years", _MP_SQL,
+          "U1, S1, S4: daily readings staged as param=/year= Parquet, read back as one multi-path "
+          "read of every year, then monthly means")
+def q_union_years(spark, sf):
+    root = scratch_path(spark, "daily_pollutant")
+    writers.stage_daily(X.pollutant_daily(spark, sf), root)
+    years = _partition_values(spark, root, "param")
+    daily = readers.read_years(spark, root, years)
+    return monthly.monthly_pollutant(daily, STATE)
+
+
+@register("csv_roundtrip", _MP_SQL,
+          "S1, S6, K1: daily readings written as CSV with the raw header names, read back typed "
+          "(try_cast, quarantine), monthly means")
+def q_csv_roundtrip(spark, sf):
+    root = scratch_path(spark, "daily_pollutant_csv")
+    writers.stage_daily(X.pollutant_daily(spark, sf), root, fmt="csv", header_names=True)
+    good, _bad = readers.read_daily_csv(spark, root, "pollutant")
+    return monthly.monthly_pollutant(good, STATE)
+
+
+UPSERT_CUTOFF = "1999-06-15"
+
+
+@register("upsert_monthly", _MF_SQL,
+          "K3, K4: keyed upsert of monthly features; a stale snapshot (data up to mid-June 1999) "
+          "is upserted with recomputed months from 1999 on, into a new version directory")
+def q_upsert_monthly(spark, sf):
+    pdaily, wdaily = X.pollutant_daily(spark, sf), X.weather_daily(spark, sf)
+    cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
+    stale = monthly.monthly_features(pdaily.where(cut), wdaily.where(cut), STATE)
+    fresh = monthly.monthly_features(pdaily, wdaily, STATE).where(F.col("year") >= F.lit(1999))
+    keys = ["param", "state_code", "year", "month"]
+    root = scratch_path(spark, "monthly_features_table")
+    schema = stale.schema
+    stale_ok, _ = writers.coerce(stale, schema, keys)
+    writers.upsert(spark, stale_ok, keys, root)
+    fresh_ok, _ = writers.coerce(fresh.select(*stale.columns), schema, keys)
+    path = writers.upsert(spark, fresh_ok, keys, root)
+    return spark.read.parquet(path)
+
+
+@register("monthly_pollutant_stream", _MP_SQL,
+          "C1's monthly means as a Structured Streaming aggregation over staged daily files "
+          "(exact running sums, complete mode, epoch tables)")
+def q_monthly_pollutant_stream(spark, sf):
+    from ..streaming import monthly as SM
+    root = scratch_path(spark, "daily_pollutant_stream_src")
+    writers.stage_daily(X.pollutant_daily(spark, sf), root)
+    out = scratch_path(spark, "monthly_pollutant_stream")
+    SM.monthly_pollutant_stream(spark, root, out, scratch_path(spark, "stream_checkpoint"))
+    return SM.latest_monthly(spark, out)

@@ -122,3 +122,8 @@ DAILY_CSV_COLUMNS = {
 
 KEYS_STATE = ("state_code",)
 KEYS_COUNTY = ("state_code", "county_code")
+
+
+def staged_daily_schema(base: T.StructType = POLLUTANT_DAILY) -> T.StructType:
+    """Schema of a daily table staged as ``param=/year=`` directories."""
+    return T.StructType([*base.fields, T.StructField("year", T.IntegerType())])

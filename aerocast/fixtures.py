@@ -52,21 +52,27 @@ def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey"), F.col("s_nationkey").alias("county_code"))
     sup = sup.join(_places(spark, sf_dir), "county_code")
 
-    # Exact decimal arithmetic: price (2 places) / 100000 * top, times (1 - discount).
-    param = lookup(F.concat(F.col("l_returnflag"), F.col("l_linestatus")), S.FLAG_TO_POLLUTANT)
-    top = lookup(param, {p: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) for p in S.POLLUTANTS})
-    price = F.col("l_extendedprice").cast("decimal(9,2)")
+    # Exact decimal arithmetic, kept within 18 digits so Spark computes on longs:
+    # max_value = price (9,2) * factor (8,8) with factor = top / 100000, exact;
+    # arithmetic_mean = max_value (14,10) * (1 - discount) (3,2).
+    flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    factor = lookup(flag, {f: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) * PRICE_FACTOR
+                           for f, p in S.FLAG_TO_POLLUTANT.items()}).cast("decimal(8,8)")
     keep = (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")).cast("decimal(3,2)")
-    max_value = (price * top.cast("decimal(7,3)") * F.lit(PRICE_FACTOR)).cast(S.MEASURE_TYPES["max_value"])
-    daily = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-             .select(param.alias("param"), "state_code", "county_code",
-                     F.to_date("l_shipdate").alias("date_local"),
-                     F.col("l_quantity").cast(S.MEASURE_TYPES["observation_count"]).alias("observation_count"),
-                     (F.lit(100).cast("decimal(3,0)") * keep)
-                     .cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
-                     max_value.alias("max_value"),
-                     F.col("l_linenumber").cast(S.MEASURE_TYPES["max_hour"]).alias("max_hour"),
-                     (max_value * keep).cast(S.MEASURE_TYPES["arithmetic_mean"]).alias("arithmetic_mean")))
+    base = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+            .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
+                    F.to_date("l_shipdate").alias("date_local"),
+                    F.col("l_quantity").cast(S.MEASURE_TYPES["observation_count"]).alias("observation_count"),
+                    (F.lit(100).cast("decimal(3,0)") * keep)
+                    .cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
+                    (F.col("l_extendedprice").cast("decimal(9,2)") * factor).cast("decimal(14,10)").alias("_mv"),
+                    F.col("l_linenumber").cast(S.MEASURE_TYPES["max_hour"]).alias("max_hour"),
+                    keep.alias("_keep")))
+    daily = base.select("param", "state_code", "county_code", "date_local", "observation_count",
+                        "observation_percent", F.col("_mv").cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
+                        "max_hour",
+                        (F.col("_mv") * F.col("_keep")).cast(S.MEASURE_TYPES["arithmetic_mean"])
+                        .alias("arithmetic_mean"))
     return daily.where(F.col("param").isNotNull())
 
 

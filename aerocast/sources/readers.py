@@ -52,7 +52,7 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
     if "year" in raw.columns:
         file_year = F.col("year").cast("int")
     else:
-        file_year = F.expr(f"try_cast(nullif(regexp_extract(_metadata.file_path, '{_FILE_CODE}', 2), '') AS INT)")
+        file_year = F.nullif(_code_from_path(raw, "year"), F.lit("")).try_cast("int")
     measures = S.MEASURES if kind == "pollutant" else ["arithmetic_mean"]
     types = S.MEASURE_TYPES if kind == "pollutant" else {"arithmetic_mean": S.WEATHER_MEASURE_TYPE}
     inv = {v: k for k, v in S.DAILY_CSV_COLUMNS.items()}

@@ -37,9 +37,33 @@ def lookup(col: Column, mapping: dict) -> Column:
     return out
 
 
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+
+
+def source_bytes(df: DataFrame) -> int | None:
+    """Total size of the files behind a file-source DataFrame (metadata only, no job)."""
+    spark = df.sparkSession
+    try:
+        conf = spark._jsc.hadoopConfiguration()
+        total = 0
+        for f in df.inputFiles():
+            p = spark._jvm.org.apache.hadoop.fs.Path(f)
+            total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        return total
+    except Exception:  # noqa: BLE001 - not a file source: size unknown
+        return None
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when the source files are provably small; otherwise
+    leave the strategy to Catalyst/AQE (sort-merge join with skew splitting)."""
+    n = source_bytes(df)
+    return F.broadcast(df) if n is not None and n <= max_bytes else df
+
+
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # 25 rows by definition of the dimension: a proven-small broadcast.
-    return F.broadcast(table(spark, sf_dir, "nation").select(
+    # The place dimension (25 nations in the driver's tables): broadcast behind a size check.
+    return bounded_broadcast(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("county_code"), F.col("n_regionkey").alias("state_code")))
 
 

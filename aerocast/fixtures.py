@@ -69,41 +69,42 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per reading: param, state_code, county_code, date_local, five measures."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+    firsts = sorted({f[0] for f in S.FLAG_TO_POLLUTANT})
+    seconds = sorted({f[1:] for f in S.FLAG_TO_POLLUTANT})
+    li = (table(spark, sf_dir, "lineitem")
+          .select("l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber",
+                  "l_returnflag", "l_linestatus", "l_shipdate")
+          .where(F.col("l_returnflag").isin(firsts) & F.col("l_linestatus").isin(seconds)))
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey"), F.col("s_nationkey").alias("county_code"))
     sup = sup.join(_places(spark, sf_dir), "county_code")
 
-    # Exact decimal arithmetic, kept within 18 digits so Spark computes on longs:
-    # max_value = price (9,2) * factor (8,8) with factor = top / 100000, exact;
-    # arithmetic_mean = max_value (14,10) * (1 - discount) (3,2).
+    # Exact decimal arithmetic from integers (cents, percent kept), never from a
+    # double-to-decimal cast: max_value = cents * top / 10^7 and
+    # arithmetic_mean = cents * kept% * top / 10^9, with exact per-pollutant factors.
     flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
-    factor = lookup(flag, {f: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) * PRICE_FACTOR
-                           for f, p in S.FLAG_TO_POLLUTANT.items()}).cast("decimal(8,8)")
-    keep = (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")).cast("decimal(3,2)")
-    base = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-            .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
-                    F.to_date("l_shipdate").alias("date_local"),
-                    F.col("l_quantity").cast(S.MEASURE_TYPES["observation_count"]).alias("observation_count"),
-                    (F.lit(100).cast("decimal(3,0)") * keep)
-                    .cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
-                    (F.col("l_extendedprice").cast("decimal(9,2)") * factor).cast("decimal(14,10)").alias("_mv"),
-                    F.col("l_linenumber").cast(S.MEASURE_TYPES["max_hour"]).alias("max_hour"),
-                    keep.alias("_keep")))
-    daily = base.select("param", "state_code", "county_code", "date_local", "observation_count",
-                        "observation_percent", F.col("_mv").cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
-                        "max_hour",
-                        (F.col("_mv") * F.col("_keep")).cast(S.MEASURE_TYPES["arithmetic_mean"])
-                        .alias("arithmetic_mean"))
+    top = {f: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) for f, p in S.FLAG_TO_POLLUTANT.items()}
+    f10 = lookup(flag, {f: t * PRICE_FACTOR / 100 for f, t in top.items()}).cast("decimal(10,10)")
+    f12 = lookup(flag, {f: t * PRICE_FACTOR / 10000 for f, t in top.items()}).cast("decimal(12,12)")
+    cents = F.rint(F.col("l_extendedprice") * F.lit(100.0)).cast("long").cast("decimal(10,0)")
+    kept = F.lit(100) - F.rint(F.col("l_discount") * F.lit(100.0)).cast("int")
+    daily = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+             .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
+                     F.to_date("l_shipdate").alias("date_local"),
+                     F.rint(F.col("l_quantity")).cast("int").alias("observation_count"),
+                     kept.alias("observation_percent"),
+                     (cents * f10).cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
+                     F.col("l_linenumber").cast("int").alias("max_hour"),
+                     (cents * kept.cast("decimal(3,0)") * f12).cast(S.MEASURE_TYPES["arithmetic_mean"])
+                     .alias("arithmetic_mean")))
     return daily.where(F.col("param").isNotNull())
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per reading: variable, state_code, county_code, date_local, arithmetic_mean."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = (table(spark, sf_dir, "orders")
+              .select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+              .where(F.col("o_orderpriority").isin(list(S.PRIORITY_TO_VARIABLE))))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey"), F.col("c_nationkey").alias("county_code"))
     cust = cust.join(_places(spark, sf_dir), "county_code")

@@ -34,7 +34,7 @@ pd_raw AS (
          CAST(l.l_shipdate AS DATE) AS date_local,
          l.l_quantity, CAST(l.l_extendedprice AS DECIMAL(9,2)) AS price,
          CAST(CAST(1 AS DECIMAL(3,2)) - CAST(l.l_discount AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS keep,
-         l.l_linenumber
+         l.l_discount, l.l_linenumber
   FROM lineitem l
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
@@ -45,10 +45,10 @@ pd_mv AS (
 ),
 pollutant_daily AS (
   SELECT param, state_code, county_code, date_local,
-         CAST(l_quantity AS {t["observation_count"]}) AS observation_count,
-         CAST(CAST(100 AS DECIMAL(3,0)) * keep AS {t["observation_percent"]}) AS observation_percent,
+         CAST(round(l_quantity) AS INTEGER) AS observation_count,
+         100 - CAST(round(l_discount * 100.0e0) AS INTEGER) AS observation_percent,
          max_value,
-         CAST(l_linenumber AS {t["max_hour"]}) AS max_hour,
+         CAST(l_linenumber AS INTEGER) AS max_hour,
          CAST(max_value * keep AS {t["arithmetic_mean"]}) AS arithmetic_mean
   FROM pd_mv
 )"""

@@ -76,13 +76,14 @@ def forecast_column(param: str) -> str:
 
 MEASURES = ["observation_count", "observation_percent", "max_value", "max_hour", "arithmetic_mean"]
 
-# Daily readings are exact decimals (as written in the source files); monthly
-# means are computed from exact sums and leave as double.
+# Daily readings are exact: counts, percentages and hours are integers,
+# concentrations exact decimals (as written in the source files). Monthly means
+# are computed from exact sums and leave as double.
 MEASURE_TYPES = {
-    "observation_count": T.DecimalType(18, 2),
-    "observation_percent": T.DecimalType(18, 2),
+    "observation_count": T.IntegerType(),
+    "observation_percent": T.IntegerType(),
     "max_value": T.DecimalType(18, 10),
-    "max_hour": T.DecimalType(18, 2),
+    "max_hour": T.IntegerType(),
     "arithmetic_mean": T.DecimalType(18, 12),
 }
 WEATHER_MEASURE_TYPE = T.DecimalType(18, 6)

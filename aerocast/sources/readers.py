@@ -24,6 +24,8 @@ _FILE_CODE = r"daily_([A-Za-z0-9_]+?)_(\d{4})\.csv"
 
 
 def _num(raw: str, t: T.DataType) -> Column:
+    if isinstance(t, T.IntegralType):  # "24" and "24.0" both read as 24
+        return F.expr(f"try_cast(try_cast(`{raw}` AS DECIMAL(38,6)) AS {t.simpleString()})")
     return F.expr(f"try_cast(`{raw}` AS {t.simpleString()})")
 
 

@@ -23,7 +23,7 @@ def D(x):
 
 
 def _p(param, st, day, v):
-    return (param, st, st * 10, day, D(1), D(90), D(v), D(3), D(v / 2))
+    return (param, st, st * 10, day, 1, 90, D(v), 3, D(v / 2))
 
 
 def test_monthly_means_unweighted(spark):

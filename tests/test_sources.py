@@ -28,8 +28,8 @@ def test_daily_csv_code_and_year_from_file_name_and_quarantine(spark, tmp_path):
 
 def test_staged_csv_roundtrip_is_exact(spark, tmp_path):
     from decimal import Decimal
-    rows = [("42101", 1, 10, dt.date(1999, 5, d), Decimal("1.00"), Decimal("95.00"), Decimal("12.3456789012"),
-             Decimal("3.00"), Decimal("11.728395110000")) for d in (1, 2)]
+    rows = [("42101", 1, 10, dt.date(1999, 5, d), 1, 95, Decimal("12.3456789012"),
+             3, Decimal("11.728395110000")) for d in (1, 2)]
     daily = spark.createDataFrame(rows, S.POLLUTANT_DAILY)
     root = str(tmp_path / "staged")
     writers.stage_daily(daily, root, fmt="csv", header_names=True)
@@ -47,7 +47,8 @@ def test_grid_csv_header_is_honoured(spark, tmp_path):
 
 def test_read_years_opens_only_listed_partitions(spark, tmp_path):
     from decimal import Decimal
-    rows = [(p, 1, 10, dt.date(y, 1, 1), *[Decimal("1")] * 5) for p in ("42101", "44201") for y in (1998, 1999, 2000)]
+    rows = [(p, 1, 10, dt.date(y, 1, 1), 1, 1, Decimal("1"), 1, Decimal("1"))
+            for p in ("42101", "44201") for y in (1998, 1999, 2000)]
     root = str(tmp_path / "parts")
     writers.stage_daily(spark.createDataFrame(rows, S.POLLUTANT_DAILY), root)
     got = readers.read_years(spark, root, [1999, 2000], params=["42101"])

@@ -39,6 +39,7 @@ def round_sig(col: Column | str, digits: int = 9) -> Column:
 
 
 def sql_round_sig(expr: str, digits: int = 9) -> str:
+    expr = f"({expr})"
     k = f"floor(log10(abs({expr})))"
     return (f"(CASE WHEN {expr} = 0 THEN 0.0 "
             f"WHEN {k} >= 0 THEN round({expr} / pow(10.0, {k}), {digits - 1}) * pow(10.0, {k}) "

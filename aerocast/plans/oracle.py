@@ -147,48 +147,59 @@ __all__ = ["d", "case", "pollutant_daily", "weather_daily", "monthly_pollutant",
 
 # -- stages (mirrors aerocast.plans.stages) -------------------------------------
 
-def pollutant_long(name="pollutant_long") -> str:
+STATE = ("state_code",)
+
+
+def pollutant_long(name="pollutant_long", keys=STATE, source="monthly_pollutant") -> str:
     return f"""
-{name} AS (SELECT param, state_code, year, month, max_value AS value FROM monthly_pollutant)"""
+{name} AS (SELECT param, {", ".join(keys)}, year, month, max_value AS value FROM {source})"""
 
 
 def in_training(src: str) -> str:
     return f"(SELECT * FROM {src} WHERE year >= {S.TRAIN_FIRST_YEAR} AND year <= {S.TRAIN_LAST_YEAR})"
 
 
-def weather_train(name="weather_train", truncate_label=False) -> str:
+def weather_train(name="weather_train", truncate_label=False, keys=STATE, source="weather_long") -> str:
     v = "CAST(CAST(value AS INTEGER) AS DOUBLE) AS value" if truncate_label else "value"
+    k = ", ".join(keys)
     return f"""
 {name} AS (
-  SELECT variable, state_code, year, month, {v} FROM (
-    SELECT *, row_number() OVER (PARTITION BY variable, state_code ORDER BY year, month) AS rn
-    FROM {in_training("weather_long")}) WHERE rn <= {S.WEATHER_TRAINING_MONTHS}
+  SELECT variable, {k}, year, month, {v} FROM (
+    SELECT *, row_number() OVER (PARTITION BY variable, {k} ORDER BY year, month) AS rn
+    FROM {in_training(source)}) WHERE rn <= {S.WEATHER_TRAINING_MONTHS}
 )"""
 
 
-def weather_forecast(name="weather_forecast") -> str:
+def _on(keys, a="g", b="f") -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+
+
+def weather_forecast(name="weather_forecast", keys=STATE, train="weather_train", grid_name="grid") -> str:
     from ..operators.linear import sql_ols2, sql_ols2_value
+    gk = ", ".join(f"g.{k}" for k in keys)
     return f"""
-wfit AS ({sql_ols2("weather_train", ["variable", "state_code"])}),
+wfit_{name} AS ({sql_ols2(train, ["variable", *keys])}),
 {name} AS (
-  SELECT f.variable, g.state_code, g.year, g.month, {sql_ols2_value("f", "g")} AS prediction
-  FROM grid g JOIN wfit f ON g.state_code = f.state_code
+  SELECT f.variable, {gk}, g.year, g.month, {sql_ols2_value("f", "g")} AS prediction
+  FROM {grid_name} g JOIN wfit_{name} f ON {_on(keys)}
 )"""
 
 
-def pollutant_forecast(name="pollutant_forecast") -> str:
+def pollutant_forecast(name="pollutant_forecast", keys=STATE, source="pollutant_long", grid_name="grid") -> str:
     from ..operators.linear import sql_trend, sql_trend_value
+    gk = ", ".join(f"g.{k}" for k in keys)
     return f"""
-pfit AS ({sql_trend(in_training("pollutant_long"), ["param", "state_code"])}),
+pfit_{name} AS ({sql_trend(in_training(source), ["param", *keys])}),
 {name} AS (
-  SELECT f.param, g.state_code, g.year, g.month, {sql_trend_value(fit="f", grid="g")} AS prediction
-  FROM grid g JOIN pfit f ON g.state_code = f.state_code
+  SELECT f.param, {gk}, g.year, g.month, {sql_trend_value(fit="f", grid="g")} AS prediction
+  FROM {grid_name} g JOIN pfit_{name} f ON {_on(keys)}
 )"""
 
 
-def naive(src: str, name_col: str, name: str) -> str:
+def naive(src: str, name_col: str, name: str, keys=STATE) -> str:
     return f"""
-{name} AS (SELECT {name_col}, state_code, year + 1 AS year, month, CAST(value AS DOUBLE) AS prediction FROM {src})"""
+{name} AS (SELECT {name_col}, {", ".join(keys)}, year + 1 AS year, month, CAST(value AS DOUBLE) AS prediction
+           FROM {src})"""
 
 
 def chain(grid_name: str, long_name: str, name_col: str, value_col: str, columns: dict,

@@ -57,6 +57,19 @@ def sql_rounded(cols, places: int = AGG_PLACES) -> str:
     return ", ".join(f"round({c}, {places}) AS {c}" for c in cols)
 
 
+SIG = 9  # significant digits kept for fitted values of large magnitude (weather ~1e5)
+
+
+def sig(df: DataFrame, cols) -> DataFrame:
+    from ..functions.stats import round_sig
+    return df.select(*[round_sig(F.col(c), SIG).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def sql_sig(expr: str) -> str:
+    from ..functions.stats import sql_round_sig
+    return sql_round_sig(expr, SIG)
+
+
 # -- C1 pieces ---------------------------------------------------------------
 
 @register("monthly_pollutant", Q.with_ctes(Q.pollutant_daily(), Q.monthly_pollutant()) + f"""
@@ -156,11 +169,11 @@ def q_first_60_months(spark, sf):
                                   ["year", "month"], S.WEATHER_TRAINING_MONTHS)
 
 
-@register("forecast_linear_weather", Q.with_ctes(*_WF) + """
-SELECT variable, state_code, year, month, round(prediction, 6) AS prediction FROM weather_forecast""",
+@register("forecast_linear_weather", Q.with_ctes(*_WF) + f"""
+SELECT variable, state_code, year, month, {sql_sig("prediction")} AS prediction FROM weather_forecast""",
           "C2 linear form (M1 features month, year): one closed-form fit per (variable, state)")
 def q_forecast_linear_weather(spark, sf):
-    return rounded(ST.weather_linear_forecast(spark, sf))
+    return sig(ST.weather_linear_forecast(spark, sf), ["prediction"])
 
 
 @register("forecast_linear_pollutant", Q.with_ctes(*_PF) + """
@@ -304,8 +317,8 @@ def q_best_model(spark, sf):
 
 
 @register("forecast_error", Q.with_ctes(*_WF) + f"""
-SELECT variable, month, state_code, round(observed, 6) AS observed, year_x, year_y,
-       round(predicted, 6) AS predicted, round(predicted - observed, 6) AS diff
+SELECT variable, month, state_code, observed, year_x, year_y,
+       {sql_sig("predicted")} AS predicted, {sql_sig("predicted - observed")} AS diff
 FROM (SELECT variable, month, state_code, {sql_exact_mean("arithmetic_mean")} AS observed,
              avg(CAST(year AS DOUBLE)) AS year_x
       FROM (SELECT *, {Q.ym()} FROM weather_daily) WHERE year = {S.GRID_YEAR}
@@ -316,18 +329,18 @@ USING (variable, month, state_code)""",
 def q_forecast_error(spark, sf):
     obs = X.weather_daily(spark, sf).where(F.year("date_local") == F.lit(S.GRID_YEAR))
     out = evaluate.forecast_error(obs, ST.weather_linear_forecast(spark, sf), ["state_code"], ["variable"])
-    return rounded(out, cols=["observed", "predicted", "diff"])
+    return sig(out, ["predicted", "diff"])
 
 
-@register("history_and_forecast", Q.with_ctes(*_WF) + """
-SELECT variable, state_code, year, month, round(value, 6) AS value, 'history' AS kind FROM weather_long
+@register("history_and_forecast", Q.with_ctes(*_WF) + f"""
+SELECT variable, state_code, year, month, value, 'history' AS kind FROM weather_long
 UNION ALL
-SELECT variable, state_code, year, month, round(prediction, 6) AS value, 'forecast' AS kind FROM weather_forecast""",
+SELECT variable, state_code, year, month, {sql_sig("prediction")} AS value, 'forecast' AS kind FROM weather_forecast""",
           "C7 (U3): observed monthly series and forecasts in one table, union by name")
 def q_history_and_forecast(spark, sf):
     wl = ST.weather_long(spark, sf)
-    fc = ST.weather_linear_forecast(spark, sf, wl=wl).withColumnRenamed("prediction", "value")
-    return rounded(align.history_and_forecast(wl, fc))
+    fc = sig(ST.weather_linear_forecast(spark, sf, wl=wl), ["prediction"]).withColumnRenamed("prediction", "value")
+    return align.history_and_forecast(wl, fc)
 
 
 RECENT_FROM = 1998
@@ -358,7 +371,7 @@ def end_to_end(spark, sf, keys=STATE):
 
 @register("pipeline_end_to_end", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + f"""
 SELECT * FROM (
-  SELECT state_code, year, month, {", ".join(f"round({c}, 6) AS {c}" for c in _W)},
+  SELECT state_code, year, month, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
          {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
          {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
                     for p in S.POLLUTANTS)},
@@ -369,7 +382,8 @@ SELECT * FROM (
   USING (state_code, year, month))""",
           "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
 def q_pipeline_end_to_end(spark, sf):
-    return rounded(end_to_end(spark, sf))
+    out = end_to_end(spark, sf)
+    return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
 
 
 # -- model forms: rows-only checks ------------------------------------------------------
@@ -470,3 +484,54 @@ def q_monthly_pollutant_stream(spark, sf):
     out = scratch_path(spark, "monthly_pollutant_stream")
     SM.monthly_pollutant_stream(spark, root, out, scratch_path(spark, "stream_checkpoint"))
     return SM.latest_monthly(spark, out)
+
+
+# -- county-level variants (state, county key over every state) ---------------------
+
+_KC = (*COUNTY, "year", "month")
+_WF_C = [Q.weather_daily(), Q.monthly_weather_long(COUNTY), Q.grid(COUNTY), Q.weather_train(keys=COUNTY),
+         Q.weather_forecast(keys=COUNTY)]
+_PL_C = [Q.pollutant_daily(), Q.monthly_pollutant(COUNTY), Q.pollutant_long(keys=COUNTY)]
+
+
+@register("forecast_linear_weather_county", Q.with_ctes(*_WF_C) + f"""
+SELECT variable, state_code, county_code, year, month, {sql_sig("prediction")} AS prediction FROM weather_forecast""",
+          "C2 linear form per (variable, state, county)")
+def q_forecast_linear_weather_county(spark, sf):
+    return sig(ST.weather_linear_forecast(spark, sf, COUNTY), ["prediction"])
+
+
+@register("forecast_linear_pollutant_county", Q.with_ctes(*_PL_C, Q.grid(COUNTY), Q.pollutant_forecast(keys=COUNTY))
+          + """
+SELECT param, state_code, county_code, year, month, round(prediction, 6) AS prediction FROM pollutant_forecast""",
+          "C4 linear form per (param, state, county)")
+def q_forecast_linear_pollutant_county(spark, sf):
+    return rounded(ST.pollutant_linear_forecast(spark, sf, COUNTY))
+
+
+@register("combine_forecasts_county",
+          Q.with_ctes(*_PL_C, Q.grid(COUNTY), Q.naive("pollutant_long", "param", "parms", COUNTY))
+          + Q.chain("grid", "parms", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", _KC),
+          "C5 county variant (merge mode)")
+def q_combine_forecasts_county(spark, sf):
+    arms = ST.pollutant_naive_arms(spark, sf, COUNTY)
+    return align.combine_long(X.grid(spark, sf, COUNTY), arms, list(_KC), "param", "prediction",
+                              ST.POLLUTANT_ARM_COLUMNS)
+
+
+@register("pipeline_end_to_end_county",
+          Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + f"""
+SELECT * FROM (
+  SELECT state_code, county_code, year, month, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
+         {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
+         {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
+                    for p in S.POLLUTANTS)},
+         round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
+           AS global_aqi
+  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge", _KC)}) gw
+  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", _KC)}) pc
+  USING (state_code, county_code, year, month))""",
+          "C1-C6 end to end at county level (linear forms)")
+def q_pipeline_end_to_end_county(spark, sf):
+    out = end_to_end(spark, sf, COUNTY)
+    return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)

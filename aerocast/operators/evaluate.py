@@ -69,7 +69,7 @@ def best_model(mse: DataFrame, group_cols) -> DataFrame:
 
 def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols, name_cols=(),
                    value_col: str = "arithmetic_mean", pred_col: str = "prediction",
-                   match_year: bool = False) -> DataFrame:
+                   match_year: bool = False, exact: bool = True) -> DataFrame:
     """Observed means per (month, key) against forecasts, ``diff = predicted - observed``.
 
     A4 averages the observed daily rows per (names, month, key), year included
@@ -78,10 +78,38 @@ def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols, nam
     """
     obs = (observed_daily.withColumn("year", F.year("date_local")).withColumn("month", F.month("date_local"))
            .groupBy(*name_cols, "month", *key_cols)
-           .agg(exact_mean(value_col).alias("observed"), F.avg(F.col("year").cast("double")).alias("year_x")))
+           .agg(exact_mean(value_col, exact).alias("observed"), F.avg(F.col("year").cast("double")).alias("year_x")))
     fc = forecast.select(*name_cols, *key_cols, "month", F.col("year").alias("year_y"),
                          F.col(pred_col).alias("predicted"))
     out = obs.join(fc, [*name_cols, "month", *key_cols])
     if match_year:
         out = out.where(F.col("year_x") == F.col("year_y").cast("double"))
     return out.withColumn("diff", F.col("predicted") - F.col("observed"))
+
+
+def observed_daily_index(pollutant_daily: DataFrame, key_cols) -> DataFrame:
+    """Observed daily index per (key, date): the largest sub-index of that day's readings."""
+    from ..functions.aqi import subindex_by_param
+    scored = pollutant_daily.select(*key_cols, "date_local",
+                                    subindex_by_param(F.col("max_value").cast("double"), F.col("param")).alias("aqi"))
+    return scored.groupBy(*key_cols, "date_local").agg(F.max("aqi").alias("aqi"))
+
+
+def compare_models(train: DataFrame, test: DataFrame, name_col: str, names, key_cols, feature_cols,
+                   kinds=("linear", "rf", "dt", "gbt"), label_col: str = "value") -> DataFrame:
+    """C9 with model candidates: pooled fits of each kind on ``train``, scored
+    on ``test``; mse per (name, model) and the winner per name."""
+    from . import forecast
+    feats = [c for c in feature_cols if c not in (*key_cols, "year", "month")]
+    grid = test.select(*key_cols, "year", "month", *feats).distinct()  # one row per scored point
+    scored = []
+    for kind in kinds:
+        if kind == "linear":
+            p = forecast.pooled_linear_forecast(train, grid, name_col, names, key_cols, feature_cols, label_col)
+        else:
+            p = forecast.pooled_forecast(train, grid, name_col, names, key_cols, feature_cols, label_col, kind)
+        scored.append(p.withColumn("model", F.lit(kind)))
+    preds = reduce(DataFrame.unionByName, scored)
+    lab = test.select(name_col, *key_cols, "year", "month", F.col(label_col).cast("double").alias("label"))
+    mse = mse_by_model(preds.join(lab, [name_col, *key_cols, "year", "month"]), [name_col])
+    return mse.join(best_model(mse, [name_col]), [name_col])

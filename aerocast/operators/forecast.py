@@ -133,3 +133,30 @@ def per_key_forecast(train: DataFrame, score: DataFrame, name_col: str, names, k
             parts = [p for p in pool.map(fit_one, jobs[i:i + batch])]
             reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("append").parquet(out_path)
     return spark.read.parquet(out_path)
+
+
+def pooled_linear_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
+                           label_col: str = "value", pred_col: str = "prediction") -> DataFrame:
+    """The latent LinearRegression candidate: one OLS per name over every key,
+    the key one-hot encoded (a per-key intercept)."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    train = stable(train.select(name_col, *key_cols, *[c for c in feature_cols if c not in key_cols],
+                                F.col(label_col).cast("double").alias("_label")).dropna())
+    feats = [c for c in feature_cols if c not in key_cols]
+    score = stable(score)
+
+    def fit_one(n):
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])
+        t = train.where(F.col(name_col) == F.lit(n)).withColumn("_key", key)
+        s = score.withColumn("_key", key)
+        pipe = Pipeline(stages=[
+            StringIndexer(inputCol="_key", outputCol="_key_ix", handleInvalid="keep"),
+            OneHotEncoder(inputCol="_key_ix", outputCol="_key_oh", handleInvalid="keep"),
+            VectorAssembler(inputCols=["_key_oh", *feats], outputCol="features"),
+            estimator("linear", "_label", pred_col)])
+        return (pipe.fit(t).transform(s)
+                .select(F.lit(n).alias(name_col), *key_cols, "year", "month", F.col(pred_col).cast("double")))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(6, len(names)))) as pool:
+        parts = list(pool.map(fit_one, names))
+    return reduce(DataFrame.unionByName, parts)

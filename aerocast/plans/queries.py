@@ -369,17 +369,22 @@ def end_to_end(spark, sf, keys=STATE):
     return gw.join(index.air_quality_index(comb), k)
 
 
-@register("pipeline_end_to_end", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + f"""
+def _e2e_select(keys=STATE) -> str:
+    kc = (*keys, "year", "month")
+    return f"""
 SELECT * FROM (
-  SELECT state_code, year, month, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
+  SELECT {", ".join(kc)}, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
          {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
          {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
                     for p in S.POLLUTANTS)},
          round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
            AS global_aqi
-  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge")}) gw
-  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge")}) pc
-  USING (state_code, year, month))""",
+  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge", kc)}) gw
+  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", kc)}) pc
+  USING ({", ".join(kc)}))"""
+
+
+@register("pipeline_end_to_end", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + _e2e_select(),
           "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
 def q_pipeline_end_to_end(spark, sf):
     out = end_to_end(spark, sf)
@@ -520,18 +525,42 @@ def q_combine_forecasts_county(spark, sf):
 
 
 @register("pipeline_end_to_end_county",
-          Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + f"""
-SELECT * FROM (
-  SELECT state_code, county_code, year, month, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
-         {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
-         {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
-                    for p in S.POLLUTANTS)},
-         round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
-           AS global_aqi
-  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge", _KC)}) gw
-  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", _KC)}) pc
-  USING (state_code, county_code, year, month))""",
+          Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + _e2e_select(COUNTY),
           "C1-C6 end to end at county level (linear forms)")
 def q_pipeline_end_to_end_county(spark, sf):
     out = end_to_end(spark, sf, COUNTY)
     return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
+
+
+
+# -- latent reports: index forecast error, model comparison ---------------------------
+
+@register("aqi_forecast_error", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()).rstrip("\n") + f""",
+e2e AS ({_e2e_select()}),
+obs_day AS (
+  SELECT state_code, date_local, max({Q.sql_subindex_by_param("CAST(max_value AS DOUBLE)", "param")}) AS aqi
+  FROM pollutant_daily GROUP BY state_code, date_local),
+obs AS (
+  SELECT month, state_code, avg(aqi) AS observed, avg(CAST(year AS DOUBLE)) AS year_x
+  FROM (SELECT *, {Q.ym()} FROM obs_day) WHERE year = {S.GRID_YEAR} GROUP BY month, state_code)
+SELECT month, state_code, round(observed, 6) AS observed, year_x, year AS year_y,
+       global_aqi AS predicted, round(global_aqi - observed, 6) AS diff
+FROM obs JOIN e2e USING (month, state_code)""",
+          "C8 for the index (latent): observed daily index per state (largest sub-index of the day), "
+          "monthly means of the grid year against the forecast global index")
+def q_aqi_forecast_error(spark, sf):
+    obs = evaluate.observed_daily_index(X.pollutant_daily(spark, sf), ["state_code"])
+    obs = obs.where(F.year("date_local") == F.lit(S.GRID_YEAR))
+    fc = q_pipeline_end_to_end(spark, sf)
+    out = evaluate.forecast_error(obs, fc, ["state_code"], value_col="aqi", pred_col="global_aqi", exact=False)
+    return rounded(out, cols=["observed", "diff"])
+
+
+@register("compare_models", None,
+          "C9 / M6 with the model candidates (linear with per-state intercepts, random forest, decision "
+          "tree, GBT): pooled fits on 1996-1999, mse on 2000, winner per weather variable")
+def q_compare_models(spark, sf):
+    wl = ST.weather_long(spark, sf)
+    train, test = evaluate.holdout(wl, TEST_YEAR, S.TRAIN_FIRST_YEAR)
+    return evaluate.compare_models(train, test, "variable", S.WEATHER_VARIABLES, ["state_code"],
+                                   S.WEATHER_FEATURES)

@@ -564,3 +564,22 @@ def q_compare_models(spark, sf):
     train, test = evaluate.holdout(wl, TEST_YEAR, S.TRAIN_FIRST_YEAR)
     return evaluate.compare_models(train, test, "variable", S.WEATHER_VARIABLES, ["state_code"],
                                    S.WEATHER_FEATURES)
+
+
+@register("pipeline_staged",
+          Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(),
+                      Q.monthly_features(), Q.pollutant_long(source="monthly_features"), Q.grid(),
+                      Q.pollutant_forecast()) + f"""
+SELECT state_code, year, month,
+       {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
+       {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
+                  for p in S.POLLUTANTS)},
+       round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
+         AS global_aqi
+FROM ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge")})""",
+          "Staged application (plans.pipeline): every stage published as a versioned table, later stages "
+          "read the monthly tables back; result = the published index table")
+def q_pipeline_staged(spark, sf):
+    from . import pipeline
+    tables = pipeline.run(spark, sf, scratch_path(spark, "warehouse"))
+    return rounded(tables["air_quality_index"])

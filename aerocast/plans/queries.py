@@ -316,7 +316,7 @@ def q_best_model(spark, sf):
     return b.withColumn("best_mse", round_sig("best_mse"))
 
 
-@register("forecast_error", Q.with_ctes(*_WF) + f"""
+_FE_SQL = Q.with_ctes(*_WF) + f"""
 SELECT variable, month, state_code, observed, year_x, year_y,
        {sql_sig("predicted")} AS predicted, {sql_sig("predicted - observed")} AS diff
 FROM (SELECT variable, month, state_code, {sql_exact_mean("arithmetic_mean")} AS observed,
@@ -324,7 +324,10 @@ FROM (SELECT variable, month, state_code, {sql_exact_mean("arithmetic_mean")} AS
       FROM (SELECT *, {Q.ym()} FROM weather_daily) WHERE year = {S.GRID_YEAR}
       GROUP BY variable, month, state_code) o
 JOIN (SELECT variable, state_code, month, year AS year_y, prediction AS predicted FROM weather_forecast) f
-USING (variable, month, state_code)""",
+USING (variable, month, state_code)"""
+
+
+@register("forecast_error", _FE_SQL,
           "C8 (A4, J4, F6): grid-year observations against the weather forecasts, joined without the year")
 def q_forecast_error(spark, sf):
     obs = X.weather_daily(spark, sf).where(F.year("date_local") == F.lit(S.GRID_YEAR))
@@ -583,3 +586,13 @@ def q_pipeline_staged(spark, sf):
     from . import pipeline
     tables = pipeline.run(spark, sf, scratch_path(spark, "warehouse"))
     return rounded(tables["air_quality_index"])
+
+
+@register("error_report_csv", _FE_SQL,
+          "K6, S7: the forecast-error report exported as CSV with a header and read back with its schema")
+def q_error_report_csv(spark, sf):
+    from pyspark.sql import types as T
+    rep = q_forecast_error(spark, sf)
+    path = writers.export_csv(rep, scratch_path(spark, "error_report"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rep.schema.fields])
+    return spark.read.schema(schema).option("header", True).csv(path)

@@ -387,9 +387,9 @@ SELECT * FROM (
   USING ({", ".join(kc)}))"""
 
 
-@register("pipeline_end_to_end", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + _e2e_select(),
+@register("end_to_end_linear", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + _e2e_select(),
           "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
-def q_pipeline_end_to_end(spark, sf):
+def q_end_to_end_linear(spark, sf):
     out = end_to_end(spark, sf)
     return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
 
@@ -399,7 +399,7 @@ def q_pipeline_end_to_end(spark, sf):
 for _kind in ("gbt", "rf", "dt"):
     def _make(kind):
         def q(spark, sf):
-            return ST.model_pipeline(spark, sf, STATE, kind, "pooled")
+            return ST.model_chain(spark, sf, STATE, kind, "pooled")
         q.__name__ = f"q_forecast_{kind}_pooled"
         return q
     register(f"forecast_{_kind}_pooled", None,
@@ -410,7 +410,7 @@ for _kind in ("gbt", "rf", "dt"):
 @register("forecast_gbt_per_region", None,
           "M4, M5 parity form: one GBT pipeline per (target, state) on a bounded thread pool")
 def q_forecast_gbt_per_region(spark, sf):
-    return ST.model_pipeline(spark, sf, STATE, "gbt", "per_key")
+    return ST.model_chain(spark, sf, STATE, "gbt", "per_key")
 
 
 # -- sources, sinks and the streaming form ---------------------------------------------
@@ -527,10 +527,10 @@ def q_combine_forecasts_county(spark, sf):
                               ST.POLLUTANT_ARM_COLUMNS)
 
 
-@register("pipeline_end_to_end_county",
+@register("end_to_end_linear_county",
           Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + _e2e_select(COUNTY),
           "C1-C6 end to end at county level (linear forms)")
-def q_pipeline_end_to_end_county(spark, sf):
+def q_end_to_end_linear_county(spark, sf):
     out = end_to_end(spark, sf, COUNTY)
     return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
 
@@ -554,7 +554,7 @@ FROM obs JOIN e2e USING (month, state_code)""",
 def q_aqi_forecast_error(spark, sf):
     obs = evaluate.observed_daily_index(X.pollutant_daily(spark, sf), ["state_code"])
     obs = obs.where(F.year("date_local") == F.lit(S.GRID_YEAR))
-    fc = q_pipeline_end_to_end(spark, sf)
+    fc = q_end_to_end_linear(spark, sf)
     out = evaluate.forecast_error(obs, fc, ["state_code"], value_col="aqi", pred_col="global_aqi", exact=False)
     return rounded(out, cols=["observed", "diff"])
 
@@ -569,7 +569,7 @@ def q_compare_models(spark, sf):
                                    S.WEATHER_FEATURES)
 
 
-@register("pipeline_staged",
+@register("staged_run",
           Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(),
                       Q.monthly_features(), Q.pollutant_long(source="monthly_features"), Q.grid(),
                       Q.pollutant_forecast()) + f"""
@@ -580,11 +580,11 @@ SELECT state_code, year, month,
        round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
          AS global_aqi
 FROM ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge")})""",
-          "Staged application (plans.pipeline): every stage published as a versioned table, later stages "
+          "Staged application (plans.runner): every stage published as a versioned table, later stages "
           "read the monthly tables back; result = the published index table")
-def q_pipeline_staged(spark, sf):
-    from . import pipeline
-    tables = pipeline.run(spark, sf, scratch_path(spark, "warehouse"))
+def q_staged_run(spark, sf):
+    from . import runner
+    tables = runner.run(spark, sf, scratch_path(spark, "warehouse"))
     return rounded(tables["air_quality_index"])
 
 

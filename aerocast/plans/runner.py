@@ -15,7 +15,7 @@ The daily tables are scanned once: stage 1 and 2 are written, then every later
 stage reads the small monthly tables back, so a failure or an executor loss
 after stage 2 never re-scans the daily data.
 
-    python -m aerocast.plans.pipeline --input /root/testdata/sf0.01 --warehouse /tmp/wh --keys state
+    python -m aerocast.plans.runner --input /root/testdata/sf0.01 --warehouse /tmp/wh --keys state
 """
 
 from __future__ import annotations

@@ -94,7 +94,7 @@ def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame
     return fn(feats, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind)
 
 
-def model_pipeline(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", form: str = "pooled") -> DataFrame:
+def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", form: str = "pooled") -> DataFrame:
     """C1-C6 with model forecasts: weather -> grid with weather -> pollutants -> combine -> index."""
     from ..operators import align, index
     k = [*keys, "year", "month"]

@@ -25,7 +25,7 @@ HEADLINE = [
     "aqi_global",
     "holdout_mse",
     "forecast_error",
-    "pipeline_end_to_end",
+    "end_to_end_linear",
     "union_years",
     "csv_roundtrip",
     "upsert_monthly",

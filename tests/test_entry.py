@@ -7,7 +7,7 @@ from conftest import SF_CHECK, SF_SMALL
 TABLES = "region nation customer supplier part orders lineitem".split()
 QUICK = ["monthly_pollutant", "monthly_weather_pivot", "monthly_features_county", "aqi_subindex",
          "first_60_months", "forecast_linear_weather", "combine_forecasts_reference", "aqi_dominant",
-         "holdout_mse", "best_model", "forecast_error", "pipeline_end_to_end"]
+         "holdout_mse", "best_model", "forecast_error", "end_to_end_linear"]
 
 
 def test_entry_smoke(spark):
@@ -43,4 +43,4 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_sf_small_runs(spark):
-    assert E.queries()["pipeline_end_to_end"](spark, SF_SMALL).count() > 0
+    assert E.queries()["end_to_end_linear"](spark, SF_SMALL).count() > 0

@@ -65,7 +65,7 @@ def test_dominant_pollutant_has_no_window(spark):
 
 def test_no_cross_joins_anywhere(spark):
     import __spark_entry__ as E
-    for name in ["prediction_grid", "pipeline_end_to_end", "combine_forecasts_reference", "forecast_error"]:
+    for name in ["prediction_grid", "end_to_end_linear", "combine_forecasts_reference", "forecast_error"]:
         p = plan(E.queries()[name](spark, SF_CHECK), "simple")
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 

@@ -69,7 +69,7 @@ def run(spark: SparkSession, input_dir: str, warehouse: str, keys=S.KEYS_STATE,
         pf = linear.trend_predict(linear.trend_fit(ST.in_training(pl), ["param", *keys]), grid, keys)
     else:
         from ..operators import forecast
-        pf = forecast.pooled_forecast(feats, out["grid_with_weather"], "param", S.POLLUTANTS, keys,
+        pf = forecast.pooled_forecast(ST.in_training(feats), out["grid_with_weather"], "param", S.POLLUTANTS, keys,
                                       S.POLLUTANT_FEATURES, "max_value", model)
     out["pollutant_forecast"] = _publish(spark, pf, warehouse, "pollutant_forecast", ["param", *k])
 

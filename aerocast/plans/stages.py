@@ -87,7 +87,7 @@ def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame
     """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score."""
     from ..operators import align, forecast
     k = [*keys, "year", "month"]
-    feats = monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys)
+    feats = in_training(monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys))
     gw = align.combine_long(X.grid(spark, sf, keys), weather_fc, k, "variable", "prediction",
                             WEATHER_ARM_COLUMNS)
     fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast

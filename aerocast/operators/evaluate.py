@@ -89,9 +89,8 @@ def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols, nam
 
 def observed_daily_index(pollutant_daily: DataFrame, key_cols) -> DataFrame:
     """Observed daily index per (key, date): the largest sub-index of that day's readings."""
-    from ..functions.aqi import subindex_by_param
-    scored = pollutant_daily.select(*key_cols, "date_local",
-                                    subindex_by_param(F.col("max_value").cast("double"), F.col("param")).alias("aqi"))
+    from ..functions.aqi import subindex_long
+    scored = subindex_long(pollutant_daily.select("param", *key_cols, "date_local", "max_value"), "max_value")
     return scored.groupBy(*key_cols, "date_local").agg(F.max("aqi").alias("aqi"))
 
 

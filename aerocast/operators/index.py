@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.aqi import subindex_by_param, wide_subindices
+from ..functions.aqi import subindex_long, wide_subindices
 
 
 def air_quality_index(combined: DataFrame, params=None, keep_inputs: bool = True) -> DataFrame:
@@ -21,7 +21,7 @@ def air_quality_index(combined: DataFrame, params=None, keep_inputs: bool = True
 
 
 def long_subindex(long: DataFrame, param_col: str = "param", value_col: str = "value") -> DataFrame:
-    return long.withColumn("aqi", subindex_by_param(F.col(value_col).cast("double"), F.col(param_col)))
+    return subindex_long(long, value_col, param_col, "aqi")
 
 
 def dominant_pollutant(long: DataFrame, keys, param_col: str = "param", value_col: str = "value") -> DataFrame:

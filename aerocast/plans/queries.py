@@ -130,11 +130,10 @@ SELECT param, state_code, county_code, CAST(date_local AS VARCHAR) AS date_local
 FROM pollutant_daily""",
           "F4: breakpoint sub-index of every daily max value (all bands, saturation)")
 def q_aqi_subindex(spark, sf):
-    d = X.pollutant_daily(spark, sf)
-    v = F.col("max_value").cast("double")
-    return d.select("param", "state_code", "county_code",
-                    F.col("date_local").cast("string").alias("date_local"), v.alias("max_value"),
-                    aqi.subindex_by_param(v, F.col("param")).alias("aqi"))
+    d = X.pollutant_daily(spark, sf).select(
+        "param", "state_code", "county_code", F.col("date_local").cast("string").alias("date_local"),
+        F.col("max_value").cast("double").alias("max_value"))
+    return aqi.subindex_long(d, "max_value")
 
 
 @register("aqi_monthly", Q.with_ctes(Q.pollutant_daily(), Q.monthly_pollutant()) + f"""
@@ -143,9 +142,8 @@ SELECT param, state_code, year, month, max_value,
 FROM monthly_pollutant""",
           "F4 on monthly mean max values (flagship)")
 def q_aqi_monthly(spark, sf):
-    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf), STATE)
-    return m.select("param", "state_code", "year", "month", "max_value",
-                    aqi.subindex_by_param(F.col("max_value"), F.col("param")).alias("aqi"))
+    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf), STATE, measures=["max_value"])
+    return aqi.subindex_long(m, "max_value")
 
 
 # -- stages: top-k, linear forecasts, grid alignment ---------------------------------

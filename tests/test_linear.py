@@ -35,3 +35,28 @@ def test_first_n_per_group_orders_by_year_then_month(spark):
         per_key.setdefault(r.state_code, []).append((r.year, r.month))
     for k, v in per_key.items():
         assert sorted(v) == [(2000, 1), (2000, 6), (2000, 12), (2001, 1)], k
+
+
+def test_weather_training_truncates_label_toward_zero_when_asked(spark):
+    from aerocast.plans import stages
+    rows = [("TEMP", 1, 1996, 1, 3.9), ("TEMP", 1, 1996, 2, -3.9), ("TEMP", 1, 1995, 1, 7.0)]
+    wl = spark.createDataFrame(rows, "variable string, state_code int, year int, month int, value double")
+    got = sorted((r.month, r.value) for r in stages.weather_training(wl, truncate_label=True).collect())
+    assert got == [(1, 3.0), (2, -3.0)]  # 1995 is outside the training window
+    got = sorted((r.month, r.value) for r in stages.weather_training(wl).collect())
+    assert got == [(1, 3.9), (2, -3.9)]
+
+
+def test_variable_filter_restricts_rows_averaged(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from aerocast import schema as S
+    from aerocast.operators import monthly
+    w = spark.createDataFrame([("TEMP", 1, 10, dt.date(2000, 1, 1), Decimal("10")),
+                               ("TEMP", 1, 10, dt.date(2000, 1, 2), Decimal("30")),
+                               ("WIND", 1, 10, dt.date(2000, 1, 2), Decimal("5"))], S.WEATHER_DAILY)
+    all_rows = {r.variable: r.value for r in monthly.monthly_weather_long(w).collect()}
+    assert all_rows == {"TEMP": 20.0, "WIND": 5.0}
+    only = monthly.monthly_weather_long(w, variable_filter=F.col("arithmetic_mean") > 9)
+    assert {r.variable: r.value for r in only.collect()} == {"TEMP": 20.0}

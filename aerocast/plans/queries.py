@@ -5,7 +5,9 @@ Numeric conventions shared by both sides: daily measures are exact decimals
 and monthly means come from exact sums, so they agree bit for bit without
 rounding; row-level arithmetic runs in the same operation order on both
 sides. Statistics fitted on monthly means (regressions, errors) are rounded
-to 6 places. ``year``/``month`` are INTEGER; dates leave as ``YYYY-MM-DD``.
+to 6 places, or to 9 significant digits where values are large (weather
+~1e5) or span magnitudes (mse). ``year``/``month`` are INTEGER; dates leave
+as ``YYYY-MM-DD``.
 """
 
 from __future__ import annotations
@@ -20,8 +22,13 @@ from pyspark.sql import types as T
 from .. import fixtures as X
 from .. import schema as S
 from ..functions import aqi
-from ..operators import monthly
+from ..functions.stats import round_sig, sql_exact_mean, sql_round_sig
+from ..operators import align, evaluate, index, monthly, topk
+from ..operators.linear import sql_trend, sql_trend_value
+from ..session import scratch_path
+from ..sources import readers, writers
 from . import oracle as Q
+from . import stages as ST
 
 AGG_PLACES = 6
 
@@ -61,12 +68,10 @@ SIG = 9  # significant digits kept for fitted values of large magnitude (weather
 
 
 def sig(df: DataFrame, cols) -> DataFrame:
-    from ..functions.stats import round_sig
     return df.select(*[round_sig(F.col(c), SIG).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def sql_sig(expr: str) -> str:
-    from ..functions.stats import sql_round_sig
     return sql_round_sig(expr, SIG)
 
 
@@ -148,8 +153,6 @@ def q_aqi_monthly(spark, sf):
 
 # -- stages: top-k, linear forecasts, grid alignment ---------------------------------
 
-from ..operators import align, evaluate, index, topk  # noqa: E402
-from . import stages as ST  # noqa: E402
 
 _WL = Q.with_ctes(Q.weather_daily(), Q.monthly_weather_long())
 _PL = [Q.pollutant_daily(), Q.monthly_pollutant(), Q.pollutant_long()]
@@ -260,8 +263,6 @@ def q_aqi_dominant(spark, sf):
 
 # -- evaluation, history, recency, end to end ------------------------------------
 
-from ..functions.stats import round_sig, sql_round_sig, sql_exact_mean  # noqa: E402
-from ..operators.linear import sql_trend, sql_trend_value  # noqa: E402
 
 TEST_YEAR = S.TRAIN_LAST_YEAR
 
@@ -413,8 +414,6 @@ def q_forecast_gbt_per_region(spark, sf):
 
 # -- sources, sinks and the streaming form ---------------------------------------------
 
-from ..session import scratch_path  # noqa: E402
-from ..sources import readers, writers  # noqa: E402
 
 _MP_SQL = Q.with_ctes(Q.pollutant_daily(), Q.monthly_pollutant()) + f"""
 SELECT param, state_code, year, month, {", ".join(S.MEASURES)} FROM monthly_pollutant"""

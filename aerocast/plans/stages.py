@@ -82,25 +82,42 @@ def weather_model_forecast(spark: SparkSession, sf: str, keys=STATE, kind: str =
               S.WEATHER_FEATURES, "value", kind)
 
 
+def pollutant_training(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
+    """Checkpointed training table of the pollutant models (features in the training window)."""
+    from ..operators import forecast
+    feats = in_training(monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys))
+    return forecast.stable(forecast.training_frame(feats, "param", keys, S.POLLUTANT_FEATURES, "max_value"))
+
+
 def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame, keys=STATE,
-                             kind: str = "gbt", form: str = "pooled") -> DataFrame:
-    """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score."""
+                             kind: str = "gbt", form: str = "pooled", train: DataFrame | None = None) -> DataFrame:
+    """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score.
+
+    ``train``: a table from ``pollutant_training`` prepared ahead (e.g. while the
+    weather models fit)."""
     from ..operators import align, forecast
     k = [*keys, "year", "month"]
-    feats = in_training(monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys))
+    train = train if train is not None else pollutant_training(spark, sf, keys)
     gw = align.combine_long(X.grid(spark, sf, keys), weather_fc, k, "variable", "prediction",
                             WEATHER_ARM_COLUMNS)
     fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast
-    return fn(feats, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind)
+    return fn(train, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind, prepared=True)
 
 
 def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", form: str = "pooled") -> DataFrame:
     """C1-C6 with model forecasts: weather -> grid with weather -> pollutants -> combine -> index."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from ..operators import align, index
     k = [*keys, "year", "month"]
     g = X.grid(spark, sf, keys)
-    wf = weather_model_forecast(spark, sf, keys, kind, form)
+    # the pollutant training table does not depend on the weather forecasts:
+    # prepare (and checkpoint) it while the weather models fit
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        ptrain = pool.submit(pollutant_training, spark, sf, keys)
+        wf = weather_model_forecast(spark, sf, keys, kind, form)
+        ptrain = ptrain.result()
     gw = align.combine_long(g, wf, k, "variable", "prediction", WEATHER_ARM_COLUMNS)
-    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, form)
+    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, form, train=ptrain)
     comb = align.combine_long(g, pf, k, "param", "prediction", POLLUTANT_ARM_COLUMNS)
     return gw.join(index.air_quality_index(comb), k)

@@ -82,3 +82,16 @@ def test_hot_key_holding_a_third_of_rows(spark):
     pdf["month"] = [d.month for d in pdf.date_local]
     want = pdf.groupby(["state_code", "month"]).max_value.apply(lambda s: float(sum(s)) / len(s)).sort_index()
     assert (got.max_value - want).abs().max() < 1e-12
+
+
+def test_long_subindex_is_a_broadcast_band_lookup(spark):
+    import __spark_entry__ as E
+    p = plan(E.queries()["aqi_subindex"](spark, SF_CHECK), "simple")
+    assert "BroadcastHashJoin" in p and "_b_param" in p and "Exchange hashpartitioning" not in p
+
+
+def test_weather_scan_has_pushed_priority_filter(spark):
+    p = plan(monthly.monthly_weather(X.weather_daily(spark, SF_CHECK)))
+    assert "In(o_orderpriority" in p
+    scan = [l for l in p.splitlines() if l.startswith("ReadSchema: struct<o_")][0]
+    assert "o_comment" not in scan and "o_orderstatus" not in scan

@@ -24,11 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked
+from .common import BoundedCache, chunked
 
 SCAN_MAX = 200
 #: Pieces and words whose ids a worker keeps; the cache is emptied when full.
-CACHE_MAX = 400_000
+CACHE_MAX = 300_000
 _NO_RANK = 1 << 60
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -61,8 +61,8 @@ class Bpe:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern.replace(r"\s", _SPACE))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.words: dict[str, list[int]] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.words = BoundedCache(lambda word: self.merge(word.encode("utf-8", "surrogatepass")), CACHE_MAX)
+        self.pieces = BoundedCache(self._piece, CACHE_MAX)
 
     # -- one word ---------------------------------------------------------------
 
@@ -115,29 +115,12 @@ class Bpe:
                 continue
             low = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             for word in self.split.findall(low):
-                known = self.words.get(word)
-                if known is None:
-                    if len(self.words) >= CACHE_MAX:
-                        self.words.clear()
-                    known = self.words[word] = self.merge(word.encode("utf-8", "surrogatepass"))
-                ids += known
+                ids += self.words[word]
         return array("i", ids).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         pieces = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self.pieces
-        try:
-            return np.frombuffer(b"".join([known[p] for p in pieces]), dtype=np.int32)
-        except KeyError:
-            out = []
-            for p in pieces:
-                ids = known.get(p)
-                if ids is None:
-                    if len(known) >= CACHE_MAX:
-                        known.clear()
-                    ids = known[p] = self._piece(p)
-                out.append(ids)
-            return np.frombuffer(b"".join(out), dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), dtype=np.int32)
 
     def decode(self, ids) -> str:
         """Token strings joined by a space, special tokens included, as for a file without a decoder."""

@@ -63,3 +63,18 @@ def chunked(batches: Iterator[pa.RecordBatch], text_index: int, max_bytes: int =
                 start, used = i, 0
             used += int(lengths[i])
         yield batch.slice(start)
+
+
+class BoundedCache(dict):
+    """Values made on first use; emptied when it holds ``most`` of them."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import byte_letters
-from .common import chunked, stage_table
+from .common import BoundedCache, chunked, stage_table
 
 END_ID = 2
 RECORDS_PER_FILE = 65_536
-CACHE_MAX = 400_000
+CACHE_MAX = 250_000
+_MARKS = frozenset(".,;:!?")
 _MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<II")
 _PAYLOAD = struct.Struct("<BqB")
@@ -89,43 +91,31 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, part: str) -> bytes:
-        out, words = [], self.words
-        for w in self._SPLIT.findall(part):
-            ids = words.get(w)
-            if ids is None:
-                if len(words) >= CACHE_MAX:
-                    words.clear()
-                tokens = self.tokenizer.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
-                ids = words[w] = np.array([t.id for t in tokens], dtype=np.uint32).tobytes()
-            out.append(ids)
-        return b"".join(out)
-
-    def _cached(self, cache: dict[str, bytes], part: str, lead: str) -> bytes:
-        ids = cache.get(part)
-        if ids is None:
-            if len(cache) >= CACHE_MAX:
-                cache.clear()
-            ids = cache[part] = self._ids(lead + part)
-        return ids
+        self.words = BoundedCache(self._word, CACHE_MAX)
+        self.rest = BoundedCache(self._spaced, CACHE_MAX)
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _spaced(self, part: str) -> bytes:
+        """Ids of a part and the space before it. Letters, and letters with one mark, need no search of the pattern."""
+        if part.isalpha():
+            return self.words[" " + part]
+        if part[-1:] in _MARKS and part[:-1].isalpha():
+            return self.words[" " + part[:-1]] + self.words[part[-1]]
+        return self._part(" " + part)
+
+    def _part(self, part: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self._SPLIT.findall(part)))
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint32)
         if any(s in text for s in self.specials):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        parts = self._CUT.split(text) if self._ODD.search(text) else text.split(" ")
-        # text.split leaves an empty first part where the text starts with a space
-        out, rest = [self._cached(self.first, parts[0], "")], self.rest
-        try:
-            out += [rest[p] for p in parts[1:]]
-        except KeyError:
-            out[1:] = [self._cached(rest, p, " ") for p in parts[1:]]
-        return np.frombuffer(b"".join(out), dtype=np.uint32)
+        first, *rest = self._CUT.split(text) if self._ODD.search(text) else text.split(" ")
+        return np.frombuffer(self._part(first) + b"".join(map(self.rest.__getitem__, rest)), dtype=np.uint32)
 
 
 _LOADED: dict[str, PieceEncoder] = {}

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import BoundedCache, chunked
 
 SCAN_MAX = 200
-#: Pieces and words whose ids a worker keeps; the cache is emptied when full.
-CACHE_MAX = 300_000
+#: Pieces and words whose ids a worker keeps.
+CACHE_MAX = 400_000
 _NO_RANK = 1 << 60
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 

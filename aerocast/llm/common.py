@@ -66,15 +66,22 @@ def chunked(batches: Iterator[pa.RecordBatch], text_index: int, max_bytes: int =
 
 
 class BoundedCache(dict):
-    """Values made on first use; emptied when it holds ``most`` of them."""
+    """Values made on first use, ``most`` of them at a time.
+
+    Two generations of half that size: a full one becomes the old one, from which what is
+    used again comes back, so frequent keys stay and rare ones go.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.half, self.old = make, most // 2, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.most:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value

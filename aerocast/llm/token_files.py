@@ -24,6 +24,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from .common import BoundedCache, chunked, stage_table
 
 END_ID = 2
 RECORDS_PER_FILE = 65_536
-CACHE_MAX = 250_000
+CACHE_MAX = 400_000
 _MARKS = frozenset(".,;:!?")
+_ID = attrgetter("id")
 _MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<II")
 _PAYLOAD = struct.Struct("<BqB")
@@ -90,24 +92,27 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
-        self.words = BoundedCache(self._word, CACHE_MAX)
+        self.space = byte_letters()[0x20]
         self.rest = BoundedCache(self._spaced, CACHE_MAX)
 
     def _word(self, word: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return array("I", [t.id for t in tokens]).tobytes()
+        """Ids of one piece of the split pattern."""
+        shown = word.replace(" ", self.space) if word.isascii() and word.isprintable() else \
+            word.encode().decode("latin-1").translate(self.letters)
+        return array("I", map(_ID, self.tokenize(shown))).tobytes()
 
     def _spaced(self, part: str) -> bytes:
         """Ids of a part and the space before it. Letters, and letters with one mark, need no search of the pattern."""
         if part.isalpha():
-            return self.words[" " + part]
+            return self._word(" " + part)
         if part[-1:] in _MARKS and part[:-1].isalpha():
-            return self.words[" " + part[:-1]] + self.words[part[-1]]
+            return self.rest[part[:-1]] + self._word(part[-1])
         return self._part(" " + part)
 
     def _part(self, part: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self._SPLIT.findall(part)))
+        return b"".join(map(self._word, self._SPLIT.findall(part)))
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:

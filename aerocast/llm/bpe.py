@@ -23,12 +23,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import BoundedCache, chunked
 
 SCAN_MAX = 200
 #: Pieces and words whose ids a worker keeps.
 CACHE_MAX = 400_000
+#: From this character on, classes differ between Unicode versions; the library's own normaliser and splitter decide there.
+LATER = "\u0530"
 _NO_RANK = 1 << 60
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -60,6 +63,7 @@ class Bpe:
         self.last = [self.vocab[c + self.end] for c in letters]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern.replace(r"\s", _SPACE))
+        self.library = Tokenizer.from_file(path)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.words = BoundedCache(lambda word: self.merge(word.encode("utf-8", "surrogatepass")), CACHE_MAX)
         self.pieces = BoundedCache(self._piece, CACHE_MAX)
@@ -113,11 +117,18 @@ class Bpe:
             if part in self.special:
                 ids.append(self.special[part])
                 continue
-            low = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in self.split.findall(low):
+            for word in self._split(part):
                 ids += self.words[word]
         return array("i", ids).tobytes()
 
+    def _split(self, part: str) -> list[str]:
+        if part.isascii():
+            return self.split.findall(part.lower())
+        if max(part) < LATER:
+            return self.split.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+        low = self.library.normalizer.normalize_str(part)
+        return [low[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(low)]
+
     def encode(self, text: str | None) -> np.ndarray:
         pieces = (text or "").encode("utf-8", "surrogatepass").split()
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), dtype=np.int32)

@@ -69,7 +69,7 @@ def char_class(run: str) -> str:
 
 def allowed(run: str, before: str) -> bool:
     """True for runs the allow-list suppresses; ``before`` is the text just ahead of the run."""
-    return before.endswith(("://", ":/")) or any(p.fullmatch(run) for p in ALLOWED) or len(set(run)) <= 6
+    return (before.endswith(":") and run.startswith("//")) or any(p.fullmatch(run) for p in ALLOWED) or len(set(run)) <= 6
 
 
 def entropy_spans(run: str) -> list[tuple[int, int]]:

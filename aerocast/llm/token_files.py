@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import byte_letters
+from .bpe import LATER, byte_letters
 from .common import BoundedCache, chunked, stage_table
 
 END_ID = 2
@@ -112,6 +112,8 @@ class PieceEncoder:
         return self._part(" " + part)
 
     def _part(self, part: str) -> bytes:
+        if part and max(part) >= LATER:
+            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self._word, self._SPLIT.findall(part)))
 
     def encode(self, text: str | None) -> np.ndarray:

@@ -166,12 +166,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each group of near-duplicates, with all its columns: the smallest id, then the smallest hash of its text.
 
-    A row is known by its id and a 64-bit hash of its text, so rows that repeat both count as one.
+    A row is known by 64-bit hashes of its id and its text, so rows that repeat both count as one.
     """
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    ident = F.struct(F.col(id_col).alias("id"), text_hash.alias("hash"))
+    ident = F.struct(F.col(id_col).alias("id"), text_hash.alias("text_hash"))
+
+    def id_hash(c: str):
+        return F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("")), F.col(c).isNull())
+
     prints = stage_table(fingerprints(docs.select(ident.alias("ident"), F.col(text_col).alias("text")), "ident", "text", shingle), "simhash-prints")
-    kept = stage_table(classes(prints, "ident").select("component_id.id", "component_id.hash").distinct(), "simhash-kept")
-    rows = docs.select(packed(docs).alias("row"), F.col(id_col).alias("doc_key"), text_hash.alias("doc_hash"))
-    same = (rows.doc_hash == kept.hash) & rows.doc_key.eqNullSafe(kept.id)
-    return unpack(rows.join(kept, same, "left_semi").dropDuplicates(["doc_key", "doc_hash"]), docs.schema)
+    kept = stage_table(classes(prints, "ident").select("component_id.id", "component_id.text_hash")
+                       .select(id_hash("id").alias("id_hash"), "text_hash").distinct(), "simhash-kept")
+    # plain hash keys without nulls: the join's shuffle serves the removal of repeated rows as well
+    rows = docs.select(packed(docs).alias("row"), id_hash(id_col).alias("id_hash"), text_hash.alias("text_hash"))
+    keys = ["id_hash", "text_hash"]
+    return unpack(rows.join(kept, keys, "left_semi").dropDuplicates(keys), docs.schema)

@@ -17,6 +17,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import BoundedCache, chunked
+from .common import BoundedCache, chunked, text_batches
 
 SCAN_MAX = 200
 #: Pieces and words whose ids a worker keeps.
-CACHE_MAX = 400_000
+CACHE_MAX = 200_000
 #: From this character on, classes differ between Unicode versions; the library's own normaliser and splitter decide there.
 LATER = "\u0530"
 _NO_RANK = 1 << 60
@@ -63,7 +64,7 @@ class Bpe:
         self.last = [self.vocab[c + self.end] for c in letters]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern.replace(r"\s", _SPACE))
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.words = BoundedCache(lambda word: self.merge(word.encode("utf-8", "surrogatepass")), CACHE_MAX)
         self.pieces = BoundedCache(self._piece, CACHE_MAX)
@@ -121,6 +122,10 @@ class Bpe:
                 ids += self.words[word]
         return array("i", ids).tobytes()
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
     def _split(self, part: str) -> list[str]:
         if part.isascii():
             return self.split.findall(part.lower())
@@ -168,5 +173,5 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())],
                 [id_col, "ids", "decoded"])
 
-    return docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)) \
+    return text_batches(docs).select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)) \
         .mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>, decoded string")

@@ -46,6 +46,19 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Rows of texts that Spark hands to a Python worker at once.
+BATCH_ROWS = 1024
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session set to hand texts over in small batches, so that buffers stay small on both sides."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_CONF, "10000")) <= BATCH_ROWS:
+        conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    return df
+
+
 def chunked(batches: Iterator[pa.RecordBatch], text_index: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that the texts of one hold about ``max_bytes`` at most (one row at least)."""
     for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked
+from .common import chunked, text_batches
 
 UNDETERMINED = "und"
 SLOT_BITS = 19
@@ -166,7 +166,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                         [pa.array(np.full(len(g), i, np.int32)), pa.array(np.full(len(g), n, np.int32)),
                          pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "n", "gram", "c"])
 
-    counts = (sample.mapInArrow(count, "lang int, n int, gram long, c long")
+    counts = (text_batches(sample).mapInArrow(count, "lang int, n int, gram long, c long")
               .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")))
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("total"))
     rate = F.col("c") / F.col("total")
@@ -213,4 +213,4 @@ def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              [id_col, "lang_pred", "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type.simpleString()}, lang_pred string, score double")
+    return text_batches(docs).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type.simpleString()}, lang_pred string, score double")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunked
+from .common import chunked, text_batches
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -151,7 +151,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, _SPANS)], [id_col, "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, spans {SPANS_DDL}")
+    return text_batches(docs).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, spans {SPANS_DDL}")
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -166,4 +166,4 @@ def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = [redact(t, scan(t)) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at).name, pa.array(texts, b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked, packed, stage_table, unpack
+from .common import chunked, packed, stage_table, text_batches, unpack
 from .components import components
 from .pairs import near_rows, pair_units, whole_units
 
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], [id_col, "fingerprint"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, fingerprint long")
+    return text_batches(docs).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, fingerprint long")
 
 
 def _keys(f: str):

@@ -93,7 +93,7 @@ def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
                      F.to_date("l_shipdate").alias("date_local"),
                      F.rint(F.col("l_quantity")).cast("int").alias("observation_count"),
-                     kept.alias("observation_percent"),
+                     kept.cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
                      (cents * f10).cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
                      F.col("l_linenumber").cast("int").alias("max_hour"),
                      (cents * kept.cast("decimal(3,0)") * f12).cast(S.MEASURE_TYPES["arithmetic_mean"])

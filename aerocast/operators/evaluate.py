@@ -32,7 +32,7 @@ def random_holdout(df: DataFrame, fraction: float = 0.8, seed: int = 42):
 
 
 def candidate_predictions(monthly_long: DataFrame, name_cols, key_cols, test_year: int,
-                          first_year: int = S.TRAIN_FIRST_YEAR, value_col: str = "value") -> DataFrame:
+                          first_year: int | None = None, value_col: str = "value") -> DataFrame:
     """Predictions of the relational candidates for every test row, long form.
 
     ``linear``: trend on the month index; ``mean``: the group's training mean;
@@ -41,8 +41,8 @@ def candidate_predictions(monthly_long: DataFrame, name_cols, key_cols, test_yea
     groups = [*name_cols, *key_cols]
     train, test = holdout(monthly_long, test_year, first_year)
     test = test.select(*groups, "year", "month", F.col(value_col).cast("double").alias("label"))
-    lin = linear.trend_predict(linear.trend_fit(train, groups, value_col, first_year),
-                               test.select(*groups, "year", "month"), groups, "prediction", first_year)
+    lin = linear.trend_predict(linear.trend_fit(train, groups, value_col),
+                               test.select(*groups, "year", "month"), groups, "prediction")
     mean = (test.select(*groups, "year", "month")
             .join(baselines.group_mean(train, groups, value_col, "prediction"), groups))
     naive = baselines.seasonal_naive(train.where(F.col("year") == F.lit(test_year - 1)),

@@ -1,17 +1,9 @@
 """Model-based forecasts with ``pyspark.ml`` (M1-M5, C2/C4 model forms).
 
-Spark ML estimators fit over a whole DataFrame; they cannot run inside a
-task per group. Two forms are offered:
-
-* **pooled** (default): one model per target (pollutant or weather variable),
-  fitted on every key at once with the key as a *categorical* feature
-  (``VectorIndexer`` metadata, ``maxBins`` >= number of keys). Work scales
-  with the data, not with the number of keys. A pooled tree is not the same
-  model as one tree per key.
-* **per_key** (parity with the source): one Pipeline per (target, key), run
-  on a bounded driver thread pool; predictions are written batch by batch to
-  a table in the shared folder and read back as one directory. For checks and
-  small key sets only: each fit costs seconds whatever the data size.
+One model per target (pollutant or weather variable), fitted on every key at
+once. The key enters as the mean label of its training rows, a feature of
+bounded size from one aggregation, so work and bin counts scale with the data and not with
+the number of keys. Keys without training rows get no forecast.
 
 Training tables are monthly aggregates (bounded by keys × months), cut from
 their lineage with a reliable ``checkpoint()`` before fitting, so losing an
@@ -24,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
@@ -40,28 +32,16 @@ ESTIMATORS = {
 }
 
 
-def estimator(kind: str, label: str, pred: str, features: str = "features", max_bins: int | None = None):
-    """Spark ML defaults (20 trees, depth 5, step 0.1 for GBT; the estimators'
-    default seeds, which are fixed, so fits are reproducible), as in the source.
-    ``maxBins`` is raised only where a categorical key needs more bins."""
-    cls = ESTIMATORS[kind]
-    kw = dict(featuresCol=features, labelCol=label, predictionCol=pred)
-    if kind != "linear" and max_bins and max_bins > 32:
-        kw["maxBins"] = max_bins
-    return cls(**kw)
-
-
-ROWS_PER_PARTITION = 500_000
+def estimator(kind: str, label: str, pred: str, features: str = "features"):
+    """Spark ML defaults (20 trees, depth 5, step 0.1 for GBT, 32 bins; the estimators'
+    default seeds, which are fixed, so fits are reproducible), as in the source."""
+    return ESTIMATORS[kind](featuresCol=features, labelCol=label, predictionCol=pred)
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (``spark.checkpoint.dir``), then
-    as many partitions as the row count needs (one for small monthly tables:
-    every fitting job then runs one task per stage)."""
+    """Reliable checkpoint into the shared folder (``spark.checkpoint.dir``); AQE sizes its partitions."""
     session.shared_dir(df.sparkSession)
-    cp = df.checkpoint(eager=True)
-    n = cp.count()
-    return cp.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
+    return df.checkpoint(eager=True)
 
 
 def training_frame(train: DataFrame, name_col: str, key_cols, feature_cols, label_col: str = "value") -> DataFrame:
@@ -70,10 +50,6 @@ def training_frame(train: DataFrame, name_col: str, key_cols, feature_cols, labe
                         F.col(label_col).cast("double").alias("_label")).dropna()
 
 
-def _n_keys(train: DataFrame, key_cols) -> int:
-    return train.select(*key_cols).distinct().count()
-
-
 def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
                     label_col: str = "value", kind: str = "gbt", pred_col: str = "prediction",
                     parallelism: int = 6, prepared: bool = False) -> DataFrame:
@@ -83,23 +59,20 @@ def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, ke
     """
     if not prepared:
         train = stable(training_frame(train, name_col, key_cols, feature_cols, label_col))
-    n_keys = max(2, _n_keys(train, key_cols))
     feats = [c for c in feature_cols if c not in key_cols]
-
-    def stages():
-        key_vec = VectorAssembler(inputCols=list(key_cols), outputCol="_key_vec")
-        key_cat = VectorIndexer(inputCol="_key_vec", outputCol="_key_cat", maxCategories=n_keys,
-                                handleInvalid="keep")
-        feats_vec = VectorAssembler(inputCols=["_key_cat", *feats], outputCol="features")
-        return [key_vec, key_cat, feats_vec,
-                estimator(kind, "_label", pred_col, max_bins=max(32, n_keys + 1))]
-
+    # one row per (name, key): the key's feature, and the pairs that may be forecast
+    means = stable(train.groupBy(name_col, *key_cols).agg(F.avg("_label").alias("_key_mean")))
     score = stable(score)
 
     def fit_one(n):
-        t = train.where(F.col(name_col) == F.lit(n))
-        s = score.select(*key_cols, "year", "month", *[c for c in feats if c not in ("year", "month")])
-        model = Pipeline(stages=stages()).fit(t)
+        mine = means.where(F.col(name_col) == F.lit(n)).drop(name_col)
+        # a fixed order of the (monthly) rows: bagging draws by partition and position
+        t = (train.where(F.col(name_col) == F.lit(n)).join(mine, list(key_cols))
+             .repartition(*key_cols).sortWithinPartitions(*key_cols, *feats, "_label"))
+        s = (score.select(*key_cols, "year", "month", *[c for c in feats if c not in ("year", "month")])
+             .join(mine, list(key_cols)))
+        assemble = VectorAssembler(inputCols=["_key_mean", *feats], outputCol="features")
+        model = Pipeline(stages=[assemble, estimator(kind, "_label", pred_col)]).fit(t)
         return (model.transform(s)
                 .select(F.lit(n).alias(name_col), *key_cols, "year", "month", F.col(pred_col).cast("double")))
 
@@ -108,41 +81,6 @@ def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, ke
     return reduce(DataFrame.unionByName, parts)
 
 
-def per_key_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
-                     label_col: str = "value", kind: str = "gbt", pred_col: str = "prediction",
-                     parallelism: int = 8, batch: int = 16, prepared: bool = False) -> DataFrame:
-    """Parity form: one Pipeline per (name, key) fitted on that key's rows only.
-
-    The (name, key) list is the distinct keys of the training table (bounded
-    by the place dimension). Predictions are appended per batch of fits to a
-    fresh table under the shared folder, then read back as one directory.
-    """
-    spark = train.sparkSession
-    if not prepared:
-        train = stable(training_frame(train, name_col, key_cols, feature_cols, label_col))
-    score = stable(score)
-    keys = [tuple(r) for r in train.select(*key_cols).distinct().orderBy(*key_cols).collect()]
-    jobs = [(n, k) for n in names for k in keys]
-    out_path = session.scratch_path(spark, f"per_key_{kind}")
-
-    def fit_one(job):
-        n, k = job
-        cond = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(key_cols, k)])
-        t = train.where((F.col(name_col) == F.lit(n)) & cond)
-        s = score.where(cond)
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features"),
-                                estimator(kind, "_label", pred_col)])
-        model = pipe.fit(t)
-        return (model.transform(s)
-                .select(F.lit(n).alias(name_col), *key_cols, "year", "month", F.col(pred_col).cast("double")))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for i in range(0, len(jobs), batch):
-            parts = [p for p in pool.map(fit_one, jobs[i:i + batch])]
-            reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("append").parquet(out_path)
-    return spark.read.parquet(out_path)
-
-
 def pooled_linear_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
                            label_col: str = "value", pred_col: str = "prediction") -> DataFrame:
     """The latent LinearRegression candidate: one OLS per name over every key,

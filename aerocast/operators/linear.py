@@ -24,12 +24,12 @@ from .. import schema as S
 RANK_TOL = 1e-6
 
 
-def month_index(base_year: int = S.TRAIN_FIRST_YEAR) -> Column:
+def month_index(base_year: int = S.BASE_YEAR) -> Column:
     return (F.col("year") - F.lit(base_year)) * F.lit(12) + F.col("month")
 
 
 def trend_fit(train: DataFrame, group_cols, value_col: str = "value",
-              base_year: int = S.TRAIN_FIRST_YEAR) -> DataFrame:
+              base_year: int = S.BASE_YEAR) -> DataFrame:
     t = month_index(base_year).cast("double")
     y = F.col(value_col).cast("double")
     return train.groupBy(*group_cols).agg(
@@ -38,7 +38,7 @@ def trend_fit(train: DataFrame, group_cols, value_col: str = "value",
 
 
 def trend_predict(fit: DataFrame, grid: DataFrame, key_cols, pred_col: str = "prediction",
-                  base_year: int = S.TRAIN_FIRST_YEAR) -> DataFrame:
+                  base_year: int = S.BASE_YEAR) -> DataFrame:
     names = [c for c in fit.columns if c not in ("slope", "intercept", "n_train") and c not in key_cols]
     t = month_index(base_year).cast("double")
     return (grid.join(fit, list(key_cols))
@@ -70,7 +70,7 @@ def ols2_predict(fit: DataFrame, grid: DataFrame, key_cols, pred_col: str = "pre
     return grid.join(fit, list(key_cols)).select(*names, *key_cols, "year", "month", pred.alias(pred_col))
 
 
-def sql_trend(train: str, group_cols, value_col: str = "value", base_year: int = S.TRAIN_FIRST_YEAR) -> str:
+def sql_trend(train: str, group_cols, value_col: str = "value", base_year: int = S.BASE_YEAR) -> str:
     g = ", ".join(group_cols)
     t = f"CAST((year - {base_year}) * 12 + month AS DOUBLE)"
     return (f"SELECT {g}, regr_slope(CAST({value_col} AS DOUBLE), {t}) AS slope, "
@@ -78,7 +78,7 @@ def sql_trend(train: str, group_cols, value_col: str = "value", base_year: int =
             f"FROM {train} GROUP BY {g}")
 
 
-def sql_trend_value(base_year: int = S.TRAIN_FIRST_YEAR, fit: str = "f", grid: str = "g") -> str:
+def sql_trend_value(base_year: int = S.BASE_YEAR, fit: str = "f", grid: str = "g") -> str:
     return f"({fit}.intercept + {fit}.slope * CAST(({grid}.year - {base_year}) * 12 + {grid}.month AS DOUBLE))"
 
 

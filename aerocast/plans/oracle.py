@@ -156,7 +156,7 @@ def pollutant_long(name="pollutant_long", keys=STATE, source="monthly_pollutant"
 
 
 def in_training(src: str) -> str:
-    return f"(SELECT * FROM {src} WHERE year >= {S.TRAIN_FIRST_YEAR} AND year <= {S.TRAIN_LAST_YEAR})"
+    return f"(SELECT * FROM {src} WHERE year <= {S.TRAIN_LAST_YEAR})"
 
 
 def weather_train(name="weather_train", truncate_label=False, keys=STATE, source="weather_long") -> str:
@@ -164,9 +164,7 @@ def weather_train(name="weather_train", truncate_label=False, keys=STATE, source
     k = ", ".join(keys)
     return f"""
 {name} AS (
-  SELECT variable, {k}, year, month, {v} FROM (
-    SELECT *, row_number() OVER (PARTITION BY variable, {k} ORDER BY year, month) AS rn
-    FROM {in_training(source)}) WHERE rn <= {S.WEATHER_TRAINING_MONTHS}
+  SELECT variable, {k}, year, month, {v} FROM {in_training(source)}
 )"""
 
 

@@ -270,7 +270,7 @@ TEST_YEAR = S.TRAIN_LAST_YEAR
 def _sql_candidates(src: str, name_col: str) -> str:
     g = f"{name_col}, state_code"
     return f"""
-ev_train AS (SELECT * FROM {src} WHERE year < {TEST_YEAR} AND year >= {S.TRAIN_FIRST_YEAR}),
+ev_train AS (SELECT * FROM {src} WHERE year < {TEST_YEAR}),
 ev_test AS (SELECT {g}, year, month, CAST(value AS DOUBLE) AS label FROM {src} WHERE year = {TEST_YEAR}),
 ev_fit AS ({sql_trend("ev_train", [name_col, "state_code"])}),
 ev_preds AS (
@@ -405,7 +405,7 @@ def q_end_to_end_linear(spark, sf):
 for _kind in ("gbt", "rf", "dt"):
     def _make(kind):
         def q(spark, sf):
-            return ST.model_chain(spark, sf, STATE, kind, "pooled")
+            return ST.model_chain(spark, sf, STATE, kind)
         q.__name__ = f"q_forecast_{kind}_pooled"
         return q
     register(f"forecast_{_kind}_pooled", None,
@@ -413,12 +413,6 @@ for _kind in ("gbt", "rf", "dt"):
              "feature), full chain to the index")(_make(_kind))
 
 
-@register("forecast_gbt_per_region", None,
-          "M4, M5 parity form: one GBT pipeline per (target, state) on a bounded thread pool")
-def q_forecast_gbt_per_region(spark, sf):
-    return ST.model_chain(spark, sf, STATE, "gbt", "per_key")
-
-
 # -- sources, sinks and the streaming form ---------------------------------------------
 
 
@@ -564,10 +558,10 @@ def q_aqi_forecast_error(spark, sf):
 
 @register("compare_models", None,
           "C9 / M6 with the model candidates (linear with per-state intercepts, random forest, decision "
-          "tree, GBT): pooled fits on 1996-1999, mse on 2000, winner per weather variable")
+          "tree, GBT): pooled fits on all years before 2000, mse on 2000, winner per weather variable")
 def q_compare_models(spark, sf):
     wl = ST.weather_long(spark, sf)
-    train, test = evaluate.holdout(wl, TEST_YEAR, S.TRAIN_FIRST_YEAR)
+    train, test = evaluate.holdout(wl, TEST_YEAR)
     return evaluate.compare_models(train, test, "variable", S.WEATHER_VARIABLES, ["state_code"],
                                    S.WEATHER_FEATURES)
 

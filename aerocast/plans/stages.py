@@ -2,8 +2,7 @@
 
 Long-form monthly series: ``weather_long`` (variable, keys, year, month,
 value) and ``pollutant_long`` (param, keys, year, month, value = mean daily
-max value). Training window 1996-2000 (the first 60 months per series for
-weather, D4 order), prediction grid 2001.
+max value). Training uses every month before the prediction grid's year.
 """
 
 from __future__ import annotations
@@ -27,17 +26,22 @@ def pollutant_long(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
     return m.select("param", *keys, "year", "month", F.col("max_value").alias("value"))
 
 
-def in_training(df: DataFrame, first=S.TRAIN_FIRST_YEAR, last=S.TRAIN_LAST_YEAR) -> DataFrame:
-    return df.where((F.col("year") >= F.lit(first)) & (F.col("year") <= F.lit(last)))
+def in_training(df: DataFrame, first: int | None = None, last: int = S.TRAIN_LAST_YEAR) -> DataFrame:
+    """Rows up to ``last``, the year before the grid's; ``first`` adds a recency bound (P10)."""
+    df = df.where(F.col("year") <= F.lit(last))
+    return df if first is None else df.where(F.col("year") >= F.lit(first))
 
 
-def weather_training(wl: DataFrame, keys=STATE, truncate_label: bool = False) -> DataFrame:
-    """Training rows of the weather models: first 60 months per series in the window.
+def weather_training(wl: DataFrame, keys=STATE, truncate_label: bool = False, months: int | None = None) -> DataFrame:
+    """Training rows of the weather models: every month before the grid's year.
+
+    ``months`` keeps the first so many months of each series, as the source does (O2).
 
     ``truncate_label`` reproduces the source's cast of the label to int (D3).
     """
-    t = topk.first_n_per_group(in_training(wl), ["variable", *keys], ["year", "month"],
-                               S.WEATHER_TRAINING_MONTHS)
+    t = in_training(wl)
+    if months is not None:
+        t = topk.first_n_per_group(t, ["variable", *keys], ["year", "month"], months)
     if truncate_label:
         t = t.withColumn("value", F.col("value").cast("int").cast("double"))
     return t
@@ -72,13 +76,11 @@ POLLUTANT_ARM_COLUMNS = {p: S.forecast_column(p) for p in S.POLLUTANTS}
 
 # -- model forms (pyspark.ml) ---------------------------------------------------------
 
-def weather_model_forecast(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt",
-                           form: str = "pooled") -> DataFrame:
-    """C2 with a tree model (M1, M3, M4). The parity form truncates the label (D3)."""
+def weather_model_forecast(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt") -> DataFrame:
+    """C2 with a pooled tree model (M1, M3, M4)."""
     from ..operators import forecast
-    train = weather_training(weather_long(spark, sf, keys), keys, truncate_label=(form == "per_key"))
-    fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast
-    return fn(train, X.grid(spark, sf, keys), "variable", S.WEATHER_VARIABLES, keys,
+    train = weather_training(weather_long(spark, sf, keys), keys)
+    return forecast.pooled_forecast(train, X.grid(spark, sf, keys), "variable", S.WEATHER_VARIABLES, keys,
               S.WEATHER_FEATURES, "value", kind)
 
 
@@ -90,7 +92,7 @@ def pollutant_training(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
 
 
 def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame, keys=STATE,
-                             kind: str = "gbt", form: str = "pooled", train: DataFrame | None = None) -> DataFrame:
+                             kind: str = "gbt", train: DataFrame | None = None) -> DataFrame:
     """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score.
 
     ``train``: a table from ``pollutant_training`` prepared ahead (e.g. while the
@@ -100,11 +102,10 @@ def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame
     train = train if train is not None else pollutant_training(spark, sf, keys)
     gw = align.combine_long(X.grid(spark, sf, keys), weather_fc, k, "variable", "prediction",
                             WEATHER_ARM_COLUMNS)
-    fn = forecast.pooled_forecast if form == "pooled" else forecast.per_key_forecast
-    return fn(train, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind, prepared=True)
+    return forecast.pooled_forecast(train, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind, prepared=True)
 
 
-def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", form: str = "pooled") -> DataFrame:
+def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt") -> DataFrame:
     """C1-C6 with model forecasts: weather -> grid with weather -> pollutants -> combine -> index."""
     from concurrent.futures import ThreadPoolExecutor
 
@@ -115,9 +116,9 @@ def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt", for
     # prepare (and checkpoint) it while the weather models fit
     with ThreadPoolExecutor(max_workers=1) as pool:
         ptrain = pool.submit(pollutant_training, spark, sf, keys)
-        wf = weather_model_forecast(spark, sf, keys, kind, form)
+        wf = weather_model_forecast(spark, sf, keys, kind)
         ptrain = ptrain.result()
     gw = align.combine_long(g, wf, k, "variable", "prediction", WEATHER_ARM_COLUMNS)
-    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, form, train=ptrain)
+    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, train=ptrain)
     comb = align.combine_long(g, pf, k, "param", "prediction", POLLUTANT_ARM_COLUMNS)
     return gw.join(index.air_quality_index(comb), k)

@@ -48,19 +48,17 @@ WEATHER_TRAINING_MONTHS = 60
 
 # l_returnflag || l_linestatus -> pollutant code
 FLAG_TO_POLLUTANT = {"AF": "44201", "AO": "42401", "NF": "42101", "NO": "42602", "RF": "88101", "RO": "88502"}
-# o_orderpriority -> weather variable ("5-LOW" unused)
-PRIORITY_TO_VARIABLE = {"1-URGENT": "WIND", "2-HIGH": "TEMP", "3-MEDIUM": "RH_DP", "4-NOT SPECIFIED": "PRESS"}
+# o_orderpriority -> weather variable; the two lowest priorities feed one series
+PRIORITY_TO_VARIABLE = {"1-URGENT": "WIND", "2-HIGH": "TEMP", "3-MEDIUM": "RH_DP", "4-NOT SPECIFIED": "PRESS",
+                        "5-LOW": "PRESS"}
 # l_extendedprice is divided by this and scaled to the pollutant's top breakpoint
 PRICE_SCALE = 100000.0
 
-TRAIN_FIRST_YEAR = 1996
-TRAIN_LAST_YEAR = 2000
+BASE_YEAR = 1996  # month 0 of trend fits; no bound on the rows used
 GRID_YEAR = 2001
+TRAIN_LAST_YEAR = GRID_YEAR - 1
 
 
-def top_breakpoint(param: str) -> float:
-    return float(CONCENTRATION_LEVELS[param][-1])
-
 
 def aqi_column(param: str) -> str:
     return f"aqi_{param}"
@@ -81,7 +79,7 @@ MEASURES = ["observation_count", "observation_percent", "max_value", "max_hour",
 # are computed from exact sums and leave as double.
 MEASURE_TYPES = {
     "observation_count": T.IntegerType(),
-    "observation_percent": T.IntegerType(),
+    "observation_percent": T.DecimalType(12, 6),
     "max_value": T.DecimalType(18, 10),
     "max_hour": T.IntegerType(),
     "arithmetic_mean": T.DecimalType(18, 12),

@@ -42,12 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and stage tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local runs and tests -- a private folder is created
-    and registered as the checkpoint dir.
+    when neither is set and the master is local (tests), a private folder is created
+    and registered as the checkpoint dir; a cluster without the setting is refused.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="aerocast-ckpt-")
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():

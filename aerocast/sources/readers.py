@@ -44,6 +44,9 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("mode", "PERMISSIVE").csv(paths))
+    # the first file's header is the schema, and a file with other columns or another order is refused
+    raw = (spark.read.schema(raw.schema).option("header", True).option("enforceSchema", False)
+           .option("mode", "PERMISSIVE").csv(paths))
     name_col = "param" if kind == "pollutant" else "variable"
     if code is not None:
         name = F.lit(code)
@@ -67,14 +70,19 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
         F.expr(f"try_to_date(`{inv['date_local']}`, 'yyyy-MM-dd')").alias("date_local"),
         *[_num(inv[m], types[m]).alias(m) for m in measures],
         file_year.alias("_file_year"),
-        F.col(f"`{state_raw}`").alias("_raw_state"), F.col(f"`{inv['date_local']}`").alias("_raw_date"))
+        F.col(f"`{state_raw}`").alias("_raw_state"), F.col(f"`{inv['date_local']}`").alias("_raw_date"),
+        *[F.col(f"`{inv[m]}`").alias(f"_raw_{m}") for m in measures])
     reason = (F.when(F.col(name_col).isNull(), F.lit("no code"))
               .when(F.col("state_code").isNull(), F.lit("bad state code"))
               .when(F.col("date_local").isNull(), F.lit("bad date"))
               .when(F.col("_file_year").isNotNull() & (F.year("date_local") != F.col("_file_year")),
                     F.lit("date outside file year")))
+    for m in measures:  # a value that does not parse, or does not fit its type exactly, is not cut or lost
+        text = F.nullif(F.trim(F.col(f"_raw_{m}")), F.lit(""))
+        wide = text.try_cast("decimal(38,18)")
+        reason = reason.when(text.isNotNull() & (F.col(m).isNull() | (wide != F.col(m))), F.lit(f"bad {m}"))
     typed = typed.withColumn("_reason", reason)
-    good = typed.where(F.col("_reason").isNull()).drop("_reason", "_file_year", "_raw_state", "_raw_date")
+    good = typed.where(F.col("_reason").isNull()).drop("_reason", "_file_year", "_raw_state", "_raw_date", *[f"_raw_{m}" for m in measures])
     bad = typed.where(F.col("_reason").isNotNull()).select(
         name_col, F.col("_raw_state").alias("raw_state_code"), F.col("_raw_date").alias("raw_date"),
         F.col("_reason").alias("reason"))

@@ -14,11 +14,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import scratch_path
 
 
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> str:
@@ -43,7 +44,8 @@ def stage_daily(daily: DataFrame, root: str, name_col: str = "param", fmt: str =
     if header_names:
         inv = {v: k for k, v in S.DAILY_CSV_COLUMNS.items()}
         df = df.select(*[F.col(c).alias(inv.get(c, c)) for c in df.columns])
-    w = df.write.mode("overwrite").partitionBy(name_col, "year")
+    # one directory's rows meet in few tasks; AQE splits the large ones
+    w = df.hint("rebalance", name_col, "year").write.mode("overwrite").partitionBy(name_col, "year")
     if fmt == "csv":
         w.option("header", True).csv(root)
     else:
@@ -69,13 +71,24 @@ def coerce(df: DataFrame, schema: T.StructType, keys) -> tuple[DataFrame, DataFr
     return good, bad
 
 
-def upsert(spark: SparkSession, new: DataFrame, keys, table_root: str, existing: DataFrame | None = None) -> str:
+def upsert(spark: SparkSession, new: DataFrame, keys, table_root: str, existing: DataFrame | None = None,
+           latest_by=()) -> str:
     """K3: keyed upsert into ``table_root/v<N>``; returns the new version's path.
 
     ``existing`` defaults to the latest version under ``table_root``. The new
     version is fully written before it becomes the latest, so a failed job
-    leaves the previous version intact.
+    leaves the previous version intact. Of several new rows with one key the greatest by
+    ``latest_by``, then by the other columns, is kept. ``new`` is evaluated once.
     """
+    staged = scratch_path(spark, "upsert")
+    new.write.parquet(staged)
+    new = spark.read.parquet(staged)
+    order = [F.col(c).desc_nulls_last() for c in [*latest_by, *[c for c in new.columns if c not in (*keys, *latest_by)]]]
+    if order:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        new = new.withColumn("_place", place).where("_place = 1").drop("_place")
+    else:
+        new = new.dropDuplicates(list(keys))
     version = latest_version(spark, table_root)
     if existing is None and version is not None:
         existing = spark.read.parquet(f"{table_root}/v{version}")

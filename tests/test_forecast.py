@@ -28,22 +28,19 @@ def test_pooled_tree_forecast_in_label_range_and_deterministic(spark, kind):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, b.collect()))
 
 
-def test_per_key_one_forecast_per_grid_row_of_a_trained_key(spark):
-    tr = _train(spark).where("variable = 'TEMP' AND state_code IN (1, 2)")
-    out = forecast.per_key_forecast(tr, _grid(spark), "variable", ["TEMP"], ["state_code"],
-                                    ["month", "year"], kind="dt", parallelism=2, batch=2)
-    keys = sorted((r.state_code, r.month) for r in out.collect())
-    assert keys == sorted((k, m) for k in (1, 2) for m in range(1, 13))  # key 3 untrained: no rows
+def test_untrained_pairs_get_no_forecast(spark):
+    tr = _train(spark).where("state_code IN (1, 2) AND NOT (variable = 'WIND' AND state_code = 2)")
+    out = forecast.pooled_forecast(tr, _grid(spark), "variable", ["TEMP", "WIND"], ["state_code"],
+                                   ["month", "year"], kind="dt")
+    keys = {(r.variable, r.state_code) for r in out.collect()}
+    assert keys == {("TEMP", 1), ("TEMP", 2), ("WIND", 1)}
 
 
-def test_per_key_matches_a_directly_built_pipeline(spark):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+def test_more_keys_do_not_change_a_key_with_its_own_mean(spark):
+    from pyspark.sql import functions as F
     tr = _train(spark).where("variable = 'TEMP'")
-    out = forecast.per_key_forecast(tr, _grid(spark, (2,)), "variable", ["TEMP"], ["state_code"],
-                                    ["month", "year"], kind="dt", parallelism=1)
-    direct = Pipeline(stages=[VectorAssembler(inputCols=["month", "year"], outputCol="features"),
-                              forecast.estimator("dt", "value", "prediction")]).fit(tr.where("state_code = 2"))
-    want = {r.month: r.prediction for r in direct.transform(_grid(spark, (2,))).collect()}
-    got = {r.month: r.prediction for r in out.collect()}
-    assert got == want
+    many = tr.unionByName(tr.where("state_code = 1").select("variable", F.explode(F.sequence(F.lit(100), F.lit(160))).alias("state_code"),
+                                                            "year", "month", F.lit(1e6).alias("value")))
+    out = forecast.pooled_forecast(many, _grid(spark, (1,)), "variable", ["TEMP"], ["state_code"], ["month", "year"], kind="dt")
+    assert all(0 < r.prediction < 100 for r in out.collect())
+

@@ -42,9 +42,21 @@ def test_weather_training_truncates_label_toward_zero_when_asked(spark):
     rows = [("TEMP", 1, 1996, 1, 3.9), ("TEMP", 1, 1996, 2, -3.9), ("TEMP", 1, 1995, 1, 7.0)]
     wl = spark.createDataFrame(rows, "variable string, state_code int, year int, month int, value double")
     got = sorted((r.month, r.value) for r in stages.weather_training(wl, truncate_label=True).collect())
-    assert got == [(1, 3.0), (2, -3.0)]  # 1995 is outside the training window
+    assert got == [(1, 3.0), (1, 7.0), (2, -3.0)]
     got = sorted((r.month, r.value) for r in stages.weather_training(wl).collect())
-    assert got == [(1, 3.9), (2, -3.9)]
+    assert got == [(1, 3.9), (1, 7.0), (2, -3.9)]
+    got = sorted((r.month, r.value) for r in stages.weather_training(wl, months=2).collect())
+    assert got == [(1, 3.9), (1, 7.0)]
+
+
+def test_rows_of_the_first_year_change_the_slope(spark):
+    from aerocast.operators import linear
+    from aerocast.plans import stages
+    rows = [(1, y, m, float(m + (50 if y == 1995 else 0))) for y in range(1995, 2001) for m in range(1, 13)]
+    wl = spark.createDataFrame(rows, "state_code int, year int, month int, value double")
+    every = linear.trend_fit(stages.in_training(wl), ["state_code"]).first()
+    later = linear.trend_fit(stages.in_training(wl, first=1996), ["state_code"]).first()
+    assert every.asDict() != later.asDict()
 
 
 def test_variable_filter_restricts_rows_averaged(spark):

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from aerocast import schema as S
 from aerocast.sources import readers, writers
 
@@ -28,7 +30,7 @@ def test_daily_csv_code_and_year_from_file_name_and_quarantine(spark, tmp_path):
 
 def test_staged_csv_roundtrip_is_exact(spark, tmp_path):
     from decimal import Decimal
-    rows = [("42101", 1, 10, dt.date(1999, 5, d), 1, 95, Decimal("12.3456789012"),
+    rows = [("42101", 1, 10, dt.date(1999, 5, d), 1, Decimal("95.000000"), Decimal("12.3456789012"),
              3, Decimal("11.728395110000")) for d in (1, 2)]
     daily = spark.createDataFrame(rows, S.POLLUTANT_DAILY)
     root = str(tmp_path / "staged")
@@ -94,3 +96,31 @@ def test_weather_csv_variable_from_file_name(spark, tmp_path):
     rows = sorted((r.variable, r.state_code, r.county_code, r.arithmetic_mean) for r in good.collect())
     assert rows == [("RH_DP", 6, 37, Decimal("41.500000")), ("TEMP", 6, 37, Decimal("61.250000"))]
     assert [r.reason for r in bad.collect()] == ["bad date"]
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    head = "State Code,County Code,Date Local,Observation Count,Observation Percent,1st Max Value,1st Max Hour,Arithmetic Mean"
+    swapped = head.replace("State Code,County Code", "County Code,State Code")
+    for name, h in (("daily_42401_1996.csv", head), ("daily_42401_1997.csv", swapped)):
+        (tmp_path / name).write_text(f"{h}\n6,1,{name[12:16]}-01-02,24,100,1.5,3,1.25\n")
+    good, _ = readers.read_daily_csv(spark, [str(tmp_path / "daily_42401_1996.csv"), str(tmp_path / "daily_42401_1997.csv")])
+    with pytest.raises(Exception, match="(?i)header"):
+        good.collect()
+
+
+def test_measures_are_neither_cut_nor_lost(spark, tmp_path):
+    head = "State Code,County Code,Date Local,Observation Count,Observation Percent,1st Max Value,1st Max Hour,Arithmetic Mean"
+    rows = ["24,100,1.5,3,1.25", "24.5,100,1.5,3,1.25", "24,100,0.123456789012345,3,1.25", "24,100,1.5,3,abc", "24.0,100,1.5,,1.25"]
+    (tmp_path / "daily_42401_1996.csv").write_text("\n".join([head, *[f"6,1,1996-01-02,{r}" for r in rows]]) + "\n")
+    good, bad = readers.read_daily_csv(spark, str(tmp_path / "daily_42401_1996.csv"))
+    assert good.count() == 2
+    assert sorted(r.reason for r in bad.collect()) == ["bad arithmetic_mean", "bad max_value", "bad observation_count"]
+
+
+def test_upsert_keeps_one_row_a_key(spark):
+    from aerocast.session import scratch_path
+    root = scratch_path(spark, "test_upsert")
+    df = lambda rows: spark.createDataFrame(rows, "k int, t int, v string")
+    writers.upsert(spark, df([(1, 1, "a"), (2, 1, "b")]), ["k"], root)
+    path = writers.upsert(spark, df([(2, 5, "old"), (2, 9, "new"), (2, 9, "new"), (3, 1, "c")]), ["k"], root, latest_by=["t"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, 1, "a"), (2, 9, "new"), (3, 1, "c")]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 
 def _daily(spark, rows):
+    rows = [(*r[:5], None if r[5] is None else Decimal(r[5]), *r[6:]) for r in rows]
     return spark.createDataFrame(rows, S.POLLUTANT_DAILY)
 
 

@@ -74,7 +74,7 @@ def test_hot_key_holding_a_third_of_rows(spark):
     rows = []
     for i in range(3000):
         st = 0 if i % 3 == 0 else 1 + i % 50          # state 0 holds a third of all readings
-        rows.append(("42101", st, st, dt.date(2000, 1 + i % 12, 1 + i % 28), 1, 90,
+        rows.append(("42101", st, st, dt.date(2000, 1 + i % 12, 1 + i % 28), 1, Decimal("90"),
                      Decimal(f"{(i % 997) / 7:.10f}"), 3, Decimal("1")))
     daily = spark.createDataFrame(rows, S.POLLUTANT_DAILY).repartition(16)
     got = monthly.monthly_pollutant(daily).toPandas().set_index(["state_code", "month"]).sort_index()

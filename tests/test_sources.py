@@ -49,7 +49,7 @@ def test_grid_csv_header_is_honoured(spark, tmp_path):
 
 def test_read_years_opens_only_listed_partitions(spark, tmp_path):
     from decimal import Decimal
-    rows = [(p, 1, 10, dt.date(y, 1, 1), 1, 1, Decimal("1"), 1, Decimal("1"))
+    rows = [(p, 1, 10, dt.date(y, 1, 1), 1, Decimal("1"), Decimal("1"), 1, Decimal("1"))
             for p in ("42101", "44201") for y in (1998, 1999, 2000)]
     root = str(tmp_path / "parts")
     writers.stage_daily(spark.createDataFrame(rows, S.POLLUTANT_DAILY), root)

@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import LATER, byte_letters
-from .common import BoundedCache, chunked, stage_table, text_batches
+from .common import BoundedCache, chunked, stage_table
 
 END_ID = 2
 RECORDS_PER_FILE = 65_536
-CACHE_MAX = 400_000
+CACHE_MAX = 600_000
 _MARKS = frozenset(".,;:!?")
 _ID = attrgetter("id")
 _MASK_DELTA = 0xA282EAD8
@@ -150,7 +150,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, id_col: st
                 frame(d, np.concatenate([enc.encode(t), end]), enc.width)[:-1]  # the writer adds the end mark
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)], pa.binary())], ["frame"])
 
-    rows = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     (rows.orderBy("id", F.xxhash64("text")).mapInArrow(run, "frame binary")
      .select(F.col("frame").cast("string").alias("frame"))
      .write.option("lineSep", END_MARK.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE).text(out))

@@ -61,17 +61,27 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Da
     return F.broadcast(df) if n is not None and n <= max_bytes else df
 
 
+def in_years(df: DataFrame, date_col: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows dated in the years ``first`` to ``last``: a half-open range of the raw column, which reaches the scan."""
+    t = df.schema[date_col].dataType
+    if first is not None:
+        df = df.where(F.col(date_col) >= F.lit(f"{first:04d}-01-01").cast(t))
+    if last is not None:
+        df = df.where(F.col(date_col) < F.lit(f"{last + 1:04d}-01-01").cast(t))
+    return df
+
+
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The place dimension (25 nations in the driver's tables): broadcast behind a size check.
     return bounded_broadcast(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("county_code"), F.col("n_regionkey").alias("state_code")))
 
 
-def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per reading: param, state_code, county_code, date_local, five measures."""
+def pollutant_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """One row per reading: param, state_code, county_code, date_local, five measures; ``first``/``last`` bound the years."""
     firsts = sorted({f[0] for f in S.FLAG_TO_POLLUTANT})
     seconds = sorted({f[1:] for f in S.FLAG_TO_POLLUTANT})
-    li = (table(spark, sf_dir, "lineitem")
+    li = (in_years(table(spark, sf_dir, "lineitem"), "l_shipdate", first, last)
           .select("l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_linenumber",
                   "l_returnflag", "l_linestatus", "l_shipdate")
           .where(F.col("l_returnflag").isin(firsts) & F.col("l_linestatus").isin(seconds)))
@@ -101,9 +111,9 @@ def pollutant_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.where(flag.isin(list(S.FLAG_TO_POLLUTANT)))
 
 
-def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per reading: variable, state_code, county_code, date_local, arithmetic_mean."""
-    orders = (table(spark, sf_dir, "orders")
+def weather_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """One row per reading: variable, state_code, county_code, date_local, arithmetic_mean; ``first``/``last`` bound the years."""
+    orders = (in_years(table(spark, sf_dir, "orders"), "o_orderdate", first, last)
               .select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
               .where(F.col("o_orderpriority").isin(list(S.PRIORITY_TO_VARIABLE))))
     cust = table(spark, sf_dir, "customer").select(

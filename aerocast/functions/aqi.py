@@ -64,27 +64,6 @@ def global_index(*cols: Column) -> Column:
     return F.greatest(*cols)
 
 
-def sql_subindex(value_sql: str, param: str) -> str:
-    """The same piecewise function as SQL text (used by the SQL oracle)."""
-    def d(x: float) -> str:
-        r = repr(float(x))
-        return r if ("e" in r or "inf" in r or "nan" in r) else r + "e0"
-
-    v = f"CAST({value_sql} AS DOUBLE)"
-    parts = [f"WHEN {v} IS NULL OR isnan({v}) THEN CAST(NULL AS DOUBLE)"]
-    for upper, g0, a0, num, den in bands(param):
-        if upper is None:
-            parts.append(f"WHEN {v} >= {d(g0)} THEN {d(a0)}")
-        else:
-            parts.append(f"WHEN {v} < {d(upper)} THEN ({v} - {d(g0)}) * {d(num)} / {d(den)} + {d(a0)}")
-    return "(CASE " + " ".join(parts) + " END)"
-
-
-def sql_subindex_by_param(value_sql: str, param_sql: str) -> str:
-    parts = [f"WHEN {param_sql} = '{p}' THEN {sql_subindex(value_sql, p)}" for p in S.POLLUTANTS]
-    return "(CASE " + " ".join(parts) + " END)"
-
-
 def wide_subindices(df, params=None, value_col=S.forecast_column, keep=True):
     """Add ``aqi_<code>`` for each pollutant's value column and ``global_aqi``."""
     params = params or S.POLLUTANTS
@@ -98,23 +77,17 @@ def wide_subindices(df, params=None, value_col=S.forecast_column, keep=True):
 def band_table(spark):
     """The breakpoint bands of every pollutant as a fixed lookup table (46 rows).
 
-    Columns: ``_b_param``, ``_b_lo`` (inclusive, null = unbounded), ``_b_hi``
-    (exclusive, null = unbounded), and the band's line ``_b_g0``, ``_b_a0``,
-    ``_b_num``, ``_b_den`` (``_b_num = 0``: the saturated constant).
+    Columns: ``_b_param``, ``_b_lo`` (inclusive), ``_b_hi`` (exclusive; NaN, which Spark orders last, where there is
+    no upper bound), and the band's line ``_b_g0``, ``_b_a0``, ``_b_num``, ``_b_den`` (``_b_num = 0``: the saturated constant).
     """
-    from pyspark.sql import types as T
     rows = []
     for p in S.POLLUTANTS:
-        prev = None
-        for upper, g0, a0, num, den in bands(p):
-            if upper is None:
-                rows.append((p, g0, None, g0, a0, num, den))
-            else:
-                rows.append((p, prev, upper, g0, a0, num, den))
-                prev = upper
-    schema = T.StructType([T.StructField(n, T.StringType() if n == "_b_param" else T.DoubleType())
-                           for n in ("_b_param", "_b_lo", "_b_hi", "_b_g0", "_b_a0", "_b_num", "_b_den")])
-    return spark.createDataFrame(rows, schema)
+        low = float("-inf")
+        for upper, *line in bands(p):
+            rows.append((p, line[0] if upper is None else low, float("nan") if upper is None else upper, *line))
+            low = low if upper is None else upper
+    values = ", ".join("('" + p + "', " + ", ".join(f"double('{x!r}')" for x in xs) + ")" for p, *xs in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(_b_param, _b_lo, _b_hi, _b_g0, _b_a0, _b_num, _b_den)")
 
 
 def subindex_long(df, value_col: str, param_col: str = "param", out: str = "aqi"):
@@ -126,9 +99,7 @@ def subindex_long(df, value_col: str, param_col: str = "param", out: str = "aqi"
     """
     b = F.broadcast(band_table(df.sparkSession))
     v = F.col(value_col).cast("double")
-    cond = ((F.col(param_col) == F.col("_b_param")) & ~F.isnan(v)
-            & (F.col("_b_lo").isNull() | (v >= F.col("_b_lo")))
-            & (F.col("_b_hi").isNull() | (v < F.col("_b_hi"))))
+    cond = (F.col(param_col) == F.col("_b_param")) & (v >= F.col("_b_lo")) & (v < F.col("_b_hi"))
     line = (F.when(F.col("_b_num") == F.lit(0.0), F.col("_b_a0"))
             .otherwise((v - F.col("_b_g0")) * F.col("_b_num") / F.col("_b_den") + F.col("_b_a0")))
     return (df.join(b, cond, "left").withColumn(out, line)

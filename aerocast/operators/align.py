@@ -10,8 +10,8 @@ one conditional aggregation -- a single shuffle however many arms there are.
 ``mode="reference"``: ``grid t FULL JOIN a ON t.k = a.k FULL JOIN b ON t.k =
 b.k ...``: only the grid's key columns are returned, so an arm row absent
 from the grid becomes its own row with null keys, never merged with another
-arm's. Built as the literal join chain (arms are forecast tables, bounded by
-keys × horizon).
+arm's. Built as left joins of the grid with the arms, plus the arm rows that match no
+grid row: the null keys of such rows never travel through another join.
 
 Keys are expected non-null in merge mode (grouping would put null keys of
 different arms together, where ``USING`` would keep them apart).
@@ -54,20 +54,23 @@ def outer_chain(grid: DataFrame, arms: dict, keys, mode: str = "merge", fill=0.0
         return merge_long(grid, long, keys, _ARM, _VAL, {c: c for c in arms}, fill)
     if mode != "reference":
         raise ValueError(f"unknown mode {mode!r}")
-    out = grid.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    for i, (c, a) in enumerate(arms.items()):
-        side = a.select(*[F.col(k).alias(f"_a{i}_{k}") for k in keys], F.col(c).cast("double").alias(c))
-        cond = reduce(lambda x, y: x & y, [F.col(f"_t_{k}") == F.col(f"_a{i}_{k}") for k in keys])
-        out = out.join(side, cond, "full_outer")
-    out = out.select(*[F.col(f"_t_{k}").alias(k) for k in keys], *arms.keys())
-    return _fill(out, arms.keys(), fill)
+    long = reduce(DataFrame.unionByName, [
+        a.select(*keys, F.lit(c).alias(_ARM), F.col(c).cast("double").alias(_VAL)) for c, a in arms.items()])
+    return reference_long(grid, long, keys, _ARM, _VAL, {c: c for c in arms}, fill)
 
 
 def reference_long(grid: DataFrame, long: DataFrame, keys, name_col: str, value_col: str,
                    columns: dict, fill=0.0) -> DataFrame:
-    arms = {c: long.where(F.col(name_col) == F.lit(n)).select(*keys, F.col(value_col).alias(c))
-            for n, c in columns.items()}
-    return outer_chain(grid, arms, keys, "reference", fill)
+    """Reference-mode outer chain from a long table of arms, which is read once for each arm: pass a stored table."""
+    value = F.col(value_col).cast("double")
+    grid = grid.select(*keys)
+    out = grid
+    for n, c in columns.items():
+        out = out.join(long.where(F.col(name_col) == F.lit(n)).select(*keys, value.alias(c)), list(keys), "left")
+    lost = long.where(F.col(name_col).isin(list(columns))).join(grid, list(keys), "left_anti").select(
+        *[F.lit(None).cast(grid.schema[k].dataType).alias(k) for k in keys],
+        *[F.when(F.col(name_col) == F.lit(n), value).alias(c) for n, c in columns.items()])
+    return _fill(out.unionByName(lost), columns.values(), fill)
 
 
 def combine_long(grid: DataFrame, long: DataFrame, keys, name_col: str, value_col: str,

@@ -8,7 +8,7 @@ of all groups are scored by one aggregation, and the winner per group is
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,9 +79,15 @@ def forecast_error(observed_daily: DataFrame, forecast: DataFrame, key_cols, nam
     obs = (observed_daily.withColumn("year", F.year("date_local")).withColumn("month", F.month("date_local"))
            .groupBy(*name_cols, "month", *key_cols)
            .agg(exact_mean(value_col, exact).alias("observed"), F.avg(F.col("year").cast("double")).alias("year_x")))
+    return error_report(obs, forecast, key_cols, name_cols, pred_col, match_year)
+
+
+def error_report(observed: DataFrame, forecast: DataFrame, key_cols, name_cols=(), pred_col: str = "prediction",
+                 match_year: bool = False) -> DataFrame:
+    """Observed means (names, month, keys, ``observed``, ``year_x``) against forecasts."""
     fc = forecast.select(*name_cols, *key_cols, "month", F.col("year").alias("year_y"),
                          F.col(pred_col).alias("predicted"))
-    out = obs.join(fc, [*name_cols, "month", *key_cols])
+    out = observed.join(fc, [*name_cols, "month", *key_cols])
     if match_year:
         out = out.where(F.col("year_x") == F.col("year_y").cast("double"))
     return out.withColumn("diff", F.col("predicted") - F.col("observed"))
@@ -101,12 +107,12 @@ def compare_models(train: DataFrame, test: DataFrame, name_col: str, names, key_
     from . import forecast
     feats = [c for c in feature_cols if c not in (*key_cols, "year", "month")]
     grid = test.select(*key_cols, "year", "month", *feats).distinct()  # one row per scored point
+    train = forecast.stable(forecast.training_frame(train, name_col, key_cols, feature_cols, label_col))
+    grid = forecast.stable(grid)
     scored = []
     for kind in kinds:
-        if kind == "linear":
-            p = forecast.pooled_linear_forecast(train, grid, name_col, names, key_cols, feature_cols, label_col)
-        else:
-            p = forecast.pooled_forecast(train, grid, name_col, names, key_cols, feature_cols, label_col, kind)
+        fit = forecast.within_linear_forecast if kind == "linear" else partial(forecast.pooled_forecast, kind=kind)
+        p = fit(train, grid, name_col, names, key_cols, feature_cols, label_col, prepared=True)
         scored.append(p.withColumn("model", F.lit(kind)))
     preds = reduce(DataFrame.unionByName, scored)
     lab = test.select(name_col, *key_cols, "year", "month", F.col(label_col).cast("double").alias("label"))

@@ -50,22 +50,29 @@ def training_frame(train: DataFrame, name_col: str, key_cols, feature_cols, labe
                         F.col(label_col).cast("double").alias("_label")).dropna()
 
 
+def _no_forecast(score: DataFrame, mine: DataFrame, name, name_col: str, key_cols, pred_col: str) -> DataFrame:
+    """The result of a name without training rows: the columns of a forecast, no row."""
+    return score.join(mine, list(key_cols)).select(F.lit(name).alias(name_col), *key_cols, "year", "month",
+                                                   F.lit(None).cast("double").alias(pred_col))
+
+
 def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
                     label_col: str = "value", kind: str = "gbt", pred_col: str = "prediction",
                     parallelism: int = 6, prepared: bool = False) -> DataFrame:
     """One pooled model per name; returns (name, keys, year, month, prediction).
 
-    ``prepared``: ``train`` is already ``stable(training_frame(...))``.
+    ``prepared``: ``train`` is already ``stable(training_frame(...))``, and ``score`` is stored.
     """
     if not prepared:
-        train = stable(training_frame(train, name_col, key_cols, feature_cols, label_col))
+        train, score = stable(training_frame(train, name_col, key_cols, feature_cols, label_col)), stable(score)
     feats = [c for c in feature_cols if c not in key_cols]
     # one row per (name, key): the key's feature, and the pairs that may be forecast
     means = stable(train.groupBy(name_col, *key_cols).agg(F.avg("_label").alias("_key_mean")))
-    score = stable(score)
 
     def fit_one(n):
         mine = means.where(F.col(name_col) == F.lit(n)).drop(name_col)
+        if mine.isEmpty():
+            return _no_forecast(score, mine, n, name_col, key_cols, pred_col)
         # a fixed order of the (monthly) rows: bagging draws by partition and position
         t = (train.where(F.col(name_col) == F.lit(n)).join(mine, list(key_cols))
              .repartition(*key_cols).sortWithinPartitions(*key_cols, *feats, "_label"))
@@ -81,27 +88,33 @@ def pooled_forecast(train: DataFrame, score: DataFrame, name_col: str, names, ke
     return reduce(DataFrame.unionByName, parts)
 
 
-def pooled_linear_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
-                           label_col: str = "value", pred_col: str = "prediction") -> DataFrame:
-    """The latent LinearRegression candidate: one OLS per name over every key,
-    the key one-hot encoded (a per-key intercept)."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    train = stable(train.select(name_col, *key_cols, *[c for c in feature_cols if c not in key_cols],
-                                F.col(label_col).cast("double").alias("_label")).dropna())
+def within_linear_forecast(train: DataFrame, score: DataFrame, name_col: str, names, key_cols, feature_cols,
+                           label_col: str = "value", pred_col: str = "prediction", prepared: bool = False) -> DataFrame:
+    """One least-squares fit per name with an intercept for each key; returns (name, keys, year, month, prediction).
+
+    The intercepts are taken out by centring label and features on their key's means, so a fit has as
+    many coefficients as features, whatever the number of keys. ``prepared`` as in ``pooled_forecast``.
+    """
+    if not prepared:
+        train, score = stable(training_frame(train, name_col, key_cols, feature_cols, label_col)), stable(score)
     feats = [c for c in feature_cols if c not in key_cols]
-    score = stable(score)
+    means = stable(train.groupBy(name_col, *key_cols).agg(
+        F.avg("_label").alias("_key_mean"), *[F.avg(c).alias(f"_mean_{c}") for c in feats]))
+    centred = [(F.col(c).cast("double") - F.col(f"_mean_{c}")).alias(f"_c_{c}") for c in feats]
+    assemble = VectorAssembler(inputCols=[f"_c_{c}" for c in feats], outputCol="features", handleInvalid="skip")
 
     def fit_one(n):
-        key = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])
-        t = train.where(F.col(name_col) == F.lit(n)).withColumn("_key", key)
-        s = score.withColumn("_key", key)
-        pipe = Pipeline(stages=[
-            StringIndexer(inputCol="_key", outputCol="_key_ix", handleInvalid="keep"),
-            OneHotEncoder(inputCol="_key_ix", outputCol="_key_oh", handleInvalid="keep"),
-            VectorAssembler(inputCols=["_key_oh", *feats], outputCol="features"),
-            estimator("linear", "_label", pred_col)])
-        return (pipe.fit(t).transform(s)
-                .select(F.lit(n).alias(name_col), *key_cols, "year", "month", F.col(pred_col).cast("double")))
+        mine = means.where(F.col(name_col) == F.lit(n)).drop(name_col)
+        if mine.isEmpty():
+            return _no_forecast(score, mine, n, name_col, key_cols, pred_col)
+        t = train.where(F.col(name_col) == F.lit(n)).join(mine, list(key_cols)).select(
+            (F.col("_label") - F.col("_key_mean")).alias("_label"), *centred)
+        s = (score.where(F.col(name_col) == F.lit(n)) if name_col in score.columns else score).join(mine, list(key_cols))
+        s = s.select(*key_cols, "year", "month", "_key_mean", *centred)
+        fit = LinearRegression(labelCol="_label", predictionCol="_slope", fitIntercept=False, solver="normal")
+        model = Pipeline(stages=[assemble, fit]).fit(t)
+        return model.transform(s).select(F.lit(n).alias(name_col), *key_cols, "year", "month",
+                                         (F.col("_key_mean") + F.col("_slope")).alias(pred_col))
 
     with ThreadPoolExecutor(max_workers=max(1, min(6, len(names)))) as pool:
         parts = list(pool.map(fit_one, names))

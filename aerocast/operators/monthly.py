@@ -59,6 +59,19 @@ def monthly_weather(daily: DataFrame, keys=("state_code",), exact: bool = True)
             .groupBy(*keys, "year", "month").agg(*aggs))
 
 
+def spread_weather(long: DataFrame, keys=("state_code",)) -> DataFrame:
+    """The table of ``monthly_weather`` from that of ``monthly_weather_long`` (one row a series and month)."""
+    aggs = [F.max(F.when(F.col("variable") == F.lit(n), F.col("value"))).alias(S.WEATHER_COLUMNS[n])
+            for n in S.WEATHER_VARIABLES]
+    return long.groupBy(*keys, "year", "month").agg(*aggs)
+
+
+def join_features(pollutant_months: DataFrame, weather_months: DataFrame, keys=("state_code",)) -> DataFrame:
+    """Pollutant months with their four weather means; months lacking one are dropped."""
+    return pollutant_months.join(weather_months.dropna(subset=list(S.WEATHER_COLUMNS.values())),
+                                 [*keys, "year", "month"], "inner")
+
+
 def monthly_features(pollutant_daily: DataFrame, weather_daily: DataFrame,
                      keys=("state_code",), state: int | None = None, exact: bool = True) -> DataFrame:
     """Pollutant months joined with the four weather means.
@@ -71,9 +84,8 @@ def monthly_features(pollutant_daily: DataFrame, weather_daily: DataFrame,
     if state is not None:
         pollutant_daily = pollutant_daily.where(F.col("state_code") == F.lit(state))
         weather_daily = weather_daily.where(F.col("state_code") == F.lit(state))
-    p = monthly_pollutant(pollutant_daily, keys, exact=exact)
-    w = monthly_weather(weather_daily, keys, exact=exact).dropna(subset=list(S.WEATHER_COLUMNS.values()))
-    return p.join(w, [*keys, "year", "month"], "inner")
+    return join_features(monthly_pollutant(pollutant_daily, keys, exact=exact),
+                         monthly_weather(weather_daily, keys, exact=exact), keys)
 
 
 def sort_for_output(df: DataFrame, keys=("state_code",)) -> DataFrame:

@@ -7,10 +7,36 @@ Each builder returns ``name AS (...)`` fragments; ``with_ctes`` joins them.
 from __future__ import annotations
 
 from .. import schema as S
-from ..functions.aqi import sql_subindex, sql_subindex_by_param
 from ..functions.stats import sql_exact_mean as mean
 
 
+# Concentration and index level at the band ends of each pollutant, for the SQL
+# side alone (the Spark side has its own table).
+INDEX_POINTS = {
+    "44201": "0:0 0.055:51 0.071:101 0.086:151 0.106:201 0.201:301",
+    "42401": "0:0 36:51 76:101 186:151 305:201 605:301 805:401 1005:500",
+    "42101": "0:0 4.5:51 9.5:101 12.5:151 15.5:201 30.5:301 40.5:401 50.5:500",
+    "42602": "0:0 54:51 101:101 361:151 650:201 1250:301 1650:401 2050:500",
+    "88101": "0:0 12.1:51 35.5:101 55.5:151 150.5:201 250.5:301 350.5:401 500.5:500",
+    "88502": "0:0 12.1:51 35.5:101 55.5:151 150.5:201 250.5:301 350.5:401 500.5:500",
+}
+
+
+def sql_subindex(value: str, param: str) -> str:
+    """The sub-index as SQL: one line per band, one less than the last level above, and the line through (0, 0) and
+    (last concentration, 500) below zero."""
+    v = f"CAST({value} AS DOUBLE)"
+    pts = [tuple(f"{x}e0" for x in p.split(":")) for p in INDEX_POINTS[param].split()]
+    line = [f"WHEN {v} < {g} THEN ({v} - {f}) * ({a} - {b}) / ({g} - {f}) + {b}" for (f, b), (g, a) in zip(pts, pts[1:])]
+    top, level = pts[-1]
+    return (f"(CASE WHEN {v} IS NULL OR isnan({v}) THEN CAST(NULL AS DOUBLE) WHEN {v} >= {top} THEN {level} - 1e0 "
+            f"WHEN {v} < 0e0 THEN ({v} - {top}) * (0e0 - 500e0) / (0e0 - {top}) + 500e0 {' '.join(line)} END)")
+
+
+def sql_subindex_by_param(value: str, param: str) -> str:
+    return "(CASE " + " ".join(f"WHEN {param} = '{p}' THEN {sql_subindex(value, p)}" for p in INDEX_POINTS) + " END)"
+
+
 def d(x: float) -> str:
     """A DOUBLE literal (scientific notation parses as DOUBLE, exactly)."""
     r = repr(float(x))
@@ -136,15 +162,6 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
 
 
-def r(expr: str, places: int) -> str:
-    return f"round({expr}, {places})"
-
-
-__all__ = ["d", "case", "pollutant_daily", "weather_daily", "monthly_pollutant", "monthly_weather",
-           "monthly_weather_long", "monthly_features", "grid", "with_ctes", "r",
-           "sql_subindex", "sql_subindex_by_param"]
-
-
 # -- stages (mirrors aerocast.plans.stages) -------------------------------------
 
 STATE = ("state_code",)
@@ -160,7 +177,7 @@ def in_training(src: str) -> str:
 
 
 def weather_train(name="weather_train", truncate_label=False, keys=STATE, source="weather_long") -> str:
-    v = "CAST(CAST(value AS INTEGER) AS DOUBLE) AS value" if truncate_label else "value"
+    v = "trunc(value) AS value" if truncate_label else "value"
     k = ", ".join(keys)
     return f"""
 {name} AS (

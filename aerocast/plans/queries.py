@@ -60,10 +60,6 @@ def rounded(df: DataFrame, places: int = AGG_PLACES, cols=None) -> DataFrame:
     return df.select(*[F.round(F.col(c), places).alias(c) if c in todo else F.col(c) for c in df.columns])
 
 
-def sql_rounded(cols, places: int = AGG_PLACES) -> str:
-    return ", ".join(f"round({c}, {places}) AS {c}" for c in cols)
-
-
 SIG = 9  # significant digits kept for fitted values of large magnitude (weather ~1e5)
 
 
@@ -199,12 +195,16 @@ def _sql_nullable_keys(sql, keys=("state_code", "year", "month")):
 
 
 def _grid_with_weather(spark, sf, mode):
-    return align.combine_long(X.grid(spark, sf), ST.weather_naive_arms(spark, sf), ["state_code", "year", "month"],
+    arms = ST.weather_naive_arms(spark, sf)
+    arms = writers.stage(arms, "weather-arms") if mode == "reference" else arms
+    return align.combine_long(X.grid(spark, sf), arms, ["state_code", "year", "month"],
                               "variable", "prediction", ST.WEATHER_ARM_COLUMNS, mode)
 
 
 def _combine(spark, sf, mode):
-    return align.combine_long(X.grid(spark, sf), ST.pollutant_naive_arms(spark, sf), ["state_code", "year", "month"],
+    arms = ST.pollutant_naive_arms(spark, sf)
+    arms = writers.stage(arms, "pollutant-arms") if mode == "reference" else arms
+    return align.combine_long(X.grid(spark, sf), arms, ["state_code", "year", "month"],
                               "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, mode)
 
 
@@ -293,6 +293,7 @@ ev_mse AS (
 
 
 def _mse(spark, sf, long_df, name_col):
+    long_df = writers.stage(long_df, f"{name_col}-monthly")
     scored = evaluate.candidate_predictions(long_df, [name_col], ["state_code"], TEST_YEAR)
     return evaluate.mse_by_model(scored, [name_col, "state_code"])
 
@@ -301,7 +302,7 @@ def _mse(spark, sf, long_df, name_col):
 SELECT variable, state_code, model, {sql_round_sig("mse")} AS mse, n_test FROM ev_mse""",
           "M7, A5: train 1996-1999, score 2000; mse of linear / mean / seasonal-naive per (variable, state)")
 def q_holdout_mse(spark, sf):
-    m = _mse(spark, sf, ST.weather_long(spark, sf), "variable")
+    m = _mse(spark, sf, ST.weather_long(spark, sf, last=TEST_YEAR), "variable")
     return m.withColumn("mse", round_sig("mse"))
 
 
@@ -311,7 +312,7 @@ SELECT param, state_code, model AS best_model, {sql_round_sig("mse")} AS best_ms
 ) WHERE rn = 1""",
           "M6 / C9: the candidate with the smallest holdout mse per (param, state), ties by name")
 def q_best_model(spark, sf):
-    b = evaluate.best_model(_mse(spark, sf, ST.pollutant_long(spark, sf), "param"), ["param", "state_code"])
+    b = evaluate.best_model(_mse(spark, sf, ST.pollutant_long(spark, sf, last=TEST_YEAR), "param"), ["param", "state_code"])
     return b.withColumn("best_mse", round_sig("best_mse"))
 
 
@@ -329,8 +330,27 @@ USING (variable, month, state_code)"""
 @register("forecast_error", _FE_SQL,
           "C8 (A4, J4, F6): grid-year observations against the weather forecasts, joined without the year")
 def q_forecast_error(spark, sf):
-    obs = X.weather_daily(spark, sf).where(F.year("date_local") == F.lit(S.GRID_YEAR))
-    out = evaluate.forecast_error(obs, ST.weather_linear_forecast(spark, sf), ["state_code"], ["variable"])
+    wl = writers.stage(ST.weather_long(spark, sf, last=S.GRID_YEAR), "weather-monthly")
+    out = evaluate.error_report(_observed(wl.where(F.col("year") == F.lit(S.GRID_YEAR))),
+                                ST.weather_linear_forecast(spark, sf, wl=wl), ["state_code"], ["variable"])
+    return sig(out, ["predicted", "diff"])
+
+
+def _observed(wl: DataFrame) -> DataFrame:
+    """Monthly series as observations; a month's mean of its daily readings is the mean that A4 takes."""
+    return wl.select("variable", "month", "state_code", F.col("value").alias("observed"),
+                     F.col("year").cast("double").alias("year_x"))
+
+
+@register("forecast_error_by_year", Q.with_ctes(*_WF) + f"""
+SELECT o.variable, o.month, o.state_code, o.value AS observed, CAST(o.year AS DOUBLE) AS year_x, f.year AS year_y,
+       {sql_sig("f.prediction")} AS predicted, {sql_sig("f.prediction - o.value")} AS diff
+FROM weather_long o JOIN weather_forecast f USING (variable, month, state_code, year)""",
+          "C8 with the year matched (J4, D17): observations of every year against the forecasts of theirs")
+def q_forecast_error_by_year(spark, sf):
+    wl = writers.stage(ST.weather_long(spark, sf), "weather-monthly")
+    out = evaluate.error_report(_observed(wl), ST.weather_linear_forecast(spark, sf, wl=wl), ["state_code"],
+                                ["variable"], match_year=True)
     return sig(out, ["predicted", "diff"])
 
 
@@ -340,7 +360,7 @@ UNION ALL
 SELECT variable, state_code, year, month, {sql_sig("prediction")} AS value, 'forecast' AS kind FROM weather_forecast""",
           "C7 (U3): observed monthly series and forecasts in one table, union by name")
 def q_history_and_forecast(spark, sf):
-    wl = ST.weather_long(spark, sf)
+    wl = writers.stage(ST.weather_long(spark, sf), "weather-monthly")
     fc = sig(ST.weather_linear_forecast(spark, sf, wl=wl), ["prediction"]).withColumnRenamed("prediction", "value")
     return align.history_and_forecast(wl, fc)
 
@@ -355,7 +375,8 @@ SELECT param, state_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly
 WHERE year >= {RECENT_FROM} AND year <= {S.TRAIN_LAST_YEAR}""",
           "P10: pollutant training rows restricted to recent years (year >= min_year)")
 def q_recent_training(spark, sf):
-    f = monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), STATE)
+    years = (RECENT_FROM, S.TRAIN_LAST_YEAR)
+    f = monthly.monthly_features(X.pollutant_daily(spark, sf, *years), X.weather_daily(spark, sf, *years), STATE)
     return ST.in_training(f, RECENT_FROM)
 
 
@@ -423,30 +444,13 @@ _MF_SQL = Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutan
 SELECT param, state_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features"""
 
 
-def _partition_values(spark, root: str, name: str) -> list[str]:
-    """Values of the ``name=`` partition directories one level below ``root``."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = set()
-    for st in fs.listStatus(p):
-        if st.isDirectory() and st.getPath().getName().startswith(f"{name}="):
-            for sub in fs.listStatus(st.getPath()):
-                n = sub.getPath().getName()
-                if sub.isDirectory() and n.startswith("year="):
-                    out.add(n.split("=", 1)[1])
-    return sorted(out)
-
-
 @register("union_years", _MP_SQL,
           "U1, S1, S4: daily readings staged as param=/year= Parquet, read back as one multi-path "
           "read of every year, then monthly means")
 def q_union_years(spark, sf):
     root = scratch_path(spark, "daily_pollutant")
     writers.stage_daily(X.pollutant_daily(spark, sf), root)
-    years = _partition_values(spark, root, "param")
-    daily = readers.read_years(spark, root, years)
-    return monthly.monthly_pollutant(daily, STATE)
+    return monthly.monthly_pollutant(readers.read_years(spark, root), STATE)
 
 
 @register("csv_roundtrip", _MP_SQL,
@@ -466,10 +470,11 @@ UPSERT_CUTOFF = "1999-06-15"
           "K3, K4: keyed upsert of monthly features; a stale snapshot (data up to mid-June 1999) "
           "is upserted with recomputed months from 1999 on, into a new version directory")
 def q_upsert_monthly(spark, sf):
-    pdaily, wdaily = X.pollutant_daily(spark, sf), X.weather_daily(spark, sf)
+    cut_year = int(UPSERT_CUTOFF[:4])
+    pdaily, wdaily = X.pollutant_daily(spark, sf, last=cut_year), X.weather_daily(spark, sf, last=cut_year)
     cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
     stale = monthly.monthly_features(pdaily.where(cut), wdaily.where(cut), STATE)
-    fresh = monthly.monthly_features(pdaily, wdaily, STATE).where(F.col("year") >= F.lit(1999))
+    fresh = monthly.monthly_features(X.pollutant_daily(spark, sf, cut_year), X.weather_daily(spark, sf, cut_year), STATE)
     keys = ["param", "state_code", "year", "month"]
     root = scratch_path(spark, "monthly_features_table")
     schema = stale.schema
@@ -549,9 +554,17 @@ FROM obs JOIN e2e USING (month, state_code)""",
           "C8 for the index (latent): observed daily index per state (largest sub-index of the day), "
           "monthly means of the grid year against the forecast global index")
 def q_aqi_forecast_error(spark, sf):
-    obs = evaluate.observed_daily_index(X.pollutant_daily(spark, sf), ["state_code"])
-    obs = obs.where(F.year("date_local") == F.lit(S.GRID_YEAR))
-    fc = q_end_to_end_linear(spark, sf)
+    # one scan: exact sums and the largest sub-index of each pollutant's day serve both sides
+    d = aqi.subindex_long(X.pollutant_daily(spark, sf, last=S.GRID_YEAR).select(
+        "param", "state_code", "date_local", "max_value"), "max_value")
+    days = writers.stage(d.groupBy("param", "state_code", "date_local").agg(
+        F.sum("max_value").alias("total"), F.count("max_value").alias("n"), F.max("aqi").alias("aqi")), "pollutant-days")
+    pl = monthly.with_year_month(days).groupBy("param", "state_code", "year", "month").agg(
+        (F.sum("total").cast("string").cast("double") / F.sum("n")).alias("value"))
+    comb = align.combine_long(X.grid(spark, sf), ST.pollutant_linear_forecast(spark, sf, pl=pl),
+                              ["state_code", "year", "month"], "param", "prediction", ST.POLLUTANT_ARM_COLUMNS)
+    fc = rounded(index.air_quality_index(comb), cols=["global_aqi"])
+    obs = days.where(F.year("date_local") == F.lit(S.GRID_YEAR)).groupBy("state_code", "date_local").agg(F.max("aqi").alias("aqi"))
     out = evaluate.forecast_error(obs, fc, ["state_code"], value_col="aqi", pred_col="global_aqi", exact=False)
     return rounded(out, cols=["observed", "diff"])
 
@@ -560,7 +573,7 @@ def q_aqi_forecast_error(spark, sf):
           "C9 / M6 with the model candidates (linear with per-state intercepts, random forest, decision "
           "tree, GBT): pooled fits on all years before 2000, mse on 2000, winner per weather variable")
 def q_compare_models(spark, sf):
-    wl = ST.weather_long(spark, sf)
+    wl = writers.stage(ST.weather_long(spark, sf, last=TEST_YEAR), "weather-monthly")
     train, test = evaluate.holdout(wl, TEST_YEAR)
     return evaluate.compare_models(train, test, "variable", S.WEATHER_VARIABLES, ["state_code"],
                                    S.WEATHER_FEATURES)
@@ -598,4 +611,141 @@ def q_error_report_csv(spark, sf):
 @register("forecast_gbt_pooled_county", None,
           "M1-M3 pooled GBT at county level: (state, county) as the categorical key, full chain to the index")
 def q_forecast_gbt_pooled_county(spark, sf):
-    return ST.model_chain(spark, sf, COUNTY, "gbt", "pooled")
+    return ST.model_chain(spark, sf, COUNTY, "gbt")
+
+
+# -- what SQL knows of the model forms -------------------------------------------------
+
+_TRAINED = [Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(), Q.monthly_weather_long(),
+            Q.monthly_features(), Q.grid(), f"""
+labels AS (
+  SELECT variable AS name, state_code, value AS label FROM weather_long WHERE year <= {S.TRAIN_LAST_YEAR}
+  UNION ALL SELECT param, state_code, max_value FROM monthly_features WHERE year <= {S.TRAIN_LAST_YEAR}),
+ranges AS (SELECT name, min(label) AS least_label, max(label) AS most_label FROM labels GROUP BY name)"""]
+
+
+def _model_check(spark, sf, kind):
+    m = ST.model_forecasts(spark, sf, STATE, kind)
+    labels = m.weather.select(F.col("variable").alias("name"), F.col("value").alias("label")).unionByName(
+        m.features.select(F.col("param").alias("name"), F.col("_label").alias("label")))
+    ranges = labels.groupBy("name").agg(F.min("label").alias("least_label"), F.max("label").alias("most_label"))
+    fc = m.weather_forecast.withColumnRenamed("variable", "name").unionByName(
+        m.pollutant_forecast.withColumnRenamed("param", "name"))
+    value = F.col("prediction")
+    fine = value.isNotNull() & ~F.isnan(value)
+    if kind != "gbt":  # means of training labels; boosted sums may leave their range
+        fine = fine & value.between(F.col("least_label"), F.col("most_label"))
+    return fc.join(ranges, "name").select("name", "state_code", "year", "month", "least_label", "most_label",
+                                          F.coalesce(fine, F.lit(False)).alias("fine"))
+
+
+for _kind in ("gbt", "rf", "dt"):
+    def _make_check(kind):
+        def q(spark, sf):
+            return _model_check(spark, sf, kind)
+        q.__name__ = f"q_model_check_{kind}"
+        return q
+    register(f"model_check_{_kind}", Q.with_ctes(*_TRAINED) + """
+SELECT r.name, g.state_code, g.year, g.month, least_label, most_label, true AS fine
+FROM grid g JOIN (SELECT DISTINCT name, state_code FROM labels) l USING (state_code) JOIN ranges r ON r.name = l.name""",
+             f"M1-M5, U2, U4: {_kind} forecasts of every trained series and grid month, none missing"
+             + ("" if _kind == "gbt" else ", all within the range of the training labels"))(_make_check(_kind))
+
+
+@register("pollutant_features_linear", Q.with_ctes(*_TRAINED[:4], *_TRAINED[5:7]) + f"""
+SELECT *, 12 AS n_forecast FROM (
+  SELECT param, state_code, count(*) AS n_train, {sql_round_sig("avg(max_value)", 6)} AS mean_fit
+  FROM monthly_features WHERE year <= {S.TRAIN_LAST_YEAR} GROUP BY param, state_code)
+JOIN (
+  SELECT param, {", ".join(f"{sql_round_sig(f'avg(max_value * {c})', 6)} AS fit_{c}" for c in S.POLLUTANT_FEATURES)}
+  FROM monthly_features WHERE year <= {S.TRAIN_LAST_YEAR} GROUP BY param) USING (param)""",
+          "C4 (M2, M5) with the six features, least squares with an intercept for each state: the normal equations "
+          "(fitted values have the labels' mean in each state and their mean product with each feature), and the number "
+          "of grid months forecast from the forecast weather (C3)")
+def q_pollutant_features_linear(spark, sf):
+    from ..operators import forecast
+    m = ST.model_forecasts(spark, sf, STATE, "linear")
+    fit = writers.stage(forecast.within_linear_forecast(m.features, m.features, "param", S.POLLUTANTS, STATE,
+                                                        S.POLLUTANT_FEATURES, prepared=True), "fitted")
+    states = fit.groupBy("param", "state_code").agg(F.count("*").alias("n_train"), round_sig(F.avg("prediction"), 6).alias("mean_fit"))
+    rows = fit.join(m.features, ["param", "state_code", "year", "month"])
+    products = rows.groupBy("param").agg(*[round_sig(F.avg(F.col("prediction") * F.col(c)), 6).alias(f"fit_{c}") for c in S.POLLUTANT_FEATURES])
+    ahead = m.pollutant_forecast.groupBy("param", "state_code").agg(F.count("prediction").cast("int").alias("n_forecast"))
+    return states.join(products, "param").join(ahead, ["param", "state_code"])
+
+
+# -- options of single operators ---------------------------------------------------------
+
+@register("features_from_csv", _MF_SQL,
+          "C1 from CSV (S1, S2): pollutant and weather readings written as CSV with the raw headers, read back "
+          "typed, averaged and joined")
+def q_features_from_csv(spark, sf):
+    roots = {"pollutant": scratch_path(spark, "pollutant_csv"), "weather": scratch_path(spark, "weather_csv")}
+    writers.stage_daily(X.pollutant_daily(spark, sf), roots["pollutant"], fmt="csv", header_names=True)
+    writers.stage_daily(X.weather_daily(spark, sf), roots["weather"], "variable", fmt="csv", header_names=True)
+    read = {kind: readers.read_daily_csv(spark, root, kind)[0] for kind, root in roots.items()}
+    return monthly.monthly_features(read["pollutant"], read["weather"], STATE)
+
+
+@register("ingest_quarantine", Q.with_ctes(Q.pollutant_daily()) + """
+SELECT CASE max_hour WHEN 5 THEN 'bad state code' WHEN 6 THEN 'bad date' WHEN 7 THEN 'bad max_value' ELSE 'good' END AS reason,
+       param, count(*) AS n
+FROM pollutant_daily GROUP BY ALL""",
+          "S6, K4: readings written as CSV, one cell damaged in those of hours 5 to 7; rows read and rows quarantined, by reason")
+def q_ingest_quarantine(spark, sf):
+    inv = {v: k for k, v in S.DAILY_CSV_COLUMNS.items()}
+    hour = F.col("max_hour")
+    daily = X.pollutant_daily(spark, sf)
+    text = daily.select("param", *[F.col(c).cast("string").alias(inv[c]) for c in daily.columns if c != "param"], hour.alias("h"))
+    for h, c in ((5, "state_code"), (6, "date_local"), (7, "max_value")):
+        text = text.withColumn(inv[c], F.when(F.col("h") == h, F.lit("n/a")).otherwise(F.col(inv[c])))
+    path = writers.export_csv(text.drop("h"), scratch_path(spark, "damaged_csv"))
+    good, bad = readers.read_daily_csv(spark, path, "pollutant")
+    rows = good.select("param", F.lit("good").alias("reason")).unionByName(bad.select("param", "reason"))
+    return rows.groupBy("reason", "param").agg(F.count("*").alias("n"))
+
+
+@register("grid_from_csv", Q.with_ctes(Q.grid()) + """
+SELECT state_code, month, year FROM grid""",
+          "S3: the prediction grid written as CSV with its header and read back")
+def q_grid_from_csv(spark, sf):
+    return readers.read_grid_csv(spark, writers.export_csv(X.grid(spark, sf, STATE), scratch_path(spark, "grid_csv")))
+
+
+ONE_STATE = 3
+
+
+@register("monthly_features_one_state",
+          Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(COUNTY),
+                      Q.monthly_weather(COUNTY), Q.monthly_features(COUNTY)) + f"""
+SELECT param, state_code, county_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features
+WHERE state_code = {ONE_STATE}""",
+          "P3: county features restricted to one state, as the county variant does")
+def q_monthly_features_one_state(spark, sf):
+    return monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), COUNTY, state=ONE_STATE)
+
+
+@register("forecast_linear_truncated", Q.with_ctes(
+    Q.weather_daily(), Q.monthly_weather_long(), Q.grid(), Q.weather_train(truncate_label=True), Q.weather_forecast()) + f"""
+SELECT variable, state_code, year, month, {sql_sig("prediction")} AS prediction FROM weather_forecast""",
+          "F2 (D3): C2 with the label cut to a whole number, as the source does")
+def q_forecast_linear_truncated(spark, sf):
+    return sig(ST.weather_linear_forecast(spark, sf, truncate_label=True), ["prediction"])
+
+
+@register("monthly_features_sorted", _MF_SQL + " ORDER BY param, state_code, year, month",
+          "O1: monthly features in (param, state, year, month) order, sorted once at the sink")
+def q_monthly_features_sorted(spark, sf):
+    return monthly.sort_for_output(q_monthly_features_state(spark, sf))
+
+
+@register("features_by_sql", Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather_long()) + """
+SELECT p.param, p.state_code, p.year, p.month, p.max_value, w.value AS temperature
+FROM monthly_pollutant p JOIN weather_long w USING (state_code, year, month) WHERE w.variable = 'TEMP'""",
+          "P12: SQL text over the registered views")
+def q_features_by_sql(spark, sf):
+    from .views import register_views
+    register_views(spark, sf)
+    return spark.sql("""
+        SELECT p.param, p.state_code, p.year, p.month, p.max_value, w.value AS temperature
+        FROM pollutant_monthly p JOIN weather_monthly w USING (state_code, year, month) WHERE w.variable = 'TEMP'""")

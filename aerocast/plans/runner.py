@@ -3,8 +3,8 @@
 Stages and the tables they publish under ``warehouse`` (each a versioned
 keyed table, see ``sources.writers.upsert``):
 
-1. ``monthly_features``  C1: pollutant months joined with weather means
-2. ``weather_monthly``   A2 long form (history for C7, training for C2)
+1. ``weather_monthly``   A2 long form (history for C7, training for C2)
+2. ``monthly_features``  C1: pollutant months joined with weather means, from stage 1
 3. ``weather_forecast``  C2 on the grid (linear or a tree model)
 4. ``grid_with_weather`` C3
 5. ``pollutant_forecast`` C4 (long form)
@@ -15,7 +15,7 @@ The daily tables are scanned once: stage 1 and 2 are written, then every later
 stage reads the small monthly tables back, so a failure or an executor loss
 after stage 2 never re-scans the daily data.
 
-    python -m aerocast.plans.runner --input /root/testdata/sf0.01 --warehouse /tmp/wh --keys state
+    python -m aerocast.plans.runner --input /root/testdata/sf0.01 --warehouse <shared folder> --keys state
 """
 
 from __future__ import annotations
@@ -44,13 +44,13 @@ def _publish(spark: SparkSession, df: DataFrame, warehouse: str, name: str, keys
 def run(spark: SparkSession, input_dir: str, warehouse: str, keys=S.KEYS_STATE, model: str = "linear",
         grid_year: int = S.GRID_YEAR) -> dict[str, DataFrame]:
     k = [*keys, "year", "month"]
-    pdaily, wdaily = X.pollutant_daily(spark, input_dir), X.weather_daily(spark, input_dir)
     out: dict[str, DataFrame] = {}
 
-    out["monthly_features"] = _publish(spark, monthly.monthly_features(pdaily, wdaily, keys), warehouse,
-                                       "monthly_features", ["param", *k])
-    out["weather_monthly"] = _publish(spark, monthly.monthly_weather_long(wdaily, keys), warehouse,
+    out["weather_monthly"] = _publish(spark, ST.weather_long(spark, input_dir, keys), warehouse,
                                       "weather_monthly", ["variable", *k])
+    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, input_dir), keys)
+    feats = monthly.join_features(pollutants, monthly.spread_weather(out["weather_monthly"], keys), keys)
+    out["monthly_features"] = _publish(spark, feats, warehouse, "monthly_features", ["param", *k])
     feats, wl = out["monthly_features"], out["weather_monthly"]
     grid = X.grid(spark, input_dir, keys, grid_year)
 

@@ -7,22 +7,26 @@ max value). Training uses every month before the prediction grid's year.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as X
 from .. import schema as S
 from ..operators import baselines, linear, monthly, topk
+from ..sources import writers
 
 STATE = S.KEYS_STATE
 
 
-def weather_long(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
-    return monthly.monthly_weather_long(X.weather_daily(spark, sf), keys)
+def weather_long(spark: SparkSession, sf: str, keys=STATE, first: int | None = None, last: int | None = None) -> DataFrame:
+    return monthly.monthly_weather_long(X.weather_daily(spark, sf, first, last), keys)
 
 
-def pollutant_long(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
-    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf), keys, measures=["max_value"])
+def pollutant_long(spark: SparkSession, sf: str, keys=STATE, first: int | None = None, last: int | None = None) -> DataFrame:
+    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, first, last), keys, measures=["max_value"])
     return m.select("param", *keys, "year", "month", F.col("max_value").alias("value"))
 
 
@@ -47,16 +51,17 @@ def weather_training(wl: DataFrame, keys=STATE, truncate_label: bool = False, mo
     return t
 
 
-def weather_linear_forecast(spark: SparkSession, sf: str, keys=STATE, wl: DataFrame | None = None) -> DataFrame:
+def weather_linear_forecast(spark: SparkSession, sf: str, keys=STATE, wl: DataFrame | None = None,
+                            truncate_label: bool = False) -> DataFrame:
     """C2, linear form: value ~ month + year per (variable, key), scored on the grid."""
-    wl = wl if wl is not None else weather_long(spark, sf, keys)
-    fit = linear.ols2_fit(weather_training(wl, keys), ["variable", *keys])
+    wl = wl if wl is not None else weather_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR)
+    fit = linear.ols2_fit(weather_training(wl, keys, truncate_label), ["variable", *keys])
     return linear.ols2_predict(fit, X.grid(spark, sf, keys), keys)
 
 
 def pollutant_linear_forecast(spark: SparkSession, sf: str, keys=STATE, pl: DataFrame | None = None) -> DataFrame:
     """C4, linear form: trend of the monthly mean max value per (param, key)."""
-    pl = pl if pl is not None else pollutant_long(spark, sf, keys)
+    pl = pl if pl is not None else pollutant_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR)
     fit = linear.trend_fit(in_training(pl), ["param", *keys])
     return linear.trend_predict(fit, X.grid(spark, sf, keys), keys)
 
@@ -76,49 +81,51 @@ POLLUTANT_ARM_COLUMNS = {p: S.forecast_column(p) for p in S.POLLUTANTS}
 
 # -- model forms (pyspark.ml) ---------------------------------------------------------
 
-def weather_model_forecast(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt") -> DataFrame:
-    """C2 with a pooled tree model (M1, M3, M4)."""
-    from ..operators import forecast
-    train = weather_training(weather_long(spark, sf, keys), keys)
-    return forecast.pooled_forecast(train, X.grid(spark, sf, keys), "variable", S.WEATHER_VARIABLES, keys,
-              S.WEATHER_FEATURES, "value", kind)
-
+@dataclass(frozen=True)
+class ModelForecasts:
+    """The tables of C1-C4 with model forecasts: each fact table is read once."""
 
-def pollutant_training(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
-    """Checkpointed training table of the pollutant models (features in the training window)."""
-    from ..operators import forecast
-    feats = in_training(monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), keys))
-    return forecast.stable(forecast.training_frame(feats, "param", keys, S.POLLUTANT_FEATURES, "max_value"))
+    weather: DataFrame  # long training series
+    features: DataFrame  # pollutant training rows
+    weather_forecast: DataFrame
+    grid: DataFrame  # with the forecast weather
+    pollutant_forecast: DataFrame
 
 
-def pollutant_model_forecast(spark: SparkSession, sf: str, weather_fc: DataFrame, keys=STATE,
-                             kind: str = "gbt", train: DataFrame | None = None) -> DataFrame:
-    """C3 then C4 with a tree model (M2, M3, M5): features -> grid with forecast weather -> fit/score.
+def model_forecasts(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt") -> ModelForecasts:
+    """C1-C4 (M1-M5): monthly tables, weather models, grid with weather, pollutant models on the six features.
 
-    ``train``: a table from ``pollutant_training`` prepared ahead (e.g. while the
-    weather models fit)."""
+    ``kind``: a tree model of ``forecast.ESTIMATORS``, or ``linear`` (least squares, an intercept for each key).
+    """
     from ..operators import align, forecast
-    k = [*keys, "year", "month"]
-    train = train if train is not None else pollutant_training(spark, sf, keys)
-    gw = align.combine_long(X.grid(spark, sf, keys), weather_fc, k, "variable", "prediction",
-                            WEATHER_ARM_COLUMNS)
-    return forecast.pooled_forecast(train, gw, "param", S.POLLUTANTS, keys, S.POLLUTANT_FEATURES, "max_value", kind, prepared=True)
+
+    def fit(train, score, name_col, names, feature_cols):
+        if kind == "linear":
+            return forecast.within_linear_forecast(train, score, name_col, names, keys, feature_cols, prepared=True)
+        return forecast.pooled_forecast(train, score, name_col, names, keys, feature_cols, kind=kind, prepared=True)
+
+    def stored_training(df, name_col, feature_cols, label):
+        return forecast.stable(forecast.training_frame(df, name_col, keys, feature_cols, label))
+
+    wl = writers.stage(weather_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR), "weather-monthly")
+    grid = writers.stage(X.grid(spark, sf, keys), "grid")
+    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), keys)
+    with ThreadPoolExecutor(max_workers=1) as pool:  # the one does not depend on the other
+        features = pool.submit(stored_training, monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys),
+                               "param", S.POLLUTANT_FEATURES, "max_value")
+        weather = fit(stored_training(weather_training(wl, keys), "variable", S.WEATHER_FEATURES, "value"),
+                      grid, "variable", S.WEATHER_VARIABLES, S.WEATHER_FEATURES)
+        features = features.result()
+    weather = writers.stage(weather, "weather-forecast")
+    gw = writers.stage(align.combine_long(grid, weather, [*keys, "year", "month"], "variable", "prediction",
+                                          WEATHER_ARM_COLUMNS), "grid-with-weather")
+    return ModelForecasts(wl, features, weather, gw, fit(features, gw, "param", S.POLLUTANTS, S.POLLUTANT_FEATURES))
 
 
 def model_chain(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt") -> DataFrame:
     """C1-C6 with model forecasts: weather -> grid with weather -> pollutants -> combine -> index."""
-    from concurrent.futures import ThreadPoolExecutor
-
     from ..operators import align, index
     k = [*keys, "year", "month"]
-    g = X.grid(spark, sf, keys)
-    # the pollutant training table does not depend on the weather forecasts:
-    # prepare (and checkpoint) it while the weather models fit
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        ptrain = pool.submit(pollutant_training, spark, sf, keys)
-        wf = weather_model_forecast(spark, sf, keys, kind)
-        ptrain = ptrain.result()
-    gw = align.combine_long(g, wf, k, "variable", "prediction", WEATHER_ARM_COLUMNS)
-    pf = pollutant_model_forecast(spark, sf, wf, keys, kind, train=ptrain)
-    comb = align.combine_long(g, pf, k, "param", "prediction", POLLUTANT_ARM_COLUMNS)
-    return gw.join(index.air_quality_index(comb), k)
+    m = model_forecasts(spark, sf, keys, kind)
+    comb = align.combine_long(m.grid.select(*k), m.pollutant_forecast, k, "param", "prediction", POLLUTANT_ARM_COLUMNS)
+    return m.grid.join(index.air_quality_index(comb), k)

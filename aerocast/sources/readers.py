@@ -104,12 +104,13 @@ def read_table(spark: SparkSession, path: str, view: str | None = None) -> DataF
     return df
 
 
-def read_years(spark: SparkSession, root: str, years, params=None) -> DataFrame:
-    """U1 as one multi-path read of a ``param=/year=`` partitioned Parquet table.
+def read_years(spark: SparkSession, root: str, years=None, params=None) -> DataFrame:
+    """U1 as one read of a ``param=/year=`` partitioned Parquet table.
 
-    Only the listed partitions are opened; ``basePath`` keeps the partition
-    columns.
+    Filters on the partition columns: only the directories of ``years`` and ``params`` (default: all) are opened.
     """
-    params = params or ["*"]
-    paths = [f"{root}/param={p}/year={y}" for p in params for y in years]
-    return spark.read.schema(S.staged_daily_schema()).option("basePath", root).parquet(*paths)
+    df = spark.read.schema(S.staged_daily_schema()).parquet(root)
+    for col, wanted in (("year", years and [int(y) for y in years]), ("param", params)):
+        if wanted is not None:
+            df = df.where(F.col(col).isin(list(wanted)))
+    return df

@@ -30,6 +30,13 @@ def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
     return path
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh path of the shared folder and read back: several uses, one evaluation."""
+    path = scratch_path(df.sparkSession, f"stage-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).option("sep", ",").csv(path)

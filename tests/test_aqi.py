@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from aerocast import schema as S
 from aerocast.functions import aqi
+from aerocast.plans import oracle
 
 CASES = [
     ("42101", 4.5, 51.0),
@@ -76,7 +77,7 @@ def test_global_index_skips_nulls(spark):
 def test_sql_text_matches_column_expression(spark, values, param):
     got = _score(spark, [(param, v) for v in values])
     con = duckdb.connect()
-    sql = aqi.sql_subindex("v", param)
+    sql = oracle.sql_subindex("v", param)
     want = [r[0] for r in con.execute(
         f"SELECT {sql} FROM (SELECT unnest(?::DOUBLE[]) AS v, generate_subscripts(?::DOUBLE[], 1) AS i) ORDER BY i",
         [values, values]).fetchall()]

@@ -44,3 +44,29 @@ def test_more_keys_do_not_change_a_key_with_its_own_mean(spark):
     out = forecast.pooled_forecast(many, _grid(spark, (1,)), "variable", ["TEMP"], ["state_code"], ["month", "year"], kind="dt")
     assert all(0 < r.prediction < 100 for r in out.collect())
 
+
+
+def test_name_without_training_rows_gets_no_forecast(spark):
+    train = spark.createDataFrame([("a", 1, y, m, float(y + m)) for y in (1999, 2000) for m in range(1, 13)],
+                                  "variable string, state_code int, year int, month int, value double")
+    grid = spark.createDataFrame([(1, 2001, m) for m in range(1, 13)], "state_code int, year int, month int")
+    for fit in (forecast.within_linear_forecast, forecast.pooled_forecast):
+        out = fit(train, grid, "variable", ["a", "b"], ["state_code"], ["month", "year"])
+        assert {r.variable for r in out.collect()} == {"a"} and out.count() == 12
+
+
+def test_within_fit_equals_least_squares_with_an_intercept_for_each_key(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = [("a", k, y, m, float(rng.normal())) for k in (1, 2, 3) for y in (1998, 1999, 2000) for m in range(1, 13)]
+    train = spark.createDataFrame(rows, "variable string, state_code int, year int, month int, value double")
+    grid = spark.createDataFrame([(k, 2001, m) for k in (1, 2, 3) for m in range(1, 13)], "state_code int, year int, month int")
+    out = forecast.within_linear_forecast(train, grid, "variable", ["a"], ["state_code"], ["month", "year"])
+    got = {(r.state_code, r.month): r.prediction for r in out.collect()}
+
+    def design(k, y, m):
+        return [k == 1, k == 2, k == 3, m, y - 2000]
+    x = np.array([design(k, y, m) for _, k, y, m, _ in rows], dtype=float)
+    b = np.linalg.lstsq(x, np.array([r[4] for r in rows]), rcond=None)[0]
+    for (k, m), v in got.items():
+        assert abs(v - np.dot(np.array(design(k, 2001, m), dtype=float), b)) < 1e-8

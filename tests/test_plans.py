@@ -12,7 +12,7 @@ from aerocast import schema as S
 from aerocast.operators import align, index, monthly
 from aerocast.plans import stages as ST
 
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMALL
 
 
 def plan(df, mode="formatted"):
@@ -95,3 +95,51 @@ def test_weather_scan_has_pushed_priority_filter(spark):
     assert "In(o_orderpriority" in p
     scan = [l for l in p.splitlines() if l.startswith("ReadSchema: struct<o_")][0]
     assert "o_comment" not in scan and "o_orderstatus" not in scan
+
+
+#: Two evaluations by their feature: the stale table, then the fresh months.
+TWO_PASSES = {"upsert_monthly"}
+#: The tables and plans of the decision-tree forms, with slower fits.
+SAME_AS_DT = ("forecast_gbt", "forecast_rf", "model_check_gbt", "model_check_rf")
+
+
+def test_each_fact_table_is_scanned_once(spark, monkeypatch):
+    from aerocast.operators import forecast
+    from aerocast.plans.queries import REGISTRY
+    from aerocast.sources import writers
+    plans = []
+
+    def recorded(fn):
+        def wrapper(df, *args):
+            plans.append(plan(df, "simple"))
+            return fn(df, *args)
+        return wrapper
+
+    monkeypatch.setattr(writers, "stage", recorded(writers.stage))
+    monkeypatch.setattr(forecast, "stable", recorded(forecast.stable))
+    many = {}
+    for name, q in REGISTRY.items():
+        if name in TWO_PASSES or name.startswith(SAME_AS_DT):
+            continue
+        plans.clear()
+        plans.append(plan(q.run(spark, SF_SMALL), "simple"))
+        scans = [line for p in plans for line in p.splitlines() if "FileScan parquet" in line]
+        for col in ("l_shipdate", "o_orderdate"):
+            if (n := sum(col in line for line in scans)) > 1:
+                many[name, col] = n
+    assert not many
+
+
+def test_year_windows_reach_the_scan(spark):
+    import __spark_entry__ as E
+    for name, bounds in {"recent_training": ("1998-01-01", "2001-01-01"), "forecast_linear_weather": ("2001-01-01",),
+                         "forecast_linear_pollutant": ("2001-01-01",), "end_to_end_linear": ("2001-01-01",)}.items():
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        pushed = " ".join(line for line in p.splitlines() if line.startswith("PushedFilters") and "date" in line)
+        assert all(b in pushed for b in bounds), (name, pushed)
+
+
+def test_reference_chain_has_no_full_outer_join(spark):
+    import __spark_entry__ as E
+    for name in ("combine_forecasts_reference", "grid_with_weather_reference"):
+        assert "FullOuter" not in plan(E.queries()[name](spark, SF_SMALL), "simple")

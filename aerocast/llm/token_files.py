@@ -95,6 +95,7 @@ class PieceEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.space = byte_letters()[0x20]
+        self.marks = {m: self._word(m) for m in _MARKS}
         self.rest = BoundedCache(self._spaced, CACHE_MAX)
 
     def _word(self, word: str) -> bytes:
@@ -108,7 +109,7 @@ class PieceEncoder:
         if part.isalpha():
             return self._word(" " + part)
         if part[-1:] in _MARKS and part[:-1].isalpha():
-            return self.rest[part[:-1]] + self._word(part[-1])
+            return self.rest[part[:-1]] + self.marks[part[-1]]
         return self._part(" " + part)
 
     def _part(self, part: str) -> bytes:

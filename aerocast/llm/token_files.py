@@ -37,7 +37,8 @@ from .bpe import LATER, byte_letters
 from .common import BoundedCache, chunked, stage_table
 
 END_ID = 2
-RECORDS_PER_FILE = 65_536
+#: A file is read back as one value, so it stays far below the 2 GB of one even where most texts are very long.
+RECORDS_PER_FILE = 8_192
 CACHE_MAX = 600_000
 _MARKS = frozenset(".,;:!?")
 _ID = attrgetter("id")

@@ -40,6 +40,8 @@ END_ID = 2
 #: A file is read back as one value, so it stays far below the 2 GB of one even where most texts are very long.
 RECORDS_PER_FILE = 8_192
 CACHE_MAX = 600_000
+#: Pieces that do not end in a letter: punctuation, numbers and white space.
+MARKS_MAX = 20_000
 _MARKS = frozenset(".,;:!?")
 _ID = attrgetter("id")
 _MASK_DELTA = 0xA282EAD8
@@ -96,27 +98,40 @@ class PieceEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.space = byte_letters()[0x20]
-        self.marks = {m: self._word(m) for m in _MARKS}
+        self.marks = BoundedCache(self._word, MARKS_MAX)
         self.rest = BoundedCache(self._spaced, CACHE_MAX)
 
+    def _ids(self, shown: str) -> bytes:
+        return array("I", map(_ID, self.tokenize(shown))).tobytes()
+
     def _word(self, word: str) -> bytes:
         """Ids of one piece of the split pattern."""
-        shown = word.replace(" ", self.space) if word.isascii() and word.isprintable() else \
-            word.encode().decode("latin-1").translate(self.letters)
-        return array("I", map(_ID, self.tokenize(shown))).tobytes()
+        return self._ids(word.replace(" ", self.space) if word.isascii() and word.isprintable() else
+                         word.encode().decode("latin-1").translate(self.letters))
 
     def _spaced(self, part: str) -> bytes:
-        """Ids of a part and the space before it. Letters, and letters with one mark, need no search of the pattern."""
+        """Ids of a part and the space before it; of a key that begins with a line feed, those of the line feed and
+        the part. Letters, and letters with one mark, need no search of the pattern.
+
+        The pattern takes a line feed between two non-spaces as a piece of its own, so a part with a single one is the
+        part before it and the part after it, and both repeat more often than the whole.
+        """
         if part.isalpha():
-            return self._word(" " + part)
-        if part[-1:] in _MARKS and part[:-1].isalpha():
+            return self._ids(self.space + part) if part.isascii() else self._word(" " + part)
+        if part[0] == "\n":
+            return self.marks["\n"] + (self._word(part[1:]) if part[1:].isalpha() else self._part(part[1:]))
+        if part[-1] in _MARKS and part[:-1].isalpha():
             return self.rest[part[:-1]] + self.marks[part[-1]]
+        if "\n" in part:
+            before, _, after = part.partition("\n")
+            if len(part.split()) == 2 and before + after == "".join(part.split()):
+                return self.rest[before] + self.rest["\n" + after]
         return self._part(" " + part)
 
     def _part(self, part: str) -> bytes:
         if part and max(part) >= LATER:
             return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self._word, self._SPLIT.findall(part)))
+        return b"".join([self._word(w) if w[-1].isalpha() else self.marks[w] for w in self._SPLIT.findall(part)])
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:

@@ -88,6 +88,7 @@ class PieceEncoder:
     """
 
     _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
+    _ODD_LINE = re.compile(r"\s\n|\n(?:\s|\Z)|\A\n")
     # Fixed value: the split pattern of byte-level BPE files.
     _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -113,8 +114,7 @@ class PieceEncoder:
         """Ids of a part and the space before it; of a key that begins with a line feed, those of the line feed and
         the part. Letters, and letters with one mark, need no search of the pattern.
 
-        The pattern takes a line feed between two non-spaces as a piece of its own, so a part with a single one is the
-        part before it and the part after it, and both repeat more often than the whole.
+        The pattern takes a line feed between two non-spaces as a piece of its own.
         """
         if part.isalpha():
             return self._ids(self.space + part) if part.isascii() else self._word(" " + part)
@@ -122,10 +122,6 @@ class PieceEncoder:
             return self.marks["\n"] + (self._word(part[1:]) if part[1:].isalpha() else self._part(part[1:]))
         if part[-1] in _MARKS and part[:-1].isalpha():
             return self.rest[part[:-1]] + self.marks[part[-1]]
-        if "\n" in part:
-            before, _, after = part.partition("\n")
-            if len(part.split()) == 2 and before + after == "".join(part.split()):
-                return self.rest[before] + self.rest["\n" + after]
         return self._part(" " + part)
 
     def _part(self, part: str) -> bytes:
@@ -138,7 +134,10 @@ class PieceEncoder:
             return np.empty(0, np.uint32)
         if any(s in text for s in self.specials):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        first, *rest = self._CUT.split(text) if self._ODD.search(text) else text.split(" ")
+        if self._ODD.search(text):
+            first, *rest = self._CUT.split(text)
+        else:  # where every line feed lies between two non-spaces, parts are cut before it as well
+            first, *rest = (text if self._ODD_LINE.search(text) else text.replace("\n", " \n")).split(" ")
         return np.frombuffer(self._part(first) + b"".join(map(self.rest.__getitem__, rest)), dtype=np.uint32)
 
 

@@ -46,12 +46,12 @@ def run(spark: SparkSession, input_dir: str, warehouse: str, keys=S.KEYS_STATE,
     k = [*keys, "year", "month"]
     out: dict[str, DataFrame] = {}
 
-    out["weather_monthly"] = _publish(spark, ST.weather_long(spark, input_dir, keys), warehouse,
-                                      "weather_monthly", ["variable", *k])
+    wl = _publish(spark, ST.weather_long(spark, input_dir, keys), warehouse, "weather_monthly", ["variable", *k])
     pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, input_dir), keys)
-    feats = monthly.join_features(pollutants, monthly.spread_weather(out["weather_monthly"], keys), keys)
+    feats = monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys)
     out["monthly_features"] = _publish(spark, feats, warehouse, "monthly_features", ["param", *k])
-    feats, wl = out["monthly_features"], out["weather_monthly"]
+    out["weather_monthly"] = wl
+    feats = out["monthly_features"]
     grid = X.grid(spark, input_dir, keys, grid_year)
 
     if model == "linear":

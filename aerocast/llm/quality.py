@@ -3,9 +3,11 @@
 Counts of each document become ratios. Per language and source, a mergeable quantile
 sketch describes each ratio: counts in buckets of equal relative width (2 %), which add up
 exactly whatever the partitioning, so reruns give the same thresholds. A ratio is rejected above
-its group's third quartile by more than ``FENCE`` interquartile ranges, and never below a floor;
-groups with few documents fall back on their language's sketch, then on all. The
-verdict joins every document with its group's thresholds.
+its group's third quartile by more than ``FENCE`` spreads: the group's interquartile range, or the
+mean deviation of all documents from their groups' medians where that is wider, so that groups of
+one value have a spread too. For ratios with a long tail in good texts the threshold is the ``TAIL`` quantile over
+all documents at least. No cutoff is fixed. Groups with few documents fall back on their language's sketch, then on all. The
+verdict joins every document with its group's thresholds, and allows for the counting error of its own ratio.
 """
 
 from __future__ import annotations
@@ -26,12 +28,15 @@ GAMMA = 1.02
 FENCE = 3.0
 #: Documents a group needs for thresholds of its own.
 MIN_GROUP = 50
-#: Ratio -> (numerator, denominator, value below which no document is rejected).
+#: Quantile over all documents below which ratios with a long tail are not rejected.
+TAIL = 0.99
+#: Ratio -> (numerator, denominator, counts that come at once, whether good texts have a long tail). A text has few
+#: lines, and a repeated triple covers six words; 0 allows for no counting error, as a text has hundreds of characters.
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "word_chars", 0.05),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.5),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.4),
-    "word_length": ("word_chars", "n_words", 10.0),
+    "symbol_ratio": ("n_symbols", "word_chars", 0, False),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 1, True),
+    "repeat_ratio": ("n_repeat_words", "n_words", 6, True),
+    "word_length": ("word_chars", "n_words", 1, False),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
@@ -71,10 +76,16 @@ def base_failed() -> Column:
 
 
 def _ratio(name: str) -> Column:
-    top, bottom, _ = RATIOS[name]
+    top, bottom = RATIOS[name][:2]
     return F.when(F.col(bottom) > 0, F.col(top) / F.col(bottom)).otherwise(F.lit(0.0))
 
 
+def _sure(name: str) -> Column:
+    """The ratio less ``FENCE`` standard errors of its count: what is surely there, however short the text."""
+    _, bottom, unit, _ = RATIOS[name]
+    return _ratio(name) - FENCE * F.sqrt(_ratio(name) * F.lit(float(unit)) / F.greatest(F.col(bottom), F.lit(1)))
+
+
 def sketches(counted: DataFrame) -> DataFrame:
     """``lang, source, name, bucket, n``: the quantile sketches of every language and source.
 
@@ -87,29 +98,42 @@ def sketches(counted: DataFrame) -> DataFrame:
     return v.select("lang", "source", "v.name", bucket.alias("bucket")).groupBy("lang", "source", "name", "bucket").agg(F.count("*").alias("n"))
 
 
-def _fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """``by, name, total, fence`` from sketches: windows over the buckets of one group, a few hundred rows."""
+def _quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``by, name, total, q1, q2, q3, tail`` from sketches: windows over the buckets of one group, a few hundred rows."""
     group = sketch.groupBy(*by, "name", "bucket").agg(F.sum("n").alias("n"))
     order = Window.partitionBy(*by, "name").orderBy(F.col("bucket").asc_nulls_first())
     ranked = group.select(*by, "name", "bucket", F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy(*by, "name")).alias("total"))
-    edge = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
-    q1, q3 = (F.min(F.when(4 * F.col("upto") >= k * F.col("total"), edge)) for k in (1, 3))
-    return ranked.groupBy(*by, "name").agg(F.max("total").alias("total"), (q3 + FENCE * (q3 - q1)).alias("fence"))
+    at = [F.min(F.when(F.col("upto") >= k * F.col("total"), _edge())).alias(c) for c, k in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75), ("tail", TAIL))]
+    return ranked.groupBy(*by, "name").agg(F.max("total").alias("total"), *at)
+
+
+def _edge() -> Column:
+    return F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per language and source with the upper threshold of each ratio.
 
-    A group of fewer than ``MIN_GROUP`` documents uses its language's sketch, and that of all where
-    the language has too few as well.
+    A group of fewer than ``MIN_GROUP`` documents uses its language's quartiles, and those of all where
+    the language has too few as well. Where all have too few, thresholds are null: nothing can be told from them.
     """
-    own, lang, every = _fences(sketch, ["lang", "source"]), _fences(sketch, ["lang"]), _fences(sketch, [])
-    lang = lang.select(F.col("lang").alias("l"), "name", F.col("total").alias("lang_total"), F.col("fence").alias("lang_fence"))
-    every = every.select("name", F.col("fence").alias("all_fence"))
-    t = own.join(lang, own.lang.eqNullSafe(F.col("l")) & (own.name == lang.name)).drop(lang.name).join(every, "name")
-    fence = F.when(F.col("total") >= MIN_GROUP, F.col("fence")).when(F.col("lang_total") >= MIN_GROUP, F.col("lang_fence")).otherwise(F.col("all_fence"))
-    return t.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("name") == n, F.greatest(fence, F.lit(RATIOS[n][2])))).alias(f"max_{n}") for n in RATIOS])
+    own, lang, every = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"]), _quartiles(sketch, [])
+    middle = own.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.col("name").alias("m"), "q2")
+    # the mean deviation is rounded, as the order of a sum of doubles can change its last digits
+    apart = sketch.join(middle, sketch.lang.eqNullSafe(F.col("l")) & sketch.source.eqNullSafe(F.col("s")) & (sketch.name == F.col("m"))) \
+        .groupBy("name").agg(F.round(F.sum(F.col("n") * F.abs(_edge() - F.col("q2"))) / F.sum("n"), 9).alias("least"))
+    lang = lang.select(F.col("lang").alias("l"), "name", *[F.col(c).alias(f"lang_{c}") for c in ("total", "q1", "q3")])
+    every = every.join(apart, "name").select("name", "least", "tail", *[F.col(c).alias(f"all_{c}") for c in ("total", "q1", "q3")])
+    t = own.drop("tail").join(lang, own.lang.eqNullSafe(F.col("l")) & (own.name == lang.name)).drop(lang.name).join(every, "name")
+
+    def of(q: str) -> Column:
+        return F.when(F.col("total") >= MIN_GROUP, F.col(q)).when(F.col("lang_total") >= MIN_GROUP, F.col(f"lang_{q}")) \
+            .when(F.col("all_total") >= MIN_GROUP, F.col(f"all_{q}"))
+
+    fence = of("q3") + FENCE * F.greatest(of("q3") - of("q1"), F.col("least"))
+    long_tail = F.col("name").isin([n for n in RATIOS if RATIOS[n][3]])
+    fence = F.when(long_tail & fence.isNotNull(), F.greatest(fence, F.col("tail"))).otherwise(fence)
+    return t.groupBy("lang", "source").agg(*[F.max(F.when(F.col("name") == n, fence)).alias(f"max_{n}") for n in RATIOS])
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -126,7 +150,7 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     limits = stage_table(thresholds(stage_table(sketches(counted), "quality-sketches")), "quality-limits")
     limits = limits.select(F.col("lang").alias("l"), F.col("source").alias("s"), *[f"max_{n}" for n in RATIOS])
     joined = counted.join(limits, counted.lang.eqNullSafe(F.col("l")) & counted.source.eqNullSafe(F.col("s")), "left")
-    fine = reduce(lambda a, b: a & b, [F.coalesce(_ratio(n) <= F.col(f"max_{n}"), F.lit(True)) for n in RATIOS])
+    fine = reduce(lambda a, b: a & b, [F.coalesce(_sure(n) <= F.col(f"max_{n}"), F.lit(True)) for n in RATIOS])
     return joined.select("row", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & fine).alias("kept"))
 
 

@@ -46,3 +46,25 @@ def test_keep_good(spark):
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [5, 10, 11, 12, 13, 14]
     assert Q.keep_good(documents(spark, [])).count() == 0
+
+
+def test_thresholds_follow_the_data(spark):
+    """Mean word lengths of 5 to 6 but for one group of 9 to 10: what is far out is so within its group, below any old floor too."""
+    def text(i, long):
+        return " ".join(f"{'x' * (long + (i + j) % 2)}{j:04d}"[-long - (i + j) % 2:] for j in range(100))
+    rows = [(i, text(i, 5), "en", "a") for i in range(60)] + [(100 + i, text(i, 9), "de", "b") for i in range(60)]
+    far = [(200, text(0, 9), "en", "a"), (201, text(0, 20), "de", "b")]
+    out = {r.row.doc_id: r.kept for r in Q.judge(documents(spark, rows + far)).collect()}
+    assert all(out[r[0]] for r in rows)
+    assert not out[200] and not out[201]
+
+
+def test_few_repeats_are_no_evidence_and_many_are(spark):
+    """In groups without repeated lines, one of five is kept, 40 of 100 (below the old floor) are not."""
+    def text(i, lines, twice):
+        one = [" ".join(f"v{i}q{n}q{j}" for j in range(20)) for n in range(lines - twice)]
+        return "\n".join(one + [f"again{i} and again"] * twice if twice < 3 else one + ["same"] * (twice + 1))
+    rows = [(i, text(i, 5, 0), "en", "a") for i in range(300)]
+    out = {r.row.doc_id: (r.kept, r.base_failed) for r in Q.judge(documents(spark, [*rows, (500, text(500, 5, 2)), (501, text(501, 100, 40))])).collect()}
+    assert all(out[r[0]] == (True, False) for r in rows)
+    assert out[500] == (True, False) and out[501] == (False, False)

@@ -4,8 +4,9 @@ The tree is kept as a table of templates with counts. Segments that are numbers,
 identifiers by their form become wildcards at once. Then, depth by depth, the children of a node
 become the wildcard ``*`` where the node has many rare children (a variable segment), or where their share of
 bad pages does not differ from the node's (statistically similar branches merge). A template
-is rejected when its share of labelled bad pages, smoothed towards its host's and the
-host's towards all, reaches ``REJECT``. Pages without a label count as not bad.
+is rejected when the share of bad pages among its labelled ones, smoothed towards its host's and the
+host's towards all, reaches ``REJECT``, from ``MIN_BAD`` bad pages on. Pages without a label count for neither side:
+a branch without labels merges by its share only where its node has no bad page.
 
 All passes after the first run over templates with counts, not over pages.
 """
@@ -63,38 +64,39 @@ def by_form(path: Column) -> Column:
 
 
 def template_verdicts(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``host, form, template, bad_share, rejected`` from ``host, form, bad`` (boolean) of pages."""
-    t = stage_table(pages.groupBy("host", "form").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad"))
+    """``host, form, template, bad_share, rejected`` from ``host, form, bad`` (boolean, null without a label) of pages."""
+    t = stage_table(pages.groupBy("host", "form").agg(F.count("*").alias("n"), F.count("bad").alias("n_known"), F.count_if("bad").alias("n_bad"))
                     .withColumn("template", F.col("form")), "url-forms")
     for d in range(1, max_depth + 1):
         head = F.slice("template", 1, d - 1)
         child = F.get("template", F.lit(d - 1))
         level = t.where(F.size("template") >= d).select(
-            "host", head.alias("head"), child.alias("child"), "n", "n_bad")
+            "host", head.alias("head"), child.alias("child"), "n", "n_known", "n_bad")
         if level.isEmpty():
             break
-        children = level.groupBy("host", "head", "child").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
+        children = level.groupBy("host", "head", "child").agg(*[F.sum(c).alias(c) for c in ("n", "n_known", "n_bad")])
         children = stage_table(children, "url-children")
-        node = children.groupBy("host", "head").agg(F.count("*").alias("width"), F.sum("n").alias("all_n"), F.sum("n_bad").alias("all_bad"))
+        node = children.groupBy("host", "head").agg(F.count("*").alias("width"), F.sum("n").alias("all_n"),
+                                                    F.sum("n_known").alias("all_known"), F.sum("n_bad").alias("all_bad"))
         node = stage_table(node, "url-nodes")
-        share = F.col("all_bad") / F.col("all_n")
-        error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / F.col("n"))
+        share = F.try_divide("all_bad", "all_known")
+        error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / F.greatest("n_known", F.lit(1)))
         variable = (F.col("width") >= MANY) & (F.col("all_n") < RARE * F.col("width"))
-        similar = F.abs(F.col("n_bad") / F.col("n") - share) <= APART * error
+        similar = F.coalesce(F.abs(F.try_divide("n_bad", "n_known") - share) <= APART * error, F.col("all_bad") == 0)
         merged = children.join(node, ["host", "head"]).select(
             "host", "head", "child", ((F.col("width") > 1) & (variable | similar)).alias("merge"))
         merged = stage_table(merged, "url-merged")
         keyed = t.withColumn("head", head).withColumn("child", F.coalesce(child, F.lit("")))
         t = stage_table(keyed.join(merged, ["host", "head", "child"], "left").select(
-            "host", "form", "n", "n_bad", F.when(F.coalesce("merge", F.lit(False)) & (F.size("template") >= d), F.concat(
+            "host", "form", "n", "n_known", "n_bad", F.when(F.coalesce("merge", F.lit(False)) & (F.size("template") >= d), F.concat(
                 head, F.array(F.lit("*")), F.slice("template", d + 1, F.greatest(F.lit(0), F.size("template") - d))))
             .otherwise(F.col("template")).alias("template")), "url-templates")
-    total = stage_table(t.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("n_bad").alias("host_bad")), "url-hosts")
-    every = total.agg(F.sum("host_n").alias("every_n"), F.sum("host_bad").alias("every_bad"))
-    groups = stage_table(t.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")), "url-groups")
-    prior = F.coalesce(F.col("every_bad") / F.col("every_n"), F.lit(0.0))
-    of_host = (F.col("host_bad") + PRIOR * prior) / (F.col("host_n") + PRIOR)
-    share = (F.col("n_bad") + PRIOR * of_host) / (F.col("n") + PRIOR)
+    total = stage_table(t.groupBy("host").agg(F.sum("n_known").alias("host_known"), F.sum("n_bad").alias("host_bad")), "url-hosts")
+    every = total.agg(F.sum("host_known").alias("every_known"), F.sum("host_bad").alias("every_bad"))
+    groups = stage_table(t.groupBy("host", "template").agg(F.sum("n_known").alias("n_known"), F.sum("n_bad").alias("n_bad")), "url-groups")
+    prior = F.coalesce(F.try_divide("every_bad", "every_known"), F.lit(0.0))
+    of_host = (F.col("host_bad") + PRIOR * prior) / (F.col("host_known") + PRIOR)
+    share = (F.col("n_bad") + PRIOR * of_host) / (F.col("n_known") + PRIOR)
     # `every` is a single row of two sums
     judged = stage_table(groups.join(total, "host").join(F.broadcast(every)).select(
         "host", "template", share.alias("bad_share"), ((share >= REJECT) & (F.col("n_bad") >= MIN_BAD)).alias("rejected")), "url-judged")
@@ -108,18 +110,18 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
 
     The verdict is the rule's where one fits, else ``block`` for a rejected template and ``allow`` otherwise.
     Bad pages are those that a rule blocks, and those that ``labels`` (``id_col, bad`` boolean, one row an
-    id) marks. A null URL or one without ``://`` has empty host and path, and is judged as such.
+    id) marks; good ones are the others that a rule allows or that are labelled false; all others have no label. A null URL or one without ``://`` has empty host and path, and is judged as such.
     Repeated rows are judged alike and count as often; other columns are ignored; an empty table gives an empty result.
     """
     url = F.col("url")
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select("id", host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
     p = p.select("id", "host", "path", rule.alias("rule"), verdict.alias("given"), by_form(F.col("path")).alias("form"))
-    bad = F.coalesce(F.col("given") == "block", F.lit(False))
+    bad, known = F.coalesce(F.col("given") == "block", F.lit(False)), F.col("given").isNotNull()
     if labels is not None:
         p = p.join(labels.select(F.col(id_col).alias("id"), F.col("bad").alias("labelled")), "id", "left")
-        bad = bad | F.coalesce("labelled", F.lit(False))
-    p = stage_table(p.withColumn("bad", bad), "url-pages")
+        bad, known = bad | F.coalesce("labelled", F.lit(False)), known | F.col("labelled").isNotNull()
+    p = stage_table(p.withColumn("bad", F.when(known, bad)), "url-pages")
     found = template_verdicts(p.select("host", "form", "bad"))
     return p.join(found, ["host", "form"]).select(
         F.col("id").alias(id_col), "host", "path", "rule",

@@ -55,3 +55,11 @@ def test_empty_and_repeated(spark):
     assert U.judge(pages(spark, []), URL_RULES).count() == 0
     one = pages(spark, ["http://a.net/"]).union(pages(spark, ["http://a.net/"]))
     assert [r.verdict for r in U.judge(one, URL_RULES).collect()] == ["block"] * 2
+
+
+def test_pages_without_a_label_do_not_dilute(spark):
+    urls = [f"http://h.x/casino/{i}" for i in range(1000)] + [f"http://k.x/mixed/{i}" for i in range(100)] + [f"http://h.x/news/{i}" for i in range(200)]
+    marks = [(i, True) for i in range(300)] + [(1000 + i, i < 10) for i in range(70)]
+    got = {r.page_id: r.verdict for r in U.judge(pages(spark, urls), [], labels=spark.createDataFrame(marks, "page_id long, bad boolean")).collect()}
+    assert all(got[i] == "block" for i in range(1000))  # 300 of 300 labelled pages are bad
+    assert all(got[i] == "allow" for i in range(1000, 1300))  # 10 of 70, and no label at all

@@ -14,6 +14,7 @@ All passes after the first run over templates with counts, not over pages.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,6 @@ from .common import ASCII_LOWER, ASCII_UPPER, stage_table
 
 Rule = tuple[str, str, str]  # host, path, verdict
 
-#: Depths at which children are generalised by their statistics; deeper ones by form alone.
-MAX_DEPTH = 6
 #: A node has a variable segment from so many children on, if they have fewer pages each than RARE on average.
 MANY, RARE = 20, 5.0
 #: Standard errors by which a branch must differ from its node to stay apart.
@@ -63,16 +62,19 @@ def by_form(path: Column) -> Column:
     return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), one)
 
 
-def template_verdicts(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``host, form, template, bad_share, rejected`` from ``host, form, bad`` (boolean, null without a label) of pages."""
+def template_verdicts(pages: DataFrame) -> DataFrame:
+    """``host, form, template, bad_share, rejected`` from ``host, form, bad`` (boolean, null without a label) of pages.
+
+    Depths are worked through as long as two templates share a node; below that, no node has a second child.
+    """
     t = stage_table(pages.groupBy("host", "form").agg(F.count("*").alias("n"), F.count("bad").alias("n_known"), F.count_if("bad").alias("n_bad"))
                     .withColumn("template", F.col("form")), "url-forms")
-    for d in range(1, max_depth + 1):
+    for d in count(1):
         head = F.slice("template", 1, d - 1)
         child = F.get("template", F.lit(d - 1))
         level = t.where(F.size("template") >= d).select(
-            "host", head.alias("head"), child.alias("child"), "n", "n_known", "n_bad")
-        if level.isEmpty():
+            "host", head.alias("head"), child.alias("child"), "template", "n", "n_known", "n_bad")
+        if level.groupBy("host", "head").agg((F.min("template") < F.max("template")).alias("several")).where("several").isEmpty():
             break
         children = level.groupBy("host", "head", "child").agg(*[F.sum(c).alias(c) for c in ("n", "n_known", "n_bad")])
         children = stage_table(children, "url-children")

@@ -63,3 +63,12 @@ def test_pages_without_a_label_do_not_dilute(spark):
     got = {r.page_id: r.verdict for r in U.judge(pages(spark, urls), [], labels=spark.createDataFrame(marks, "page_id long, bad boolean")).collect()}
     assert all(got[i] == "block" for i in range(1000))  # 300 of 300 labelled pages are bad
     assert all(got[i] == "allow" for i in range(1000, 1300))  # 10 of 70, and no label at all
+
+
+def test_deep_paths_share_templates(spark):
+    urls = [f"http://h.x/a/b/c/d/e/f/g/{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(60)] + ["http://k.x/" + "z/" * 40, "http://k.x/y"]
+    labels = spark.createDataFrame([(i, True) for i in range(30)], "page_id long, bad boolean")
+    got = {r.page_id: r for r in U.judge(pages(spark, urls), [], labels=labels).collect()}
+    assert len(got) == 62 and {got[i].template for i in range(60)} == {"/a/b/c/d/e/f/g/*"}
+    assert all(got[i].verdict == "block" for i in range(60))  # the thirty without a label too
+    assert got[60].verdict == got[61].verdict == "allow"

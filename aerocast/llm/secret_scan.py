@@ -5,7 +5,8 @@ slides over each; its character counts and the sum of ``c * log2(c)`` are kept
 incrementally, so a step costs two updates whatever the window's length. A
 run's character class (hex, single-case alphanumeric, mixed) sets the threshold;
 windows above it merge into spans. An allow-list suppresses runs that look
-random but are not secret: UUIDs, URLs and paths, words, version numbers.
+random but are not secret: UUIDs, URLs, words, version numbers. Paths behind a host name and paths of words
+are cut at ``/``, and each long segment is judged alone; letters are words in one case or capitalised only.
 Spans found by the fixed patterns always stay.
 """
 
@@ -34,10 +35,17 @@ WINDOW = 20
 THRESHOLDS = {"hex": 3.0, "single": 3.4, "mixed": 3.7}
 ALLOWED = [re.compile(p) for p in (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUID
-    r"[A-Za-z]+(?:[-_./+=][A-Za-z]*)*",             # words, joined words, paths of words
     r"[0-9+./_=-]+",                                # numbers, dates, versions, rules
+)]
+#: Runs of which each segment between slashes is judged alone.
+PATHS = [re.compile(p) for p in (
+    r"[A-Za-z]+(?:[-_./+=][A-Za-z]*)*",             # words, joined words, paths of words
     r"(?:www\.|[a-z0-9-]+\.)+[a-z]{2,}(?:/.*)?",    # host names with a path
 )]
+HOST = re.compile(r"(?:www\.|[a-z0-9-]+\.)+[a-z]{2,}")
+#: Words in one case or capitalised, with up to four digits behind; numbers.
+PLAIN = re.compile(r"(?:[A-Z]+|[a-z]*(?:[A-Z]{1,5}[a-z]{2,}|An|As|At|By|Id|If|In|Is|It|My|No|Of|On|Or|To)*[A-Z]{0,5})[0-9]{0,4}|[0-9]+")
+JOINTS = re.compile(r"[-_.+=]")
 
 _TOKEN = np.zeros(256, dtype=bool)
 _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
@@ -67,9 +75,24 @@ def char_class(run: str) -> str:
     return "single" if one_case else "mixed"
 
 
-def allowed(run: str, before: str) -> bool:
-    """True for runs the allow-list suppresses; ``before`` is the text just ahead of the run."""
-    return (before.endswith(":") and run.startswith("//")) or any(p.fullmatch(run) for p in ALLOWED) or len(set(run)) <= 6
+def allowed(run: str) -> bool:
+    """True for runs and segments that the allow-list suppresses whole."""
+    return any(p.fullmatch(run) for p in ALLOWED) or len(set(run)) <= 6
+
+
+def candidates(run: str, before: str) -> list[tuple[int, str]]:
+    """(offset, text) of what the entropy test looks at; ``before`` is the text just ahead of the run."""
+    if (before.endswith(":") and run.startswith("//")) or allowed(run):
+        return []
+    if not any(p.fullmatch(run) for p in PATHS):
+        return [(0, run)]
+    found, at = [], 0
+    for i, segment in enumerate(run.split("/")):
+        if len(segment) >= CANDIDATE_MIN and not (allowed(segment) or i == 0 and HOST.fullmatch(segment)
+                                                  or all(PLAIN.fullmatch(w) for w in JOINTS.split(segment))):
+            found.append((at, segment))
+        at += len(segment) + 1
+    return found
 
 
 def entropy_spans(run: str) -> list[tuple[int, int]]:
@@ -112,8 +135,8 @@ def scan(text: str | None) -> list[Span]:
         if "AKIA" in run:
             found += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if m.end() - m.start() >= ACCESS_MIN]
         found += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if m.end() - m.start() >= HEX_MIN]
-        if not allowed(run, text[max(0, at - 3):at]):
-            found += [(at + a, 3, at + b) for a, b in entropy_spans(run)]
+        for off, part in candidates(run, text[max(0, at - 3):at]):
+            found += [(at + off + a, 3, at + off + b) for a, b in entropy_spans(part)]
     found.sort()
     return [(KINDS[k], s, e) for s, k, e in found]
 

@@ -62,3 +62,15 @@ def test_rows(spark):
     assert kept.columns == docs.columns and kept.count() == len(ODD) + 1
     assert kept.where("doc_id = 8").first().text == "[SECRET]" and kept.where("doc_id = 1").first().text is None
     assert S.scan_documents(documents(spark, [])).count() == 0 and S.redact_documents(documents(spark, [])).count() == 0
+
+
+def test_segments_of_paths_are_judged_alone():
+    text = f"see hooks.example.com/services/T0/{RANDOM} or x"
+    assert [(k, text[a:b]) for k, a, b in S.scan(text)] == [("entropy", RANDOM)]
+    assert S.redact(text, S.scan(text)) == "see hooks.example.com/services/T0/[SECRET] or x"
+    letters = "qTbvLxZpRdsWkaYbNmHcJgUw"
+    assert [k for k, _, _ in S.scan(f"x {letters} y")] == ["entropy"]
+    assert [k for k, _, _ in S.scan(f"x path/to/{letters} y")] == ["entropy"]
+    for clean in ("www.example.com/blog/the-10-best-things-to-do-in-paris-2024", "docs.example.com/api/parseHTTPResponseHeaderFields", "InternationalizationOfEverything",
+                  "files.example.com/123e4567-e89b-12d3-a456-426614174000/x", "THEQUICKBROWNFOXJUMPSOVER", "a-very-long-subdomain-name.example.com/x"):
+        assert S.scan(clean) == [], clean

@@ -98,3 +98,35 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
   NOT base_failed AND coalesce(v1 <= m1, true) AND coalesce(v2 <= m2, true) AND coalesce(v3 <= m3, true) AND coalesce(v4 <= m4, true) AS kept
 FROM f LEFT JOIN m ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source
 """
+
+PHRASES = r"""
+WITH p AS (
+  SELECT lang, piece, row_number() OVER () AS id FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+w AS (SELECT id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT lang, phrase, a, 1 AS cut_at, s[1] AS x, array_to_string(s[2:], ' ') AS y FROM c
+  UNION ALL SELECT lang, phrase, a, 2, s[1] || ' ' || s[2], s[3] FROM c WHERE k = 3),
+sc AS (
+  SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, cut_at, 1000000 * a * a // (x.f * y.f) AS score
+  FROM cut JOIN f x ON cut.lang = x.lang AND cut.x = x.phrase JOIN f y ON cut.lang = y.lang AND cut.y = y.phrase),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1),
+longer AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, unnest([s[1] || ' ' || s[2], s[2] || ' ' || s[3]]) AS part FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN longer ON low.lang = longer.lang AND low.phrase = longer.part
+  WHERE longer.most IS NULL OR 100 * longer.most < 50 * low.a),
+t AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, t.n, CAST(score AS BIGINT) AS score
+FROM kept JOIN t ON kept.lang = t.lang QUALIFY rank <= 2000
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, embed_dedup, lang_id, mixing, phrases, quality, secret_scan, simhash, token_files, url_filter
+from . import bpe, chat, embed_dedup, lang_id, license_scan, mixing, phrases, quality, secret_scan, simhash, token_files, url_filter
 from . import sql as Q
 from .common import table
 
@@ -92,12 +92,26 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    starts = F.transform(base, lambda s: s["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"), labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["coverage"])), F.lit(0.0)).alias("score"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_format, op3_source_mix, op4_secret_scan, op5_quality_rules, op6_bpe, op7_simhash,
-    op8_token_files, op9_url_filter, op10_embedding_dedup, op12_phrases)}
+    op8_token_files, op9_url_filter, op10_embedding_dedup, op11_license_scan, op12_phrases)}
 
-ORACLE_SQL = {"op2_chat_format": Q.CHAT, "op3_source_mix": Q.MIX, "op5_quality_rules": Q.QUALITY, "op12_phrases": Q.PHRASES}
+ORACLE_SQL = {"op2_chat_format": Q.CHAT, "op3_source_mix": Q.MIX, "op5_quality_rules": Q.QUALITY, "op11_license_scan": Q.LICENSES, "op12_phrases": Q.PHRASES}

@@ -1,5 +1,8 @@
 """DuckDB SQL of the operators that SQL can express, written apart from the Spark code."""
 
+from .license_texts import PHRASES as _LICENSE_PHRASES
+from .license_texts import TEXTS as _LICENSE_TEXTS
+
 CHAT = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -130,3 +133,50 @@ SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC,
   CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, t.n, CAST(score AS BIGINT) AS score
 FROM kept JOIN t ON kept.lang = t.lang QUALIFY rank <= 2000
 """
+
+_LICENSE_ROWS = ", ".join(f"({i}, '{label}', {str(i < len(_LICENSE_PHRASES)).lower()}, $t${text}$t$)"
+                          for i, (label, text) in enumerate([*_LICENSE_PHRASES, *_LICENSE_TEXTS]))
+
+LICENSES = r"""
+WITH t(t, label, base, text) AS (VALUES """ + _LICENSE_ROWS + r"""),
+tw AS (SELECT t, label, base, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+tk AS (
+  SELECT t, label, base, w, len(w) AS size, least(3, len(w)) AS k, len(w) // 8 AS shift,
+    greatest(1, (len(w) - least(3, len(w)) + 1) // 32) AS need
+  FROM tw),
+tg AS (
+  SELECT t, k, tpos, array_to_string(w[tpos + 1:tpos + k], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, size - k + 1)) AS tpos FROM tk)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+dg AS (
+  SELECT r, k, dpos, array_to_string(w[dpos + 1:dpos + k], ' ') AS gram
+  FROM (SELECT d.r, d.w, s.k, unnest(range(0, len(d.w) - s.k + 1)) AS dpos FROM d, (SELECT DISTINCT k FROM tk) s)),
+h AS (SELECT r, t, tpos, dpos, dpos - tpos AS diagonal FROM dg JOIN tg ON dg.k = tg.k AND dg.gram = tg.gram),
+v AS (SELECT r, t, diagonal, list(DISTINCT tpos) AS tposs, min(dpos) AS lo, max(dpos) AS hi FROM h GROUP BY ALL),
+m AS (
+  SELECT v.*, tk.k, tk.size, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, v.t ORDER BY diagonal) > shift, true) AS far
+  FROM v JOIN tk ON v.t = tk.t WHERE len(tposs) >= need),
+c AS (SELECT *, sum(far::INT) OVER (PARTITION BY r, t ORDER BY diagonal) AS merged FROM m),
+x AS (
+  SELECT r, t, merged, -1 AS part, any_value(k) AS k, any_value(size) AS size, flatten(list(tposs)) AS tposs, min(lo) AS lo, max(hi) AS hi
+  FROM c GROUP BY r, t, merged
+  UNION ALL SELECT r, t, merged, row_number() OVER (), k, size, tposs, lo, hi FROM c),
+y AS (
+  SELECT *, len(list_distinct(flatten(list_transform(tposs, lambda p: range(p, p + k))))) AS n FROM x),
+z AS (SELECT *, n >= 0.8 * size AND n >= 0.5 * (hi + k - lo) AS fine FROM y),
+s AS (
+  SELECT z.r, z.t, z.lo, z.n / z.size AS coverage
+  FROM z LEFT JOIN (SELECT r, t, merged FROM z WHERE part = -1 AND fine) b ON z.r = b.r AND z.t = b.t AND z.merged = b.merged
+  WHERE fine AND (part = -1 OR b.r IS NULL)),
+o AS (
+  SELECT r, count(*) FILTER (WHERE base) AS n_base, min(lo) FILTER (WHERE base) AS first_word, max(lo) FILTER (WHERE base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(coverage) AS score
+  FROM s JOIN tk ON s.t = tk.t GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN o ON d.r = o.r
+"""

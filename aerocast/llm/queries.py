@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, embed_dedup, lang_id, license_scan, mixing, phrases, quality, secret_scan, simhash, token_files, url_filter
+from . import bpe, chat, embed_dedup, lang_id, license_scan, mixing, phrases, quality, secret_scan, simhash, token_files, url_filter, whitening
 from . import sql as Q
 from .common import table
 
@@ -110,8 +110,13 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_format, op3_source_mix, op4_secret_scan, op5_quality_rules, op6_bpe, op7_simhash,
-    op8_token_files, op9_url_filter, op10_embedding_dedup, op11_license_scan, op12_phrases)}
+    op8_token_files, op9_url_filter, op10_embedding_dedup, op11_license_scan, op12_phrases,
+    op13_whitening)}
 
 ORACLE_SQL = {"op2_chat_format": Q.CHAT, "op3_source_mix": Q.MIX, "op5_quality_rules": Q.QUALITY, "op11_license_scan": Q.LICENSES, "op12_phrases": Q.PHRASES}

@@ -3,7 +3,7 @@
 Words are 64-bit ids, hashed from language and word; a dictionary table proves that no two words share an
 id (else the next seed is taken), so counts are exact. Each task counts its n-grams in a HAT-trie: hash
 containers of at most ``BURST`` keys under a shallow trie of word ids. A full container bursts into one container for
-each first id of its keys. When a trie holds ``MOST_ENTRIES`` n-grams, its largest subtrees leave it as sorted
+each next byte of the ids. When a trie holds ``MOST_ENTRIES`` n-grams, its largest subtrees leave it as sorted
 runs until half is free. Runs are dealt out by their first two words and merged per prefix.
 
 Lengths are counted one after the other. An n-gram that reaches ``min_count`` has only parts that reach it too, so
@@ -40,6 +40,7 @@ _LOWER[65:91] += 32
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 word, 1 between words, 2 between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
+_VALUE = np.where(_KIND == 0, np.arange(1, 257), 0).astype(np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -86,9 +87,7 @@ def tokens(texts: pa.Array, langs: pa.Array, seed: int = 0):
     rows = np.searchsorted(offsets, starts, side="right") - 1
     pieces = np.searchsorted(np.flatnonzero(kind == 2), starts) + rows
     power, inverse = _powers(seed, len(b))
-    total = np.zeros(len(b) + 1, dtype=np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:len(b)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
+    h = np.add.reduceat(_VALUE[b] * power[:len(b)], starts) * inverse[starts] if len(starts) else np.empty(0, np.uint64)
     for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
         h[i] = xxhash.xxh64_intdigest(b[starts[i]:ends[i]].tobytes(), seed)
     names = langs.dictionary_encode()
@@ -110,7 +109,10 @@ def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Trie:
-    """Counts of n-grams (bytes of ``width`` ids of 8 bytes) in burstable hash containers."""
+    """Counts of n-grams (``width`` ids of 8 bytes) in hash containers under a trie over the ids' bytes.
+
+    A container holds whole n-grams; what bursts is its range, into one container for each next byte.
+    """
 
     class Part:
         __slots__ = ("children", "counts")
@@ -121,69 +123,77 @@ class Trie:
     def __init__(self, width: int, burst: int = BURST):
         self.width, self.burst, self.root, self.size = 8 * width, burst, Trie.Part(), 0
 
-    def add(self, gram: bytes, n: int) -> None:
-        part, at = self.root, 0
-        while part.children is not None:
-            head, at = gram[at:at + 8], at + 8
-            found = part.children.get(head)
-            if found is None:
-                found = part.children[head] = Trie.Part()
-            part = found
-        counts, key = part.counts, gram[at:]
-        if key in counts:
-            counts[key] += n
-            return
-        counts[key] = n
-        self.size += 1
-        if len(counts) > self.burst and at < self.width - 8:
-            self._burst(part)
-
-    def _burst(self, part: Part) -> None:
-        part.children = {}
-        for key, n in part.counts.items():
-            part.children.setdefault(key[:8], Trie.Part()).counts[key[8:]] = n
-        part.counts = {}
-
-    def _count(self, part: Part) -> int:
-        return len(part.counts) if part.children is None else sum(map(self._count, part.children.values()))
-
-    def _run(self, part: Part, head: bytes) -> Iterator[tuple[bytes, int]]:
-        """The n-grams of a subtree in order."""
+    def add(self, grams: list[bytes], counts: list[int]) -> None:
+        burst, size = self.burst, self.size
+        for gram, n in zip(grams, counts, strict=True):
+            part, at = self.root, 0
+            while part.children is not None:
+                part = part.children[gram[at]]
+                at += 1
+            held = part.counts
+            if gram in held:
+                held[gram] += n
+            else:
+                held[gram] = n
+                size += 1
+                if len(held) > burst and at < self.width:
+                    part.children, part.counts = [Trie.Part() for _ in range(256)], {}
+                    for key, k in held.items():
+                        part.children[key[at]].counts[key] = k
+        self.size = size
+
+    def _parts(self, part: Part) -> Iterator[Part]:
+        """The containers of a subtree in order."""
         if part.children is None:
-            yield from ((head + key, part.counts[key]) for key in sorted(part.counts))
+            yield part
         else:
-            for key in sorted(part.children):
-                yield from self._run(part.children[key], head + key)
-
-    def spill(self, leave: int = 0) -> list[tuple[bytes, int]]:
+            for child in part.children:
+                yield from self._parts(child)
+
+    def _run(self, parts: list[Part]) -> tuple[list[bytes], list[int]]:
+        grams, counts = [], []
+        for part in parts:
+            for leaf in self._parts(part):
+                keys = sorted(leaf.counts)
+                grams += keys
+                counts += map(leaf.counts.__getitem__, keys)
+        return grams, counts
+
+    def spill(self, leave: int = 0) -> tuple[list[bytes], list[int]]:
         """The largest subtrees, taken out until ``leave`` n-grams at most are left, as one sorted run."""
         if self.root.children is None or not leave:
-            run, self.root, self.size = list(self._run(self.root, b"")), Trie.Part(), 0
+            run, self.root, self.size = self._run([self.root]), Trie.Part(), 0
             return run
-        sizes = sorted(((self._count(p), head) for head, p in self.root.children.items()), reverse=True)
+        children = self.root.children
+        sizes = sorted(((sum(len(x.counts) for x in self._parts(p)), i) for i, p in enumerate(children)), reverse=True)
         gone = []
-        for n, head in sizes:
+        for n, i in sizes:
             if self.size <= leave:
                 break
-            gone.append(head)
+            gone.append(i)
             self.size -= n
-        return [x for head in sorted(gone) for x in self._run(self.root.children.pop(head), head)]
+        run = self._run([children[i] for i in sorted(gone)])
+        for i in gone:
+            children[i] = Trie.Part()
+        return run
 
 
-def _columns(run: list[tuple[bytes, int]], width: int) -> list[pa.Array]:
-    ids = np.frombuffer(b"".join(g for g, _ in run), dtype=">u8").reshape(-1, width)
-    return [*[pa.array(ids[:, j].astype(np.uint64).view(np.int64)) for j in range(width)], pa.array([n for _, n in run], pa.int64())]
+def _columns(grams: list[bytes], counts: list[int], width: int) -> list[pa.Array]:
+    ids = np.frombuffer(b"".join(grams), dtype=">u8").reshape(-1, width)
+    return [*[pa.array(ids[:, j].astype(np.uint64).view(np.int64)) for j in range(width)], pa.array(counts, pa.int64())]
 
 
-def _distinct(sel: np.ndarray, ids: np.ndarray, width: int):
-    """Distinct n-grams that start at the places ``sel``: (their ids as bytes, the first place of each, counts)."""
-    local = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    key = local[sel]
-    for j in range(1, width):
-        key = (key if j == 1 else np.unique(key, return_inverse=True)[1].astype(np.int64)) << 32 | local[sel + j]
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    rows = np.stack([ids[sel[first] + j] for j in range(width)], axis=1).astype(">u8")
-    return rows.view(f"V{8 * width}").ravel().tolist(), sel[first], n.tolist()
+def _distinct(sel: np.ndarray, ids: np.ndarray, width: int) -> tuple[list[bytes], np.ndarray, list[int]]:
+    """N-grams that start at the places ``sel``: (their ids as bytes, a place of each, counts).
+
+    Sorted by a hash; neighbours count as one if all their ids agree, so should two n-grams share a hash, one may come twice.
+    """
+    at = sel[np.argsort(gram_keys(ids, width)[sel])]
+    rows = np.stack([ids[at + j] for j in range(width)], axis=1)
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1))) if len(at) else at
+    grams = rows[first].astype(">u8").tobytes()
+    step = 8 * width
+    return [grams[i:i + step] for i in range(0, len(grams), step)], at[first], np.diff(np.append(first, len(at))).tolist()
 
 
 def count_words(docs: DataFrame, seed: int) -> DataFrame:
@@ -194,10 +204,10 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
         trie, names = Trie(1), {}
 
         def out():
-            rows = trie.spill()
-            named = [names[g] for g, _ in rows]
+            grams, counts = trie.spill()
+            named = [names[g] for g in grams]
             names.clear()
-            ids, n = _columns(rows, 1)
+            ids, n = _columns(grams, counts, 1)
             yield pa.RecordBatch.from_arrays([ids, pa.array([x for x, _ in named], pa.string()),
                                               pa.array([w.decode("utf-8", "surrogatepass") for _, w in named], pa.string()), n],
                                              ["w1", "lang", "word", "n"])
@@ -207,10 +217,12 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
             ids, _, b, starts, ends, rows = tokens(batch.column(0), batch.column(1), seed)
             for at in range(0, len(ids), step):
                 part = ids[at:at + step]
-                for gram, i, n in zip(*_distinct(np.arange(len(part)), part, 1), strict=True):
-                    trie.add(gram, n)
+                grams, first, n = _distinct(np.arange(len(part)), part, 1)
+                trie.add(grams, n)
+                first += at
+                for gram, row, i, j in zip(grams, rows[first].tolist(), starts[first].tolist(), ends[first].tolist(), strict=True):
                     if gram not in names:
-                        names[gram] = langs[rows[at + i]], b[starts[at + i]:ends[at + i]].tobytes()
+                        names[gram] = langs[row], b[i:j].tobytes()
                 if trie.size >= most:
                     yield from out()
         if trie.size:
@@ -240,12 +252,11 @@ def count_grams(docs: DataFrame, length: int, seed: int, bitmap) -> DataFrame:
                 parts = fine(gram_keys(part, length - 1))
                 ok = (piece[:len(part) - length + 1] == piece[length - 1:]) & parts[:-1] & parts[1:]
                 grams, _, n = _distinct(np.flatnonzero(ok), part, length)
-                for gram, k in zip(grams, n, strict=True):
-                    trie.add(gram, k)
+                trie.add(grams, n)
                 if trie.size >= most:
-                    yield pa.RecordBatch.from_arrays(_columns(trie.spill(most // 2), length), [*names, "n"])
+                    yield pa.RecordBatch.from_arrays(_columns(*trie.spill(most // 2), length), [*names, "n"])
         if trie.size:
-            yield pa.RecordBatch.from_arrays(_columns(trie.spill(), length), [*names, "n"])
+            yield pa.RecordBatch.from_arrays(_columns(*trie.spill(), length), [*names, "n"])
 
     return docs.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
 

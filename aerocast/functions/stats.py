@@ -44,3 +44,16 @@ def sql_round_sig(expr: str, digits: int = 9) -> str:
     return (f"(CASE WHEN {expr} = 0 THEN 0.0 "
             f"WHEN {k} >= 0 THEN round({expr} / pow(10.0, {k}), {digits - 1}) * pow(10.0, {k}) "
             f"ELSE round({expr} * pow(10.0, -{k}), {digits - 1}) / pow(10.0, -{k}) END)")
+
+
+#: Fixed point: steps in one unit. A power of two, so scaling a double loses nothing.
+FIXED_STEPS = 1 << 24
+
+
+def fixed(col: Column) -> Column:
+    """A double as a whole number of steps, halves up; |value| up to 5e11 fits a long. Sums of these are exact."""
+    return F.floor(col.cast("double") * F.lit(float(FIXED_STEPS)) + F.lit(0.5)).cast("long")
+
+
+def sql_fixed(expr: str) -> str:
+    return f"CAST(floor(CAST({expr} AS DOUBLE) * {float(FIXED_STEPS)!r} + 0.5e0) AS HUGEINT)"

@@ -27,7 +27,7 @@ def holdout(df: DataFrame, test_year: int, first_year: int | None = None):
 
 
 def random_holdout(df: DataFrame, fraction: float = 0.8, seed: int = 42):
-    """The latent 80/20 random split, with a fixed seed so it is reproducible."""
+    """The latent 80/20 random split with a fixed seed. It differs when partitions do; ``ols.split_by_hash`` does not."""
     return df.randomSplit([fraction, 1.0 - fraction], seed=seed)
 
 

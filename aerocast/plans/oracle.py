@@ -7,6 +7,7 @@ Each builder returns ``name AS (...)`` fragments; ``with_ctes`` joins them.
 from __future__ import annotations
 
 from .. import schema as S
+from ..functions.stats import FIXED_STEPS, sql_fixed
 from ..functions.stats import sql_exact_mean as mean
 
 
@@ -159,7 +160,7 @@ def grid(keys=("state_code",), name="grid", year=S.GRID_YEAR) -> str:
 
 
 def with_ctes(*ctes: str) -> str:
-    return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
+    return "WITH RECURSIVE " + ",".join(c.strip("\n") for c in ctes) + "\n"
 
 
 # -- stages (mirrors aerocast.plans.stages) -------------------------------------
@@ -237,3 +238,98 @@ def chain(grid_name: str, long_name: str, name_col: str, value_col: str, columns
             for a, src, _ in arms)
         keysel = ", ".join(f"t.{k} AS {k}" for k in keys)
     return f"SELECT {keysel}, {', '.join(sel)} FROM {body}"
+
+
+# -- least squares on any number of features: plain sums a group, elimination by a recursive query --------------
+
+def ols_sums(name: str, source: str, groups, features, label: str) -> str:
+    """``name``: per group the count, sums and products of features and label in fixed point."""
+    g, z = ", ".join(groups), [*features, label]
+    k = range(len(z))
+    cols = ", ".join([f"CAST(sum(z{i}) AS HUGEINT) AS s{i}" for i in k]
+                     + [f"CAST(sum(z{i} * z{j}) AS HUGEINT) AS p{i}_{j}" for i in k for j in k if i <= j])
+    return f"""
+{name} AS (
+  SELECT {g}, CAST(count(*) AS HUGEINT) AS n, {cols}
+  FROM (SELECT {g}, {", ".join(f"{sql_fixed(c)} AS z{i}" for i, c in enumerate(z))} FROM {source}
+        WHERE {" AND ".join(f"{c} IS NOT NULL" for c in z)})
+  GROUP BY {g}
+)"""
+
+
+def ols_fit(name: str, sums: str, groups, size: int, use) -> str:
+    """``name``: groups, ``beta`` and ``mid`` (lists), ``level`` from the sums of ``size`` variables, the last one the label."""
+    from ..operators.ols import RANK_TOL
+    g, k, cols = ", ".join(groups), len(use), [*use, size - 1]
+
+    def num(e: str) -> str:
+        return f"CAST(CAST({e} AS VARCHAR) AS DOUBLE)"
+
+    def cell(i: int, j: int) -> str:
+        a, b = min(i, j), max(i, j)
+        return num(f"n * p{a}_{b} - s{i} * s{j}")
+
+    rows = "[" + ", ".join("[" + ", ".join(cell(i, j) for j in cols) + "]" for i in use) + "]"
+    mids = ", ".join(f"{num(f's{i}')} / (CAST(n AS DOUBLE) * {float(FIXED_STEPS)!r})" for i in use)
+    return f"""
+{name}_step AS (
+  SELECT {g}, 1 AS pos, {rows} AS m, [{", ".join(cell(i, i) for i in use)}] AS spread FROM {sums}
+  UNION ALL
+  SELECT {g}, pos + 1, list_transform(m, lambda line, i: CASE WHEN i = pos THEN own
+    ELSE list_transform(line, lambda v, c: v - line[pos] * own[c]) END), spread
+  FROM (SELECT *, CASE WHEN m[pos][pos] > {d(RANK_TOL)} * spread[pos] THEN list_transform(m[pos], lambda v: v / m[pos][pos])
+          ELSE list_transform(m[pos], lambda v: 0.0e0) END AS own FROM {name}_step WHERE pos <= {k})
+),
+{name} AS (
+  SELECT * EXCLUDE (m, pos), list_transform(m, lambda line: line[{k + 1}]) AS beta FROM
+    (SELECT {g}, m, pos FROM {name}_step WHERE pos = {k + 1})
+  JOIN (SELECT {g}, [{mids}] AS mid, {num(f"s{size - 1}")} / (CAST(n AS DOUBLE) * {float(FIXED_STEPS)!r}) AS level FROM {sums}) USING ({g})
+)"""
+
+
+def hash_ranked(name: str, source: str, groups, keys, seed: int = 42) -> str:
+    """``name``: the rows of ``source`` with ``place`` (from 0) by the md5 of seed and key, and ``size``, within their group."""
+    g = ", ".join(groups)
+    text = " || '|' || ".join([f"'{seed}'", *[f"CAST({c} AS VARCHAR)" for c in [*groups, *keys]]])
+    return f"""
+{name} AS (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY md5({text}), {", ".join(keys)}) - 1 AS place,
+  count(*) OVER (PARTITION BY {g}) AS size FROM {source})"""
+
+
+def cross_fitted(source: str, groups, models: dict, label: str, folds: int = 5) -> list[str]:
+    """``cross_mse``: groups, model, mse, n_test; each fold is fitted on the rows of the others, gathered anew."""
+    g, every = ", ".join(groups), list(dict.fromkeys(c for f in models.values() for c in f))
+    out = [hash_ranked("ranked", source, groups, ["year", "month"]), f"""
+folded AS (SELECT *, place % {folds} AS fold FROM ranked),
+others AS (SELECT r.* EXCLUDE (fold), f.fold FROM folded r JOIN (SELECT DISTINCT fold FROM folded) f ON r.fold <> f.fold)""",
+           ols_sums("fold_sums", "others", [*groups, "fold"], every, label)]
+    scored = []
+    for m, features in models.items():
+        if features:
+            out.append(ols_fit(f"fit_{m}", "fold_sums", [*groups, "fold"], len(every) + 1, [every.index(c) for c in features]))
+        else:
+            n = len(every)
+            out.append(f"""
+fit_{m} AS (SELECT {g}, fold, CAST(CAST(s{n} AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * {float(FIXED_STEPS)!r}) AS level FROM fold_sums)""")
+        scored.append(f"SELECT {g}, '{m}' AS model, {ols_value(features, 'f', 'r')} - r.{label} AS e "
+                      f"FROM folded r JOIN fit_{m} f USING ({g}, fold)")
+    return [*out, f"""
+cross_mse AS (SELECT {g}, model, avg(e * e) AS mse, count(*) AS n_test FROM ({" UNION ALL ".join(scored)}) GROUP BY {g}, model)"""]
+
+
+def ols_value(features, fit: str = "f", row: str = "g") -> str:
+    return f"{fit}.level" + "".join(f" + {fit}.beta[{i + 1}] * (CAST({row}.{c} AS DOUBLE) - {fit}.mid[{i + 1}])" for i, c in enumerate(features))
+
+
+def feature_chain(keys=STATE) -> list[str]:
+    """Weather by (month, year), the grid with that weather, pollutants by all six features: one fit a group each."""
+    gk, kc = ", ".join(f"g.{k}" for k in keys), [*keys, "year", "month"]
+    wf, pf = list(S.WEATHER_FEATURES), list(S.POLLUTANT_FEATURES)
+    return [ols_sums("wsum", in_training("weather_long"), ["variable", *keys], wf, "value"), ols_fit("wols", "wsum", ["variable", *keys], 3, [0, 1]), f"""
+wols_forecast AS (
+  SELECT f.variable, {gk}, g.year, g.month, {ols_value(wf)} AS prediction FROM grid g JOIN wols f ON {_on(keys)})""", f"""
+grid_weather AS ({chain("grid", "wols_forecast", "variable", "prediction", S.WEATHER_COLUMNS, "merge", kc)})""",
+            ols_sums("psum", in_training("monthly_features"), ["param", *keys], pf, "max_value"),
+            ols_fit("pols", "psum", ["param", *keys], 7, range(6)), f"""
+features_forecast AS (
+  SELECT f.param, {gk}, g.year, g.month, {ols_value(pf)} AS prediction FROM grid_weather g JOIN pols f ON {_on(keys)})"""]

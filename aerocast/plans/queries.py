@@ -381,15 +381,12 @@ def q_recent_training(spark, sf):
 
 
 def end_to_end(spark, sf, keys=STATE):
-    """C1-C6 with the linear forms: monthly features -> weather and pollutant
-    forecasts -> grid with weather (C3) -> combined forecasts (C5) -> index (C6)."""
+    """C1-C6 with least squares per region: monthly features -> weather forecasts -> grid with weather (C3) ->
+    pollutant forecasts on the six features -> combined forecasts (C5) -> index (C6)."""
     k = [*keys, "year", "month"]
-    g = X.grid(spark, sf, keys)
-    wf = ST.weather_linear_forecast(spark, sf, keys)
-    gw = align.combine_long(g, wf, k, "variable", "prediction", ST.WEATHER_ARM_COLUMNS)
-    pf = ST.pollutant_linear_forecast(spark, sf, keys)
-    comb = align.combine_long(g, pf, k, "param", "prediction", ST.POLLUTANT_ARM_COLUMNS)
-    return gw.join(index.air_quality_index(comb), k)
+    m = ST.feature_forecasts(spark, sf, keys)
+    comb = align.combine_long(m.grid.select(*k), m.pollutant_forecast, k, "param", "prediction", ST.POLLUTANT_ARM_COLUMNS)
+    return m.grid.join(index.air_quality_index(comb), k)
 
 
 _PRED = [S.forecast_column(p) for p in S.POLLUTANTS]
@@ -400,7 +397,13 @@ def _e2e_rounded(out: DataFrame) -> DataFrame:
     return sig(rounded(out, cols=[c for c in out.columns if c not in _W + _PRED]), _W + _PRED)
 
 
-def _e2e_select(keys=STATE) -> str:
+def _index_select(keys=STATE) -> str:
+    """The index of the trend forecasts with the weather forecasts (least squares by month and year)."""
+    return _e2e_select(keys, Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge", (*keys, "year", "month")),
+                       "pollutant_forecast")
+
+
+def _e2e_select(keys=STATE, weather="SELECT * FROM grid_weather", forecasts="features_forecast") -> str:
     kc = (*keys, "year", "month")
     return f"""
 SELECT * FROM (
@@ -410,17 +413,43 @@ SELECT * FROM (
                     for p in S.POLLUTANTS)},
          round(greatest({", ".join(Q.sql_subindex(S.forecast_column(p), p) for p in S.POLLUTANTS)}), 6)
            AS global_aqi
-  FROM ({Q.chain("grid", "weather_forecast", "variable", "prediction", ST.WEATHER_ARM_COLUMNS, "merge", kc)}) gw
-  JOIN ({Q.chain("grid", "pollutant_forecast", "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", kc)}) pc
+  FROM ({weather}) gw
+  JOIN ({Q.chain("grid", forecasts, "param", "prediction", ST.POLLUTANT_ARM_COLUMNS, "merge", kc)}) pc
   USING ({", ".join(kc)}))"""
 
 
-@register("end_to_end_linear", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()) + _e2e_select(),
-          "C1-C6 end to end (linear forms): features, forecasts, grid alignment, combination, index")
+def _feature_ctes(keys=STATE) -> list[str]:
+    return [Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(keys), Q.monthly_weather(keys), Q.monthly_weather_long(keys),
+            Q.monthly_features(keys), Q.grid(keys), *Q.feature_chain(keys)]
+
+
+@register("end_to_end_linear", Q.with_ctes(*_feature_ctes()) + _e2e_select(),
+          "C1-C6 end to end (M2, M5): features, least squares per region on all features, grid alignment, combination, index")
 def q_end_to_end_linear(spark, sf):
     return _e2e_rounded(end_to_end(spark, sf))
 
 
+def _forecast_features(spark, sf, keys=STATE):
+    m = ST.feature_forecasts(spark, sf, keys)
+    names = m.weather_forecast.withColumnRenamed("variable", "name").unionByName(m.pollutant_forecast.withColumnRenamed("param", "name"))
+    return sig(names, ["prediction"])
+
+
+def _sql_forecast_features(keys=STATE) -> str:
+    k = ", ".join(keys)
+    return Q.with_ctes(*_feature_ctes(keys)) + f"""
+SELECT name, {k}, year, month, {sql_sig("prediction")} AS prediction FROM (
+  SELECT variable AS name, {k}, year, month, prediction FROM wols_forecast
+  UNION ALL SELECT param, {k}, year, month, prediction FROM features_forecast)"""
+
+
+@register("forecast_features_linear", _sql_forecast_features(),
+          "C2, C4 (M1, M2, M4, M5): one least-squares fit for every (variable, state) on month and year and every "
+          "(param, state) on the six features")
+def q_forecast_features_linear(spark, sf):
+    return _forecast_features(spark, sf)
+
+
 # -- model forms: rows-only checks ------------------------------------------------------
 
 for _kind in ("gbt", "rf", "dt"):
@@ -530,9 +559,14 @@ def q_combine_forecasts_county(spark, sf):
                               ST.POLLUTANT_ARM_COLUMNS)
 
 
-@register("end_to_end_linear_county",
-          Q.with_ctes(*_WF_C, *_PL_C, Q.pollutant_forecast(keys=COUNTY)) + _e2e_select(COUNTY),
-          "C1-C6 end to end at county level (linear forms)")
+@register("forecast_features_linear_county", _sql_forecast_features(COUNTY),
+          "C2, C4 (M2, M5) county variant: one fit for every (variable, county) and (param, county)")
+def q_forecast_features_linear_county(spark, sf):
+    return _forecast_features(spark, sf, COUNTY)
+
+
+@register("end_to_end_linear_county", Q.with_ctes(*_feature_ctes(COUNTY)) + _e2e_select(COUNTY),
+          "C1-C6 end to end at county level (least squares per county)")
 def q_end_to_end_linear_county(spark, sf):
     return _e2e_rounded(end_to_end(spark, sf, COUNTY))
 
@@ -541,7 +575,7 @@ def q_end_to_end_linear_county(spark, sf):
 # -- latent reports: index forecast error, model comparison ---------------------------
 
 @register("aqi_forecast_error", Q.with_ctes(*_WF, *_PL, Q.pollutant_forecast()).rstrip("\n") + f""",
-e2e AS ({_e2e_select()}),
+e2e AS ({_index_select()}),
 obs_day AS (
   SELECT state_code, date_local, max({Q.sql_subindex_by_param("CAST(max_value AS DOUBLE)", "param")}) AS aqi
   FROM pollutant_daily GROUP BY state_code, date_local),
@@ -579,6 +613,51 @@ def q_compare_models(spark, sf):
                                    S.WEATHER_FEATURES)
 
 
+CROSS_MODELS = {"mean": [], "calendar": list(S.WEATHER_FEATURES), "weather": list(S.POLLUTANT_FEATURES[2:]),
+                "features": list(S.POLLUTANT_FEATURES)}
+
+
+@register("compare_models_linear", Q.with_ctes(
+    Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(), Q.monthly_features(),
+    *Q.cross_fitted(Q.in_training("monthly_features"), ["param", "state_code"], CROSS_MODELS, "max_value")) + f"""
+SELECT param, state_code, model, {sql_round_sig("mse")} AS mse, n_test,
+       first(model) OVER (PARTITION BY param, state_code ORDER BY mse, model) AS best_model FROM cross_mse""",
+          "C9 / M6, cross-fitted: five folds of every (param, state), every row scored by least squares on the other four; "
+          "mse of the mean, month and year, the weather, and all six features, and the winner")
+def q_compare_models_linear(spark, sf):
+    from ..operators import ols
+    f = monthly.monthly_features(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), X.weather_daily(spark, sf, last=S.TRAIN_LAST_YEAR), STATE)
+    f = writers.stage(f.select("param", "state_code", *S.POLLUTANT_FEATURES, "max_value"), "features")
+    by = ["param", "state_code"]
+    mse = writers.stage(ols.cross_fit(f, by, ["year", "month"], CROSS_MODELS, "max_value"), "cross-mse")
+    best = evaluate.best_model(mse, by).drop("best_mse")
+    return mse.join(best, by).withColumn("mse", round_sig("mse"))
+
+
+_HOLDOUT = f"(SELECT * FROM {Q.in_training('weather_long')})"
+
+
+@register("random_holdout_mse", Q.with_ctes(
+    Q.weather_daily(), Q.monthly_weather_long(), Q.hash_ranked("ranked", _HOLDOUT, ["variable", "state_code"], ["year", "month"]), """
+kept AS (SELECT * FROM ranked WHERE place >= floor(size * 20 / 100))""",
+    Q.ols_sums("sums", "kept", ["variable", "state_code"], S.WEATHER_FEATURES, "value"),
+    Q.ols_fit("fits", "sums", ["variable", "state_code"], 3, [0, 1])) + f"""
+SELECT variable, state_code, {sql_round_sig("avg(e * e)")} AS mse, count(*) AS n_test, CAST(any_value(n) AS BIGINT) AS n_train FROM (
+  SELECT variable, state_code, n, {Q.ols_value(S.WEATHER_FEATURES, "f", "r")} - r.value AS e
+  FROM ranked r JOIN fits f USING (variable, state_code) JOIN (SELECT variable, state_code, n FROM sums) USING (variable, state_code)
+  WHERE place < floor(size * 20 / 100))
+GROUP BY variable, state_code""",
+          "M7, A5: exact 80/20 split of every (variable, state) by the rank of a keyed hash, least squares on the 80, mse on the 20")
+def q_random_holdout_mse(spark, sf):
+    from ..operators import ols
+    by = ["variable", "state_code"]
+    wl = writers.stage(ST.weather_long(spark, sf, last=S.TRAIN_LAST_YEAR), "weather-monthly")
+    train, test = ols.split_by_hash(wl, by, ["year", "month"])
+    error = ols.fitted(F.col("fit"), S.WEATHER_FEATURES) - F.col("value")
+    scored = test.join(ols.fit(train, by, S.WEATHER_FEATURES, "value"), by).select(*by, "n", (error * error).alias("square"))
+    return scored.groupBy(*by).agg(round_sig(F.avg("square")).alias("mse"), F.count("*").alias("n_test"), F.first("n").alias("n_train"))
+
+
 @register("staged_run",
           Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(),
                       Q.monthly_features(), Q.pollutant_long(source="monthly_features"), Q.grid(),

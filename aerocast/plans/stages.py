@@ -75,6 +75,30 @@ def pollutant_naive_arms(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
     return baselines.seasonal_naive(pollutant_long(spark, sf, keys), ["param"], keys)
 
 
+@dataclass(frozen=True)
+class FeatureForecasts:
+    """C1-C4 with a least-squares fit for every group: each fact table is read once."""
+
+    weather_forecast: DataFrame
+    grid: DataFrame  # with the forecast weather
+    pollutant_forecast: DataFrame
+
+
+def feature_forecasts(spark: SparkSession, sf: str, keys=STATE) -> FeatureForecasts:
+    """Weather of each (variable, region) by month and year, C3, pollutants of each (param, region) by the six features (M2, M5)."""
+    from ..operators import align, ols
+
+    wl = writers.stage(weather_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR), "weather-monthly")
+    grid = X.grid(spark, sf, keys)
+    by_weather, by_param = ["variable", *keys], ["param", *keys]
+    weather = ols.forecast(ols.fit(in_training(wl), by_weather, S.WEATHER_FEATURES, "value"), grid, by_weather, keys, S.WEATHER_FEATURES)
+    gw = writers.stage(align.combine_long(grid, weather, [*keys, "year", "month"], "variable", "prediction", WEATHER_ARM_COLUMNS), "grid-with-weather")
+    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), keys, measures=["max_value"])
+    features = in_training(monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys))
+    fits = ols.fit(features, by_param, S.POLLUTANT_FEATURES, "max_value")
+    return FeatureForecasts(weather, gw, ols.forecast(fits, gw, by_param, keys, S.POLLUTANT_FEATURES))
+
+
 WEATHER_ARM_COLUMNS = dict(S.WEATHER_COLUMNS)
 POLLUTANT_ARM_COLUMNS = {p: S.forecast_column(p) for p in S.POLLUTANTS}
 

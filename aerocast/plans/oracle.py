@@ -333,3 +333,38 @@ grid_weather AS ({chain("grid", "wols_forecast", "variable", "prediction", S.WEA
             ols_fit("pols", "psum", ["param", *keys], 7, range(6)), f"""
 features_forecast AS (
   SELECT f.param, {gk}, g.year, g.month, {ols_value(pf)} AS prediction FROM grid_weather g JOIN pols f ON {_on(keys)})"""]
+
+
+def tree(name: str, train: str, score: str, groups, keys, features, label: str, depth: int, bins: int = 32) -> list[str]:
+    """``name``: one regression tree a group, every threshold tried on the rows of every node; ``prediction`` for the rows of ``score``."""
+    g, kk, k = ", ".join(groups), ", ".join(keys), len(features)
+    xs = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in features) + "]"
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in [*features, label])
+    out = [f"""
+{name}_rows AS (SELECT {g}, year, month, {xs} AS xs, {sql_fixed(label)} AS r FROM {train} WHERE {whole}),
+{name}_x AS (SELECT {g}, year, month, f, xs[f] AS x FROM (SELECT *, unnest(range(1, {k + 1})) AS f FROM {name}_rows)),
+{name}_v AS (SELECT {g}, f, list_sort(list(DISTINCT x)) AS v FROM {name}_x GROUP BY {g}, f),
+{name}_cut AS (
+  SELECT {g}, f, c, (v[c * len(v) // least(len(v), {bins})] + v[c * len(v) // least(len(v), {bins}) + 1]) / 2 AS t
+  FROM (SELECT *, unnest(range(1, least(len(v), {bins}))) AS c FROM {name}_v)),
+{name}_n1 AS (SELECT {g}, year, month, r, xs, 1 AS node FROM {name}_rows),
+{name}_s1 AS (SELECT {g}, year, month, {xs} AS xs, 1 AS node FROM {score} JOIN (SELECT DISTINCT {g} FROM {name}_rows) USING ({kk}))"""]
+    for at in range(1, depth + 1):
+        move = "CASE WHEN f IS NULL THEN node ELSE 2 * node + CAST(xs[f] > t AS INTEGER) END AS node"
+        out.append(f"""
+{name}_b{at} AS (
+  SELECT {g}, node, f, t FROM (
+    SELECT *, CAST(CAST(sl * (nt - nl) - (st - sl) * nl AS VARCHAR) AS DOUBLE) AS apart FROM (
+      SELECT {g}, node, f, c, t, count(*) FILTER (xs[f] <= t) AS nl, count(*) AS nt,
+        coalesce(sum(r) FILTER (xs[f] <= t), 0) AS sl, sum(r) AS st
+      FROM {name}_n{at} JOIN {name}_cut USING ({g}) GROUP BY {g}, node, f, c, t)
+    WHERE nl > 0 AND nl < nt)
+  WHERE apart <> 0 QUALIFY row_number() OVER (PARTITION BY {g}, node
+    ORDER BY apart * apart / (CAST(nl AS DOUBLE) * CAST(nt - nl AS DOUBLE) * CAST(nt AS DOUBLE)) DESC, f, c) = 1),
+{name}_n{at + 1} AS (SELECT {g}, year, month, r, xs, {move} FROM {name}_n{at} LEFT JOIN {name}_b{at} USING ({g}, node)),
+{name}_s{at + 1} AS (SELECT {g}, year, month, xs, {move} FROM {name}_s{at} LEFT JOIN {name}_b{at} USING ({g}, node))""")
+    return [*out, f"""
+{name} AS (
+  SELECT {g}, year, month, value AS prediction FROM {name}_s{depth + 1} JOIN (
+    SELECT {g}, node, CAST(CAST(sum(r) AS VARCHAR) AS DOUBLE) / (count(*) * {float(FIXED_STEPS)!r}) AS value
+    FROM {name}_n{depth + 1} GROUP BY {g}, node) USING ({g}, node))"""]

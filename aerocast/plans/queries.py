@@ -429,8 +429,8 @@ def q_end_to_end_linear(spark, sf):
     return _e2e_rounded(end_to_end(spark, sf))
 
 
-def _forecast_features(spark, sf, keys=STATE):
-    m = ST.feature_forecasts(spark, sf, keys)
+def _forecast_features(spark, sf, keys=STATE, **model):
+    m = ST.feature_forecasts(spark, sf, keys, **model)
     names = m.weather_forecast.withColumnRenamed("variable", "name").unionByName(m.pollutant_forecast.withColumnRenamed("param", "name"))
     return sig(names, ["prediction"])
 
@@ -450,6 +450,50 @@ def q_forecast_features_linear(spark, sf):
     return _forecast_features(spark, sf)
 
 
+@register("forecast_tree_regions", Q.with_ctes(
+    *_feature_ctes()[:7],
+    *Q.tree("wtree", Q.in_training("weather_long"), "grid", ["variable", "state_code"], STATE, S.WEATHER_FEATURES, "value", 2),
+    f"""
+grid_weather AS ({Q.chain("grid", "wtree", "variable", "prediction", S.WEATHER_COLUMNS, "merge")})""",
+    *Q.tree("ptree", Q.in_training("monthly_features"), "grid_weather", ["param", "state_code"], STATE, S.POLLUTANT_FEATURES, "max_value", 2)) + f"""
+SELECT name, state_code, year, month, {sql_sig("prediction")} AS prediction FROM (
+  SELECT variable AS name, state_code, year, month, prediction FROM wtree
+  UNION ALL SELECT param, state_code, year, month, prediction FROM ptree)""",
+          "M3, M4, M5: one regression tree of depth 2 for every (variable, state) and every (param, state), by value")
+def q_forecast_tree_regions(spark, sf):
+    return _forecast_features(spark, sf, trees=1, depth=2)
+
+
+@register("forecast_gbt_regions", None,
+          "M3, M4, M5 as in the source: 20 boosted trees of depth 5 for every (variable, state) and every (param, state)")
+def q_forecast_gbt_regions(spark, sf):
+    return _forecast_features(spark, sf, trees=20)
+
+
+GBT_MSE_SHARE = 0.5
+
+_REGION_LABELS = f"""
+labels AS (
+  SELECT variable AS name, state_code, value AS label FROM weather_long WHERE year <= {S.TRAIN_LAST_YEAR}
+  UNION ALL SELECT param, state_code, max_value FROM monthly_features WHERE year <= {S.TRAIN_LAST_YEAR})"""
+
+
+@register("gbt_regions_mse", Q.with_ctes(*_feature_ctes()[:7], _REGION_LABELS) + f"""
+SELECT name, state_code, count(*) AS n_train, {sql_round_sig("var_pop(label)", 6)} AS mean_mse, true AS fine FROM labels GROUP BY name, state_code""",
+          "M3-M6: the boosted trees of every region on their training rows: rows, mse of the mean predictor, and whether theirs "
+          f"is at most {GBT_MSE_SHARE} of it, which no constant reaches")
+def q_gbt_regions_mse(spark, sf):
+    from ..operators import trees
+    m = ST.feature_forecasts(spark, sf)
+    fits = [trees.fit_and_forecast(t, t.limit(0), [n, *STATE], STATE, f, label, fitted=True).withColumnRenamed(n, "name")
+            for t, n, f, label in ((m.weather, "variable", S.WEATHER_FEATURES, "value"), (m.features, "param", S.POLLUTANT_FEATURES, "max_value"))]
+    error = F.col("prediction") - F.col("_label")
+    out = fits[0].unionByName(fits[1]).groupBy("name", *STATE).agg(
+        F.count("*").alias("n_train"), F.var_pop("_label").alias("mean_mse"), F.avg(error * error).alias("mse"))
+    return out.select("name", *STATE, "n_train", round_sig("mean_mse", 6).alias("mean_mse"),
+                      (F.col("mse") <= GBT_MSE_SHARE * F.col("mean_mse")).alias("fine"))
+
+
 # -- model forms: rows-only checks ------------------------------------------------------
 
 for _kind in ("gbt", "rf", "dt"):

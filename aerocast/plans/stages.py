@@ -77,26 +77,36 @@ def pollutant_naive_arms(spark: SparkSession, sf: str, keys=STATE) -> DataFrame:
 
 @dataclass(frozen=True)
 class FeatureForecasts:
-    """C1-C4 with a least-squares fit for every group: each fact table is read once."""
+    """C1-C4 with a model of its own for every group: each fact table is read once."""
 
+    weather: DataFrame  # long training series
+    features: DataFrame  # pollutant training rows
     weather_forecast: DataFrame
     grid: DataFrame  # with the forecast weather
     pollutant_forecast: DataFrame
 
 
-def feature_forecasts(spark: SparkSession, sf: str, keys=STATE) -> FeatureForecasts:
-    """Weather of each (variable, region) by month and year, C3, pollutants of each (param, region) by the six features (M2, M5)."""
+def feature_forecasts(spark: SparkSession, sf: str, keys=STATE, trees: int = 0, depth: int = 5) -> FeatureForecasts:
+    """Weather of each (variable, region) by month and year, C3, pollutants of each (param, region) by the six features (M2-M5).
+
+    Least squares, or with ``trees`` that many (boosted) regression trees of ``depth`` a group.
+    """
     from ..operators import align, ols
+    from ..operators import trees as T
+
+    def ahead(train, score, name, features, label):
+        by = [name, *keys]
+        if trees:
+            return T.fit_and_forecast(train, score, by, keys, features, label, trees, depth)
+        return ols.forecast(ols.fit(train, by, features, label), score, by, keys, features)
 
     wl = writers.stage(weather_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR), "weather-monthly")
     grid = X.grid(spark, sf, keys)
-    by_weather, by_param = ["variable", *keys], ["param", *keys]
-    weather = ols.forecast(ols.fit(in_training(wl), by_weather, S.WEATHER_FEATURES, "value"), grid, by_weather, keys, S.WEATHER_FEATURES)
+    weather = writers.stage(ahead(in_training(wl), grid, "variable", S.WEATHER_FEATURES, "value"), "weather-forecast")
     gw = writers.stage(align.combine_long(grid, weather, [*keys, "year", "month"], "variable", "prediction", WEATHER_ARM_COLUMNS), "grid-with-weather")
     pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), keys, measures=["max_value"])
-    features = in_training(monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys))
-    fits = ols.fit(features, by_param, S.POLLUTANT_FEATURES, "max_value")
-    return FeatureForecasts(weather, gw, ols.forecast(fits, gw, by_param, keys, S.POLLUTANT_FEATURES))
+    features = writers.stage(in_training(monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys)), "features")
+    return FeatureForecasts(wl, features, weather, gw, ahead(features, gw, "param", S.POLLUTANT_FEATURES, "max_value"))
 
 
 WEATHER_ARM_COLUMNS = dict(S.WEATHER_COLUMNS)

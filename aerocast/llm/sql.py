@@ -85,20 +85,31 @@ o AS (
     sum(n) OVER (PARTITION BY lvl, lang, source, name) AS total, CASE WHEN bucket IS NULL THEN 0.0 ELSE pow(1.02, bucket) END AS edge
   FROM g),
 q AS (
-  SELECT lvl, lang, source, name, max(total) AS total,
-    min(edge) FILTER (WHERE 4 * upto >= total) AS q1, min(edge) FILTER (WHERE 4 * upto >= 3 * total) AS q3
+  SELECT lvl, lang, source, name, max(total) AS total, min(edge) FILTER (WHERE 4 * upto >= total) AS q1, min(edge) FILTER (WHERE 2 * upto >= total) AS q2,
+    min(edge) FILTER (WHERE 4 * upto >= 3 * total) AS q3, min(edge) FILTER (WHERE 100 * upto >= 99 * total) AS tail
   FROM o GROUP BY ALL),
-z AS (
-  SELECT a.lang, a.source, a.name, greatest(CASE a.name WHEN 1 THEN 0.05 WHEN 2 THEN 0.5 WHEN 3 THEN 0.4 ELSE 10.0 END,
-    CASE WHEN a.total >= 50 THEN a.q3 + 3 * (a.q3 - a.q1) WHEN b.total >= 50 THEN b.q3 + 3 * (b.q3 - b.q1) ELSE e.q3 + 3 * (e.q3 - e.q1) END) AS most
+dev AS (
+  SELECT o.name, round(sum(o.n * abs(edge - q2)) / sum(o.n), 9) AS least
+  FROM o JOIN q ON q.lvl = 0 AND o.name = q.name AND o.lang IS NOT DISTINCT FROM q.lang AND o.source IS NOT DISTINCT FROM q.source
+  WHERE o.lvl = 0 GROUP BY o.name),
+y AS (
+  SELECT a.lang, a.source, a.name, dev.least, e.tail,
+    CASE WHEN a.total >= 50 THEN a.q1 WHEN b.total >= 50 THEN b.q1 WHEN e.total >= 50 THEN e.q1 END AS low,
+    CASE WHEN a.total >= 50 THEN a.q3 WHEN b.total >= 50 THEN b.q3 WHEN e.total >= 50 THEN e.q3 END AS high
   FROM q a JOIN q b ON b.lvl = 1 AND a.name = b.name AND a.lang IS NOT DISTINCT FROM b.lang JOIN q e ON e.lvl = 2 AND e.name = a.name
+    JOIN dev ON dev.name = a.name
   WHERE a.lvl = 0),
+z AS (
+  SELECT lang, source, name, CASE WHEN high IS NULL THEN NULL WHEN name IN (2, 3) THEN greatest(high + 3 * greatest(high - low, least), tail)
+    ELSE high + 3 * greatest(high - low, least) END AS most
+  FROM y),
 m AS (
   SELECT lang, source, max(most) FILTER (WHERE name = 1) AS m1, max(most) FILTER (WHERE name = 2) AS m2,
     max(most) FILTER (WHERE name = 3) AS m3, max(most) FILTER (WHERE name = 4) AS m4
   FROM z GROUP BY lang, source)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(v1 <= m1, true) AND coalesce(v2 <= m2, true) AND coalesce(v3 <= m3, true) AND coalesce(v4 <= m4, true) AS kept
+  NOT base_failed AND coalesce(v1 <= m1, true) AND coalesce(v2 - 3 * sqrt(v2 / greatest(n_lines, 1)) <= m2, true)
+    AND coalesce(v3 - 3 * sqrt(v3 * 6 / greatest(n_words, 1)) <= m3, true) AND coalesce(v4 - 3 * sqrt(v4 / greatest(n_words, 1)) <= m4, true) AS kept
 FROM f LEFT JOIN m ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source
 """
 

@@ -1,7 +1,9 @@
 import random
 import re
 
+import pytest
 from aerocast.llm import quality as Q
+from aerocast.llm import sql
 from helpers import ODD, documents, with_clashes, words
 
 
@@ -48,15 +50,46 @@ def test_keep_good(spark):
     assert Q.keep_good(documents(spark, [])).count() == 0
 
 
-def test_thresholds_follow_the_data(spark):
+def by_sql(docs, path):
+    """doc_id -> kept, by the query's SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    docs.write.parquet(str(path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    return dict(con.execute(f"SELECT doc_id, kept FROM ({sql.QUALITY})").fetchall())
+
+
+def test_thresholds_follow_the_data(spark, tmp_path):
     """Mean word lengths of 5 to 6 but for one group of 9 to 10: what is far out is so within its group, below any old floor too."""
     def text(i, long):
         return " ".join(f"{'x' * (long + (i + j) % 2)}{j:04d}"[-long - (i + j) % 2:] for j in range(100))
     rows = [(i, text(i, 5), "en", "a") for i in range(60)] + [(100 + i, text(i, 9), "de", "b") for i in range(60)]
     far = [(200, text(0, 9), "en", "a"), (201, text(0, 20), "de", "b")]
-    out = {r.row.doc_id: r.kept for r in Q.judge(documents(spark, rows + far)).collect()}
+    docs = documents(spark, rows + far)
+    out = {r.row.doc_id: r.kept for r in Q.judge(docs).collect()}
     assert all(out[r[0]] for r in rows)
     assert not out[200] and not out[201]
+    assert by_sql(docs, tmp_path / "d") == out
+
+
+def test_sql_states_the_same_rule(spark, tmp_path):
+    """Groups of all sizes, with and without spread: every branch of the thresholds, the long tails and the counting errors."""
+    rnd = random.Random(9)
+
+    def text(i):
+        long = rnd.choice([0] * 30 + [30])
+        lines = [" ".join(rnd.choice("abcdefgh") * (long + rnd.randint(1, 9)) + str(rnd.randint(0, 400)) for _ in range(rnd.randint(3, 12))) for _ in range(rnd.randint(12, 30))]
+        lines += rnd.choices(lines, k=rnd.choice([0] * 30 + [1, 4, 14])) + ["#" * rnd.choice([0] * 20 + [3, 40])]
+        return "\n".join(lines) + " big red dog" * rnd.choice([0] * 20 + [3, 25])
+    sizes = {("en", "a"): 150, ("en", "b"): 20, ("de", "a"): 70, ("fr", "c"): 30, (None, "a"): 10, ("fr", None): 10}
+    rows = [(1000 * g + i, text(i), *key) for g, (key, n) in enumerate(sizes.items()) for i in range(n)]
+    docs = documents(spark, rows)
+    out = {r.row.doc_id: (r.kept, r.base_failed) for r in Q.judge(docs).collect()}
+    assert by_sql(docs, tmp_path / "d") == {i: kept for i, (kept, _) in out.items()}
+    adaptive = sum(not kept and not failed for kept, failed in out.values())
+    assert 5 < adaptive < len(rows) / 2
+    few = documents(spark, rows[:40])
+    assert by_sql(few, tmp_path / "e") == {r.row.doc_id: r.kept for r in Q.judge(few).collect()}
 
 
 def test_few_repeats_are_no_evidence_and_many_are(spark):

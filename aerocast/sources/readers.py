@@ -34,18 +34,22 @@ def _code_from_path(df: DataFrame, col: str) -> Column:
 
 
 def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: str | None = None,
-                   key_columns=("State Code", "County Code")) -> tuple[DataFrame, DataFrame]:
+                   key_columns=("State Code", "County Code"), base_path: str | None = None,
+                   with_file: bool = False) -> tuple[DataFrame, DataFrame]:
     """Read raw daily CSV files into the typed daily schema.
 
+    ``base_path``: the root of the partition folders when ``paths`` are single files below it; ``with_file`` adds each row's ``file``.
+
     ``kind`` is ``pollutant`` (column ``param``) or ``weather`` (``variable``).
     Returns ``(good, quarantine)``; quarantine rows keep the raw text and a
     ``reason``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (spark.read.option("header", True).option("inferSchema", False)
+    at = {} if base_path is None else {"basePath": base_path}
+    raw = (spark.read.options(**at).option("header", True).option("inferSchema", False)
            .option("mode", "PERMISSIVE").csv(paths))
     # the first file's header is the schema, and a file with other columns or another order is refused
-    raw = (spark.read.schema(raw.schema).option("header", True).option("enforceSchema", False)
+    raw = (spark.read.options(**at).schema(raw.schema).option("header", True).option("enforceSchema", False)
            .option("mode", "PERMISSIVE").csv(paths))
     name_col = "param" if kind == "pollutant" else "variable"
     if code is not None:
@@ -69,7 +73,7 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
         .alias("county_code"),
         F.expr(f"try_to_date(`{inv['date_local']}`, 'yyyy-MM-dd')").alias("date_local"),
         *[_num(inv[m], types[m]).alias(m) for m in measures],
-        file_year.alias("_file_year"),
+        file_year.alias("_file_year"), *([F.col("_metadata.file_path").alias("file")] if with_file else []),
         F.col(f"`{state_raw}`").alias("_raw_state"), F.col(f"`{inv['date_local']}`").alias("_raw_date"),
         *[F.col(f"`{inv[m]}`").alias(f"_raw_{m}") for m in measures])
     reason = (F.when(F.col(name_col).isNull(), F.lit("no code"))

@@ -26,7 +26,7 @@ from ..functions.stats import round_sig, sql_exact_mean, sql_round_sig
 from ..operators import align, evaluate, index, monthly, topk
 from ..operators.linear import sql_trend, sql_trend_value
 from ..session import scratch_path
-from ..sources import readers, writers
+from ..sources import incremental, readers, tables, writers
 from . import oracle as Q
 from . import stages as ST
 
@@ -532,8 +532,7 @@ def q_union_years(spark, sf):
 def q_csv_roundtrip(spark, sf):
     root = scratch_path(spark, "daily_pollutant_csv")
     writers.stage_daily(X.pollutant_daily(spark, sf), root, fmt="csv", header_names=True)
-    good, _bad = readers.read_daily_csv(spark, root, "pollutant")
-    return monthly.monthly_pollutant(good, STATE)
+    return monthly.monthly_pollutant(writers.none_lost(readers.read_daily_csv(spark, root, "pollutant")), STATE)
 
 
 UPSERT_CUTOFF = "1999-06-15"
@@ -551,13 +550,45 @@ def q_upsert_monthly(spark, sf):
     keys = ["param", "state_code", "year", "month"]
     root = scratch_path(spark, "monthly_features_table")
     schema = stale.schema
-    stale_ok, _ = writers.coerce(stale, schema, keys)
-    writers.upsert(spark, stale_ok, keys, root)
-    fresh_ok, _ = writers.coerce(fresh.select(*stale.columns), schema, keys)
-    path = writers.upsert(spark, fresh_ok, keys, root)
+    for part in (stale, fresh):
+        part = writers.stage(part.select(*schema.names), "upsert-rows")
+        path = writers.upsert(spark, writers.none_lost(writers.coerce(part, schema, keys)), keys, root)
     return spark.read.parquet(path)
 
 
+@register("upsert_partitions", _MF_SQL,
+          "K3: the stale snapshot and the recomputed months in a manifest table partitioned by (param, year): the second write "
+          "reads and writes the partitions from 1999 on only, and is published by an atomic pointer")
+def q_upsert_partitions(spark, sf):
+    cut_year = int(UPSERT_CUTOFF[:4])
+    cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
+    stale = monthly.monthly_features(X.pollutant_daily(spark, sf, last=cut_year).where(cut), X.weather_daily(spark, sf, last=cut_year).where(cut), STATE)
+    fresh = monthly.monthly_features(X.pollutant_daily(spark, sf, cut_year), X.weather_daily(spark, sf, cut_year), STATE)
+    keys, root = ["param", "state_code", "year", "month"], scratch_path(spark, "features_manifest")
+    for part in (stale, fresh):
+        version = tables.upsert(spark, part, keys, ["param", "year"], root)
+    return tables.read(spark, version, stale.schema)
+
+
+@register("incremental_features", _MF_SQL,
+          "S1, S2, U1: readings published as CSV, 1999 up to mid-June at first; ingested, 1999 republished in full, ingested again "
+          "(only the republished files are read, their old sums subtracted), then C1 from the stored sums")
+def q_incremental_features(spark, sf):
+    cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
+    year = int(UPSERT_CUTOFF[:4])
+    means = {}
+    for kind, name, daily in (("pollutant", "param", X.pollutant_daily), ("weather", "variable", X.weather_daily)):
+        source, state = scratch_path(spark, f"{kind}_published"), scratch_path(spark, f"{kind}_state")
+        early = daily(spark, sf).where((F.year("date_local") != F.lit(year)) | cut)
+        for rows in (early, daily(spark, sf, year, year)):
+            writers.replace_days(rows, source, name)
+            done = incremental.ingest(spark, source, state, kind, STATE)
+            if done.quarantined:
+                raise ValueError(f"{done.quarantined} rows in quarantine")
+        means[kind] = incremental.monthly_means(spark, state, kind, STATE)
+    return monthly.join_features(means["pollutant"], monthly.spread_weather(means["weather"], STATE), STATE)
+
+
 @register("monthly_pollutant_stream", _MP_SQL,
           "C1's monthly means as a Structured Streaming aggregation over staged daily files "
           "(exact running sums, complete mode, epoch tables)")
@@ -806,7 +837,7 @@ def q_features_from_csv(spark, sf):
     roots = {"pollutant": scratch_path(spark, "pollutant_csv"), "weather": scratch_path(spark, "weather_csv")}
     writers.stage_daily(X.pollutant_daily(spark, sf), roots["pollutant"], fmt="csv", header_names=True)
     writers.stage_daily(X.weather_daily(spark, sf), roots["weather"], "variable", fmt="csv", header_names=True)
-    read = {kind: readers.read_daily_csv(spark, root, kind)[0] for kind, root in roots.items()}
+    read = {kind: writers.none_lost(readers.read_daily_csv(spark, root, kind)) for kind, root in roots.items()}
     return monthly.monthly_features(read["pollutant"], read["weather"], STATE)
 
 
@@ -862,6 +893,69 @@ def q_monthly_features_sorted(spark, sf):
     return monthly.sort_for_output(q_monthly_features_state(spark, sf))
 
 
+@register("monthly_features_position", Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather(), Q.monthly_features()) + """
+SELECT row_number() OVER (ORDER BY param, state_code, year, month) - 1 AS position, param, state_code, year, month, max_value
+FROM monthly_features""",
+          "O1 as a sink: files by key ranges, and every row's position read back from them")
+def q_monthly_features_position(spark, sf):
+    order = ["param", "state_code", "year", "month"]
+    path = writers.write_sorted(q_monthly_features_state(spark, sf), scratch_path(spark, "features_sorted"), order)
+    return readers.read_sorted(spark, path, order)[0].select("position", *order, "max_value")
+
+
+@register("forecast_error_from_csv", _FE_SQL,
+          "C8 from two CSV sides (S7): the grid year's daily observations and the forecasts written as files, read back and joined")
+def q_forecast_error_from_csv(spark, sf):
+    observed = writers.stage_daily(X.weather_daily(spark, sf, S.GRID_YEAR, S.GRID_YEAR), scratch_path(spark, "observed_csv"), "variable",
+                                   fmt="csv", header_names=True)
+    forecast = ST.weather_linear_forecast(spark, sf)
+    path = writers.export_csv(forecast, scratch_path(spark, "forecast_csv"))
+    daily = writers.none_lost(readers.read_daily_csv(spark, observed, "weather"))
+    out = evaluate.forecast_error(daily, spark.read.schema(forecast.schema).option("header", True).csv(path), ["state_code"], ["variable"])
+    return sig(out, ["predicted", "diff"])
+
+
+REGION_BATCHES = 3
+
+
+@register("batched_forecasts", Q.with_ctes(*_feature_ctes()) + f"""
+SELECT param, state_code, year, month, {sql_sig("prediction")} AS prediction FROM features_forecast""",
+          "K2, U4: forecasts written in batches of regions, each marked when finished; the run stops after the first batch, and a "
+          "second one writes only what lacks")
+def q_batched_forecasts(spark, sf):
+    from ..operators import ols
+    m = ST.feature_forecasts(spark, sf)
+    by, root = ["param", *STATE], scratch_path(spark, "forecast_batches")
+
+    def make(unit):
+        mine = F.pmod(F.col("state_code"), F.lit(REGION_BATCHES)) == F.lit(int(unit.rpartition("-")[2]))
+        return ols.forecast(ols.fit(m.features.where(mine), by, S.POLLUTANT_FEATURES, "max_value"), m.grid.where(mine), by, STATE, S.POLLUTANT_FEATURES)
+
+    units = [f"regions-{i}" for i in range(REGION_BATCHES)]
+    tables.write_units(spark, root, units[:1], make)
+    tables.write_units(spark, root, units, make)
+    return sig(tables.read_units(spark, root, m.pollutant_forecast.schema), ["prediction"])
+
+
+_ODD_VALUE = "CASE max_hour WHEN 1 THEN -CAST(max_value AS DOUBLE) WHEN 2 THEN CAST('NaN' AS DOUBLE) WHEN 3 THEN NULL {bounds} ELSE CAST(max_value AS DOUBLE) END"
+
+
+@register("aqi_odd_values", Q.with_ctes(Q.pollutant_daily(), """
+odd AS (SELECT param, state_code, date_local, max_hour, """ + _ODD_VALUE.format(bounds=" ".join(
+    f"WHEN {h} THEN CASE param " + " ".join(f"WHEN '{p}' THEN {pts.split()[at].split(':')[0]}e0" for p, pts in Q.INDEX_POINTS.items()) + " END"
+    for h, at in ((4, 0), (5, 3), (6, -1)))) + """ AS value FROM pollutant_daily)""") + f"""
+SELECT param, state_code, max_hour, CAST(date_local AS VARCHAR) AS date_local, {Q.sql_subindex_by_param("value", "param")} AS aqi FROM odd""",
+          "F4 on negative values, NaN, null and the bounds themselves (first, fourth, last), by the hour of the reading")
+def q_aqi_odd_values(spark, sf):
+    bound = {h: F.create_map(*[x for p in S.POLLUTANTS for x in (F.lit(p), F.lit(float(S.CONCENTRATION_LEVELS[p][at])))])[F.col("param")]
+             for h, at in ((4, 0), (5, 3), (6, -1))}
+    hour, v = F.col("max_hour"), F.col("max_value").cast("double")
+    value = F.when(hour == 1, -v).when(hour == 2, F.lit(float("nan"))).when(hour == 3, F.lit(None)) \
+        .when(hour == 4, bound[4]).when(hour == 5, bound[5]).when(hour == 6, bound[6]).otherwise(v)
+    d = X.pollutant_daily(spark, sf).select("param", "state_code", "max_hour", F.col("date_local").cast("string").alias("date_local"), value.alias("value"))
+    return aqi.subindex_long(d, "value").drop("value")
+
+
 @register("features_by_sql", Q.with_ctes(Q.pollutant_daily(), Q.weather_daily(), Q.monthly_pollutant(), Q.monthly_weather_long()) + """
 SELECT p.param, p.state_code, p.year, p.month, p.max_value, w.value AS temperature
 FROM monthly_pollutant p JOIN weather_long w USING (state_code, year, month) WHERE w.variable = 'TEMP'""",

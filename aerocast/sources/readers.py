@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,21 @@ def read_table(spark: SparkSession, path: str, view: str | None = None) -> DataF
     return df
 
 
+def read_sorted(spark: SparkSession, path: str, order) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``position``, index) of what ``writers.write_sorted`` wrote.
+
+    The index has one row a file: least and greatest key, rows, and the position of its first row. Files whose ranges
+    overlap, or whose rows are out of order, give positions that contradict the keys.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    key = F.struct(*order)
+    files = rows.groupBy("_file").agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.count("*").alias("n_rows"))
+    before = Window.orderBy("first_key").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    index = files.withColumn("first_position", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
+    out = rows.join(index.select("_file", "first_position"), "_file").withColumn("position", F.col("first_position") + F.col("_row"))
+    return out.drop("_file", "_row", "first_position"), index
+
+
 def read_years(spark: SparkSession, root: str, years=None, params=None) -> DataFrame:
     """U1 as one read of a ``param=/year=`` partitioned Parquet table.
 

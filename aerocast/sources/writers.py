@@ -60,6 +60,30 @@ def stage_daily(daily: DataFrame, root: str, name_col: str = "param", fmt: str =
     return root
 
 
+def write_sorted(df: DataFrame, path: str, order) -> str:
+    """O1 as a sink: files by ranges of ``order``, each sorted, so that their positions make one order."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+    return path
+
+
+def replace_days(daily: DataFrame, root: str, name_col: str = "param") -> str:
+    """Republish daily readings as raw CSV: the ``name_col=/year=`` folders they fall in are replaced, all others stay."""
+    df = daily.withColumn("year", F.year("date_local"))
+    inv = {v: k for k, v in S.DAILY_CSV_COLUMNS.items()}
+    df = df.select(*[F.col(c).alias(inv.get(c, c)) for c in df.columns]).hint("rebalance", name_col, "year")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name_col, "year").option("header", True).csv(root)
+    return root
+
+
+def none_lost(good_and_bad: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The good rows, after counting the quarantined ones (one pass over the source): any of them ends the job by name."""
+    good, bad = good_and_bad
+    reasons = [f"{r['reason']}: {r['count']}" for r in bad.groupBy("reason").count().collect()]
+    if reasons:
+        raise ValueError(f"rows in quarantine: {', '.join(sorted(reasons))}")
+    return good
+
+
 def coerce(df: DataFrame, schema: T.StructType, keys) -> tuple[DataFrame, DataFrame]:
     """K4: ``(good, quarantine)``. A value that is present but does not convert,
     or a missing key, sends the row to quarantine with a reason."""

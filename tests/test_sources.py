@@ -124,3 +124,19 @@ def test_upsert_keeps_one_row_a_key(spark):
     writers.upsert(spark, df([(1, 1, "a"), (2, 1, "b")]), ["k"], root)
     path = writers.upsert(spark, df([(2, 5, "old"), (2, 9, "new"), (2, 9, "new"), (3, 1, "c")]), ["k"], root, latest_by=["t"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, 1, "a"), (2, 9, "new"), (3, 1, "c")]
+
+
+def test_sorted_files_give_positions_and_quarantine_is_not_lost(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select((F.hash("id") % 997).alias("a"), F.col("id").alias("b"))
+    path = writers.write_sorted(df.repartition(5), str(tmp_path / "s"), ["a", "b"])
+    rows, index = readers.read_sorted(spark, path, ["a", "b"])
+    got = [(r.a, r.b) for r in sorted(rows.collect(), key=lambda r: r.position)]
+    assert got == sorted((r.a, r.b) for r in df.collect()) and len(got) == 5000
+    files = sorted(tuple(r) for r in index.select("first_position", "n_rows", "first_key", "last_key").collect())
+    assert len(files) > 1 and all(x[0] + x[1] == y[0] and x[3] < y[2] for x, y in zip(files, files[1:]))
+    none = spark.createDataFrame([], "reason string")
+    assert writers.none_lost((df, none)) is df
+    with pytest.raises(ValueError, match="bad date: 2"):
+        writers.none_lost((df, spark.createDataFrame([("bad date",), ("bad date",)], "reason string")))

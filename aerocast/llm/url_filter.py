@@ -2,11 +2,12 @@
 
 The tree is kept as a table of templates with counts. Segments that are numbers, dates or
 identifiers by their form become wildcards at once. Then, depth by depth, the children of a node
-become the wildcard ``*`` where the node has many rare children (a variable segment), or where their share of
-bad pages does not differ from the node's (statistically similar branches merge). A template
+become the wildcard ``*`` where the node has many rare children (a variable segment), or where their share of bad pages does not
+differ from that of their siblings together (statistically similar branches merge: two proportions, ``EVIDENCE`` labelled pages on
+either side). A child that differs stays apart, also in a variable segment, and a wildcard stands for two children at least. A template
 is rejected when the share of bad pages among its labelled ones, smoothed towards its host's and the
 host's towards all, reaches ``REJECT``, from ``MIN_BAD`` bad pages on. Pages without a label count for neither side:
-a branch without labels merges by its share only where its node has no bad page.
+a branch with too few labels merges only where its node has no bad page.
 
 All passes after the first run over templates with counts, not over pages.
 """
@@ -25,8 +26,8 @@ Rule = tuple[str, str, str]  # host, path, verdict
 
 #: A node has a variable segment from so many children on, if they have fewer pages each than RARE on average.
 MANY, RARE = 20, 5.0
-#: Standard errors by which a branch must differ from its node to stay apart.
-APART = 2.0
+#: Standard errors by which a branch must differ from its siblings to stay apart, and labelled pages that each side needs to be compared.
+APART, EVIDENCE = 2.0, 5
 PRIOR = 10.0
 REJECT = 0.5
 MIN_BAD = 5
@@ -82,12 +83,18 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
                                                     F.sum("n_known").alias("all_known"), F.sum("n_bad").alias("all_bad"))
         node = stage_table(node, "url-nodes")
         share = F.try_divide("all_bad", "all_known")
-        error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / F.greatest("n_known", F.lit(1)))
+        others, others_bad = F.col("all_known") - F.col("n_known"), F.col("all_bad") - F.col("n_bad")
+        enough = (F.col("n_known") >= EVIDENCE) & (others >= EVIDENCE)
+        error = F.sqrt(share * (1 - share) * (1 / F.col("n_known") + 1 / others))
+        apart = F.abs(F.col("n_bad") / F.col("n_known") - others_bad / others)
+        differs = F.when(enough, apart > APART * error).otherwise(F.lit(False))
         variable = (F.col("width") >= MANY) & (F.col("all_n") < RARE * F.col("width"))
-        similar = F.coalesce(F.abs(F.try_divide("n_bad", "n_known") - share) <= APART * error, F.col("all_bad") == 0)
-        merged = children.join(node, ["host", "head"]).select(
-            "host", "head", "child", ((F.col("width") > 1) & (variable | similar)).alias("merge"))
-        merged = stage_table(merged, "url-merged")
+        similar = (enough & ~differs) | (F.col("all_bad") == 0)
+        found = stage_table(children.join(node, ["host", "head"]).select(
+            "host", "head", "child", ((F.col("width") > 1) & (variable | similar) & ~differs).alias("merge")), "url-found")
+        several = found.where("merge").groupBy("host", "head").agg((F.count("*") > 1).alias("several"))
+        merged = stage_table(found.join(several, ["host", "head"], "left").select(
+            "host", "head", "child", (F.col("merge") & F.coalesce("several", F.lit(False))).alias("merge")), "url-merged")
         keyed = t.withColumn("head", head).withColumn("child", F.coalesce(child, F.lit("")))
         t = stage_table(keyed.join(merged, ["host", "head", "child"], "left").select(
             "host", "form", "n", "n_known", "n_bad", F.when(F.coalesce("merge", F.lit(False)) & (F.size("template") >= d), F.concat(

@@ -60,9 +60,12 @@ def stage_daily(daily: DataFrame, root: str, name_col: str = "param", fmt: str =
     return root
 
 
-def write_sorted(df: DataFrame, path: str, order) -> str:
-    """O1 as a sink: files by ranges of ``order``, each sorted, so that their positions make one order."""
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+def write_sorted(df: DataFrame, path: str, order, files: int | None = None) -> str:
+    """O1 as a sink: files by ranges of ``order``, each sorted, so that their positions make one order.
+
+    ``files``: how many at most; by default as many as the shuffle has parts, small ones joined.
+    """
+    df.repartitionByRange(*([] if files is None else [files]), *order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
     return path
 
 

@@ -130,7 +130,7 @@ def test_sorted_files_give_positions_and_quarantine_is_not_lost(spark, tmp_path)
     import pytest
     from pyspark.sql import functions as F
     df = spark.range(5000).select((F.hash("id") % 997).alias("a"), F.col("id").alias("b"))
-    path = writers.write_sorted(df.repartition(5), str(tmp_path / "s"), ["a", "b"])
+    path = writers.write_sorted(df.repartition(5), str(tmp_path / "s"), ["a", "b"], files=4)
     rows, index = readers.read_sorted(spark, path, ["a", "b"])
     got = [(r.a, r.b) for r in sorted(rows.collect(), key=lambda r: r.position)]
     assert got == sorted((r.a, r.b) for r in df.collect()) and len(got) == 5000

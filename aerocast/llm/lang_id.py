@@ -128,30 +128,28 @@ class LanguageFilter:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         max_fit_docs: int = 3000, min_count: int = 3, keep_ratio: float = 0.5,
-        max_languages: int = 256) -> LanguageFilter:
+        min_share: float = 0.001) -> LanguageFilter:
     """Learn the filter from rows with text and language.
 
     An n-gram belongs to every language in which its rate is at least
     ``keep_ratio`` of its highest rate. Rows with a null text or language are
     not used; repeated rows count as often as they occur; an empty table gives
-    a filter without languages, which answers ``und``. More than
-    ``max_languages`` languages raise ``ValueError``.
+    a filter without languages, which answers ``und``. A label of fewer than ``min_share`` of the labelled rows
+    is no language of its own (damaged labels): its rows teach nothing, and predictions never name it. That bounds the filter
+    at ``1 / min_share`` languages, 64 kB each, whatever the label column holds.
     """
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(max_languages + 1).collect()
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    every = sizes.agg(F.sum("n").alias("every"))
+    sizes = sizes.join(F.broadcast(every)).where(F.col("n") >= F.lit(min_share) * F.col("every")).orderBy("lang").collect()  # 1 / min_share rows at most
     if not sizes:
         return LanguageFilter([])
     langs = [r["lang"] for r in sizes]
     bucket = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit("language sample")), F.lit(1 << 30))
-    share, number = None, None
-    for i, r in enumerate(sizes):
-        test, bound = F.col("lang") == F.lit(r["lang"]), F.lit(int(min(1.0, max_fit_docs / r["n"]) * (1 << 30)))
-        share = F.when(test, bound) if share is None else share.when(test, bound)
-        number = F.when(test, F.lit(i)) if number is None else number.when(test, F.lit(i))
-    sample = rows.where(bucket < share).select(number.alias("lang"), "text")
+    picked = rows.sparkSession.createDataFrame(
+        [(r["lang"], i, int(min(1.0, max_fit_docs / r["n"]) * (1 << 30))) for i, r in enumerate(sizes)], "lang string, number int, share long")
+    sample = rows.join(F.broadcast(picked), "lang").where(bucket < F.col("share")).select(F.col("number").alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunked(batches, 1):

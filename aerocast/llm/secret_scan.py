@@ -5,8 +5,8 @@ slides over each; its character counts and the sum of ``c * log2(c)`` are kept
 incrementally, so a step costs two updates whatever the window's length. A
 run's character class (hex, single-case alphanumeric, mixed) sets the threshold;
 windows above it merge into spans. An allow-list suppresses runs that look
-random but are not secret: UUIDs, URLs, words, version numbers. Paths behind a host name and paths of words
-are cut at ``/``, and each long segment is judged alone; letters are words in one case or capitalised only.
+random but are not secret: UUIDs, host names, words, version numbers. What follows ``scheme:`` as ``//``, paths behind a host name and paths
+of words are cut at ``/``, and each long segment is judged alone; letters are words in one case or capitalised only.
 Spans found by the fixed patterns always stay.
 """
 
@@ -82,13 +82,14 @@ def allowed(run: str) -> bool:
 
 def candidates(run: str, before: str) -> list[tuple[int, str]]:
     """(offset, text) of what the entropy test looks at; ``before`` is the text just ahead of the run."""
-    if (before.endswith(":") and run.startswith("//")) or allowed(run):
+    if allowed(run):
         return []
-    if not any(p.fullmatch(run) for p in PATHS):
+    url = before.endswith(":") and run.startswith("//")
+    if not url and not any(p.fullmatch(run) for p in PATHS):
         return [(0, run)]
     found, at = [], 0
     for i, segment in enumerate(run.split("/")):
-        if len(segment) >= CANDIDATE_MIN and not (allowed(segment) or i == 0 and HOST.fullmatch(segment)
+        if len(segment) >= CANDIDATE_MIN and not (allowed(segment) or i == (2 if url else 0) and HOST.fullmatch(segment)
                                                   or all(PLAIN.fullmatch(w) for w in JOINTS.split(segment))):
             found.append((at, segment))
         at += len(segment) + 1
@@ -180,13 +181,14 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with secrets in ``text_col`` replaced; no row is dropped.
 
-    Null and empty texts stay as they are.
+    Null and empty texts stay as they are; columns may have any names.
     """
     at = docs.columns.index(text_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots would not resolve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunked(batches, at):
             texts = [redact(t, scan(t)) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at).name, pa.array(texts, b.schema.field(at).type))
 
-    return text_batches(docs).mapInArrow(run, docs.schema)
+    return text_batches(plain).mapInArrow(run, plain.schema).toDF(*docs.columns)

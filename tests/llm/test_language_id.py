@@ -35,3 +35,15 @@ def test_a_filter_answers_for_all_languages_at_once(spark):
     assert len(model.languages) == 70 and model.masks.shape[0] == 2
     got = {r.doc_id: r.lang_pred for r in lang_id.predict(documents(spark, rows), model).collect()}
     assert sum(got[i] == f"l{i:03}" for i in got) >= 68
+
+
+def test_three_hundred_labels_and_damaged_ones(spark):
+    rows = [(i, f"{chr(0x61 + i % 26)}{chr(0x61 + i // 26)}q" * 20, f"l{i:03}") for i in range(300)]
+    model = lang_id.fit(documents(spark, rows), min_count=1)
+    assert len(model.languages) == 300 and model.masks.shape[0] == 5
+    got = {r.doc_id: r.lang_pred for r in lang_id.predict(documents(spark, rows), model).collect()}
+    assert len(got) == 300 and sum(got[i] == f"l{i:03}" for i in got) >= 295
+    dirty = [(i, "the cat and the dog are in the house", "en") for i in range(1500)] + [(2000 + i, "zq xv wj kk", f"http://{i}") for i in range(2)]
+    model = lang_id.fit(documents(spark, dirty))
+    assert model.languages == ["en"]
+    assert [r.lang_pred for r in lang_id.predict(documents(spark, dirty[-2:]), model).collect()] == ["en", "en"]

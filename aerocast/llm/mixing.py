@@ -60,6 +60,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), word_count(F.col(text_col)).alias("size"),
         key.alias("key"), F.substring(key, 1, 2).alias("coarse"), F.substring(key, 3, 2).alias("fine"),
         *([packed(docs).alias("row")] if keep_row else []))
+    if not keep_row:  # no texts in it: stored, so that they are counted once; whole rows are dearer to store than to count again
+        base = stage_table(base, "mix-rows")
 
     fine = stage_table(base.groupBy(*_SOURCE, "coarse", "fine").agg(F.sum("size").alias("size")), "mix-ranges")
     coarse = stage_table(fine.groupBy(*_SOURCE, "coarse").agg(F.sum("size").alias("size")), "mix-coarse")

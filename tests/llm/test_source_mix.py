@@ -64,3 +64,12 @@ def test_edge_cases(spark):
     only = mixing.mix(documents(spark, [(1, None), (2, "")])).collect()
     assert [(r.target, r.taken) for r in only] == [(0.0, 0), (0.0, 0)]
     assert mixing.mix(documents(spark, [])).count() == 0 and mixing.mix_documents(documents(spark, [])).count() == 0
+
+
+def test_texts_are_counted_once(spark):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        mixing.mix(documents(spark, [(i, words(i), "en", "ab"[i % 2]) for i in range(20)])).explain("formatted")
+    assert "regexp_count" not in buf.getvalue().lower() and "mix-rows" in buf.getvalue()

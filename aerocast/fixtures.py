@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
+from .functions.stats import lookup
 
 PRICE_FACTOR = Decimal("0.00001")  # 1 / PRICE_SCALE, exact
 
@@ -28,15 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def lookup(col: Column, mapping: dict) -> Column:
-    """Map fixed keys to fixed values as a CASE expression (null elsewhere)."""
-    out = None
-    for k, v in mapping.items():
-        out = (F.when(col == F.lit(k), F.lit(v)) if out is None
-               else out.when(col == F.lit(k), F.lit(v)))
-    return out
-
-
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .stats import lookup
 
 
 def bands(param: str):
@@ -73,34 +74,46 @@ def wide_subindices(df, params=None, value_col=S.forecast_column, keep=True):
     return out.withColumn("global_aqi", global_index(*[F.col(S.aqi_column(p)) for p in params]))
 
 
+#: Slots of a pollutant in the bound arrays; the search halves them.
+SLOTS = 8
 
-def band_table(spark):
-    """The breakpoint bands of every pollutant as a fixed lookup table (46 rows).
 
-    Columns: ``_b_param``, ``_b_lo`` (inclusive), ``_b_hi`` (exclusive; NaN, which Spark orders last, where there is
-    no upper bound), and the band's line ``_b_g0``, ``_b_a0``, ``_b_num``, ``_b_den`` (``_b_num = 0``: the saturated constant).
+def search_arrays() -> dict[str, list[float]]:
+    """``bound`` and the line (``g0``, ``a0``, ``num``, ``den``) of every pollutant's bands, ``SLOTS`` entries a pollutant.
+
+    Slot k of ``bound`` is the pollutant's k-th breakpoint, NaN (which Spark orders last) beyond its last one. Slot k of
+    the lines holds for values with k breakpoints at or below them. Values at or above the last one need no slot.
     """
-    rows = []
+    out = {name: [] for name in ("bound", "g0", "a0", "num", "den")}
     for p in S.POLLUTANTS:
-        low = float("-inf")
-        for upper, *line in bands(p):
-            rows.append((p, line[0] if upper is None else low, float("nan") if upper is None else upper, *line))
-            low = low if upper is None else upper
-    values = ", ".join("('" + p + "', " + ", ".join(f"double('{x!r}')" for x in xs) + ")" for p, *xs in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t(_b_param, _b_lo, _b_hi, _b_g0, _b_a0, _b_num, _b_den)")
+        _, *rest = bands(p)
+        if len(rest) > SLOTS:
+            raise ValueError(f"{p}: more than {SLOTS} breakpoints")
+        out["bound"] += [b[0] for b in rest] + [float("nan")] * (SLOTS - len(rest))
+        for i, name in enumerate(("g0", "a0", "num", "den"), 1):
+            out[name] += [b[i] for b in rest] + [float("nan")] * (SLOTS - len(rest))
+    return out
 
 
 def subindex_long(df, value_col: str, param_col: str = "param", out: str = "aqi"):
-    """Sub-index in long form as a broadcast lookup of the band table.
+    """Sub-index in long form: a binary search over the sorted breakpoints of the row's pollutant.
 
-    Same values as ``subindex_by_param`` bit for bit; one small CASE per row
-    instead of six nested chains (whose generated code is too large for the
-    JIT). The band table is fixed (46 rows), so the broadcast is bounded.
+    Same values as ``subindex_by_param`` bit for bit. A reading costs one look at its pollutant's last breakpoint and
+    three at the halves before it, all array reads in generated code; no join, and no six nested CASE chains
+    (whose generated code is too large for the JIT). Unknown pollutants, null and NaN give null.
     """
-    b = F.broadcast(band_table(df.sparkSession))
-    v = F.col(value_col).cast("double")
-    cond = (F.col(param_col) == F.col("_b_param")) & (v >= F.col("_b_lo")) & (v < F.col("_b_hi"))
-    line = (F.when(F.col("_b_num") == F.lit(0.0), F.col("_b_a0"))
-            .otherwise((v - F.col("_b_g0")) * F.col("_b_num") / F.col("_b_den") + F.col("_b_a0")))
-    return (df.join(b, cond, "left").withColumn(out, line)
-            .drop("_b_param", "_b_lo", "_b_hi", "_b_g0", "_b_a0", "_b_num", "_b_den"))
+    at = {name: F.lit(xs) for name, xs in search_arrays().items()}
+    tops = [bands(p)[0] for p in S.POLLUTANTS]
+    last, full = F.lit([t[1] for t in tops]), F.lit([t[2] for t in tops])
+    kept = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c != out]
+    which = lookup(F.col(param_col), {p: i for i, p in enumerate(S.POLLUTANTS)})
+    v, p, k = F.col("__value"), F.col("__pollutant"), F.col("__slot")
+    d = df.select(*kept, F.when(which.isNotNull(), F.col(value_col).cast("double")).alias("__value"),
+                  F.coalesce(which, F.lit(0)).alias("__pollutant"))
+    d = d.withColumn("__slot", p * F.lit(SLOTS))
+    for half in (SLOTS // 2, SLOTS // 4, SLOTS // 8):  # one projection a step, as a step reads the one before twice
+        d = d.withColumn("__slot", k + F.when(at["bound"][k + F.lit(half - 1)] <= v, F.lit(half)).otherwise(F.lit(0)))
+    line = (F.when(v.isNull() | F.isnan(v), F.lit(None).cast("double"))
+            .when(v >= last[p], full[p])
+            .otherwise((v - at["g0"][k]) * at["num"][k] / at["den"][k] + at["a0"][k]))
+    return d.select(*kept, line.alias(out))

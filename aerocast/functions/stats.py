@@ -25,6 +25,15 @@ def sql_exact_mean(expr: str) -> str:
     return f"(CAST(CAST(sum({expr}) AS VARCHAR) AS DOUBLE) / count({expr}))"
 
 
+def lookup(col: Column, mapping: dict) -> Column:
+    """Map fixed keys to fixed values as a CASE expression (null elsewhere)."""
+    out = None
+    for k, v in mapping.items():
+        out = (F.when(col == F.lit(k), F.lit(v)) if out is None
+               else out.when(col == F.lit(k), F.lit(v)))
+    return out
+
+
 def round_sig(col: Column | str, digits: int = 9) -> Column:
     """Round to ``digits`` significant digits (for comparing large or tiny statistics).
 

@@ -93,13 +93,14 @@ def test_wide_subindices_adds_every_column(spark):
     assert not math.isnan(out.first()[S.aqi_column("44201")])
 
 
-def test_band_table_lookup_equals_case_chain_bit_for_bit(spark):
+def test_interval_search_equals_case_chain_bit_for_bit(spark):
+    import math
     import random
     rng = random.Random(3)
     rows = []
     for p in S.POLLUTANTS:
         g = S.CONCENTRATION_LEVELS[p]
-        vals = [float(x) for x in g] + [rng.uniform(-5, g[-1] * 1.2) for _ in range(200)]
+        vals = [float(x) for x in g] + [math.nextafter(x, -math.inf) for x in g] + [rng.uniform(-5, g[-1] * 1.2) for _ in range(200)]
         vals += [float("nan"), None, float("inf"), float("-inf"), -0.0, g[-1] * (1 - 1e-12)]
         rows += [(p, v) for v in vals]
     rows.append(("99999", 1.0))  # unknown pollutant: null either way

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
-from .functions.stats import lookup
+from .functions.stats import in_units, lookup
 
 PRICE_FACTOR = Decimal("0.00001")  # 1 / PRICE_SCALE, exact
 
@@ -69,8 +69,8 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("county_code"), F.col("n_regionkey").alias("state_code")))
 
 
-def pollutant_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """One row per reading: param, state_code, county_code, date_local, five measures; ``first``/``last`` bound the years."""
+def _pollutant_readings(spark: SparkSession, sf_dir: str, first: int | None, last: int | None, measures) -> DataFrame:
+    """Readings with the measures that ``measures(flag, cents, kept)`` makes of the raw flag, price in cents and percent kept."""
     firsts = sorted({f[0] for f in S.FLAG_TO_POLLUTANT})
     seconds = sorted({f[1:] for f in S.FLAG_TO_POLLUTANT})
     li = (in_years(table(spark, sf_dir, "lineitem"), "l_shipdate", first, last)
@@ -80,43 +80,71 @@ def pollutant_daily(spark: SparkSession, sf_dir: str, first: int | None = None,
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey"), F.col("s_nationkey").alias("county_code"))
 
-    # Exact decimal arithmetic from integers (cents, percent kept), never from a
-    # double-to-decimal cast: max_value = cents * top / 10^7 and
-    # arithmetic_mean = cents * kept% * top / 10^9, with exact per-pollutant factors.
     flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
-    top = {f: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) for f, p in S.FLAG_TO_POLLUTANT.items()}
-    f10 = lookup(flag, {f: t * PRICE_FACTOR / 100 for f, t in top.items()}).cast("decimal(10,10)")
-    f12 = lookup(flag, {f: t * PRICE_FACTOR / 10000 for f, t in top.items()}).cast("decimal(12,12)")
-    cents = F.rint(F.col("l_extendedprice") * F.lit(100.0)).cast("long").cast("decimal(10,0)")
+    cents = F.rint(F.col("l_extendedprice") * F.lit(100.0)).cast("long")
     kept = F.lit(100) - F.rint(F.col("l_discount") * F.lit(100.0)).cast("int")
+    percent, highest, mean = measures(flag, cents, kept)
     # fact ⋈ supplier first (the one join that may need a shuffle at scale), then
     # the 25-row place dimension as an independent broadcast probe.
-    daily = (li.join(sup, li.l_suppkey == sup.s_suppkey).join(_places(spark, sf_dir), "county_code")
-             .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
-                     F.to_date("l_shipdate").alias("date_local"),
-                     F.rint(F.col("l_quantity")).cast("int").alias("observation_count"),
-                     kept.cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
-                     (cents * f10).cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
-                     F.col("l_linenumber").cast("int").alias("max_hour"),
-                     (cents * kept.cast("decimal(3,0)") * f12).cast(S.MEASURE_TYPES["arithmetic_mean"])
-                     .alias("arithmetic_mean")))
-    return daily.where(flag.isin(list(S.FLAG_TO_POLLUTANT)))
+    return (li.join(sup, li.l_suppkey == sup.s_suppkey).join(_places(spark, sf_dir), "county_code")
+            .where(flag.isin(list(S.FLAG_TO_POLLUTANT)))
+            .select(lookup(flag, S.FLAG_TO_POLLUTANT).alias("param"), "state_code", "county_code",
+                    F.to_date("l_shipdate").alias("date_local"),
+                    F.rint(F.col("l_quantity")).cast("int").alias("observation_count"),
+                    percent, highest, F.col("l_linenumber").cast("int").alias("max_hour"), mean))
 
 
-def weather_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """One row per reading: variable, state_code, county_code, date_local, arithmetic_mean; ``first``/``last`` bound the years."""
+def pollutant_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """One row per reading: param, state_code, county_code, date_local, five measures; ``first``/``last`` bound the years."""
+    def measures(flag, cents, kept):
+        # Exact decimal arithmetic from integers (cents, percent kept), never from a
+        # double-to-decimal cast: max_value = cents * top / 10^7 and
+        # arithmetic_mean = cents * kept% * top / 10^9, with exact per-pollutant factors.
+        top = {f: Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) for f, p in S.FLAG_TO_POLLUTANT.items()}
+        f10 = lookup(flag, {f: t * PRICE_FACTOR / 100 for f, t in top.items()}).cast("decimal(10,10)")
+        f12 = lookup(flag, {f: t * PRICE_FACTOR / 10000 for f, t in top.items()}).cast("decimal(12,12)")
+        cents = cents.cast("decimal(10,0)")
+        return (kept.cast(S.MEASURE_TYPES["observation_percent"]).alias("observation_percent"),
+                (cents * f10).cast(S.MEASURE_TYPES["max_value"]).alias("max_value"),
+                (cents * kept.cast("decimal(3,0)") * f12).cast(S.MEASURE_TYPES["arithmetic_mean"]).alias("arithmetic_mean"))
+
+    return _pollutant_readings(spark, sf_dir, first, last, measures)
+
+
+def pollutant_units(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``pollutant_daily`` with its decimals as long counts of units (``stats.in_units``): the form that is averaged."""
+    def measures(flag, cents, kept):
+        per_cent = lookup(flag, {f: int(Decimal(str(S.CONCENTRATION_LEVELS[p][-1])) * 1000) for f, p in S.FLAG_TO_POLLUTANT.items()})
+        highest = cents * per_cent.cast("long")  # cents * top / 10^7, in units of 10^-10
+        return (in_units(kept.cast("long"), 0, "observation_percent"), in_units(highest, 10, "max_value"),
+                in_units(highest * kept, 12, "arithmetic_mean"))
+
+    return _pollutant_readings(spark, sf_dir, first, last, measures)
+
+
+def _weather_readings(spark: SparkSession, sf_dir: str, first: int | None, last: int | None, measure) -> DataFrame:
     orders = (in_years(table(spark, sf_dir, "orders"), "o_orderdate", first, last)
               .select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
               .where(F.col("o_orderpriority").isin(list(S.PRIORITY_TO_VARIABLE))))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey"), F.col("c_nationkey").alias("county_code"))
     variable = lookup(F.col("o_orderpriority"), S.PRIORITY_TO_VARIABLE)
-    daily = (orders.join(cust, orders.o_custkey == cust.c_custkey).join(_places(spark, sf_dir), "county_code")
-             .select(variable.alias("variable"), "state_code", "county_code",
-                     F.to_date("o_orderdate").alias("date_local"),
-                     (F.rint(F.col("o_totalprice") * F.lit(100.0)).cast("long").cast("decimal(12,0)")
-                      * F.lit(Decimal("0.01"))).cast(S.WEATHER_MEASURE_TYPE).alias("arithmetic_mean")))
-    return daily  # the priority filter on the scan already keeps mapped rows only
+    cents = F.rint(F.col("o_totalprice") * F.lit(100.0)).cast("long")
+    # the priority filter on the scan already keeps mapped rows only
+    return (orders.join(cust, orders.o_custkey == cust.c_custkey).join(_places(spark, sf_dir), "county_code")
+            .select(variable.alias("variable"), "state_code", "county_code",
+                    F.to_date("o_orderdate").alias("date_local"), measure(cents)))
+
+
+def weather_daily(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """One row per reading: variable, state_code, county_code, date_local, arithmetic_mean; ``first``/``last`` bound the years."""
+    return _weather_readings(spark, sf_dir, first, last, lambda cents: (
+        cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast(S.WEATHER_MEASURE_TYPE).alias("arithmetic_mean"))
+
+
+def weather_units(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``weather_daily`` with its decimal as a long count of units (``stats.in_units``): the form that is averaged."""
+    return _weather_readings(spark, sf_dir, first, last, lambda cents: in_units(cents, 2, "arithmetic_mean"))
 
 
 def region_keys(spark: SparkSession, sf_dir: str, keys=("state_code",)) -> DataFrame:

@@ -1,6 +1,6 @@
 """Aggregate helpers.
 
-``exact_mean``: mean of a DECIMAL column from its exact decimal sum. A double
+``exact_mean``: mean of a DECIMAL column, or of one of whole units, from its exact sum. A double
 ``avg`` depends on summation order, so two runs with different partitionings
 (or a partition recomputed after an executor loss) can differ in the last
 bits; an exact sum cannot. The sum is converted to double once per group
@@ -10,15 +10,44 @@ divided by the count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_mean(col: Column | str, exact: bool = True) -> Column:
+#: Bits of the lower limb of a sum of units.
+LIMB_BITS = 30
+
+
+def in_units(col: Column, scale: int, name: str) -> Column:
+    """A long that counts units of 10^-scale, marked as such in the column's metadata."""
+    return col.cast("long").alias(name, metadata={"units_scale": scale})
+
+
+def units_scale(df: DataFrame, name: str) -> int | None:
+    """Scale of a column made by ``in_units``; None for any other."""
+    return df.schema[name].metadata.get("units_scale")
+
+
+def exact_sum(units: Column) -> Column:
+    """Exact decimal(38,0) sum of longs, from two long sums (no decimal buffer).
+
+    A long is cut into its lower 30 bits and the rest; the rests carry the sign. Both sums of longs up to 2^60 in size fit for
+    up to 2^33 rows a group; beyond that the sum raises an error (ANSI) and is never wrong. Null if there is no value.
+    """
+    low = F.sum(units.bitwiseAND(F.lit((1 << LIMB_BITS) - 1)))
+    high = F.sum(F.shiftright(units, LIMB_BITS))
+    return (high.cast("decimal(19,0)") * F.lit(1 << LIMB_BITS).cast("decimal(10,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def exact_mean(col: Column | str, exact: bool = True, scale: int | None = None) -> Column:
+    """Mean from the exact sum; ``scale`` says that ``col`` counts units of 10^-scale (``in_units``)."""
     c = F.col(col) if isinstance(col, str) else col
     if not exact:
-        return F.avg(c.cast("double"))
-    return F.sum(c).cast("string").cast("double") / F.count(c)
+        return F.avg(c.cast("double")) / F.lit(10.0 ** (scale or 0))
+    if scale is None:
+        return F.sum(c).cast("string").cast("double") / F.count(c)
+    # read as text, as the decimal sum is: correctly rounded once
+    return F.concat(exact_sum(c).cast("string"), F.lit(f"E-{scale}")).cast("double") / F.count(c)
 
 
 def sql_exact_mean(expr: str) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.stats import exact_mean
+from ..functions.stats import exact_mean, units_scale
 
 
 def with_year_month(df: DataFrame, date_col: str = "date_local", drop: bool = True) -> DataFrame:
@@ -30,7 +30,7 @@ def monthly_pollutant(daily: DataFrame, keys=("state_code",), measures=S.MEASURE
     """
     return (with_year_month(daily.select("param", *keys, "date_local", *measures))
             .groupBy("param", *keys, "year", "month")
-            .agg(*[exact_mean(m, exact).alias(m) for m in measures]))
+            .agg(*[exact_mean(m, exact, units_scale(daily, m)).alias(m) for m in measures]))
 
 
 def monthly_weather_long(daily: DataFrame, keys=("state_code",), variable_filter=None,
@@ -43,7 +43,7 @@ def monthly_weather_long(daily: DataFrame, keys=("state_code",), variable_filter
     d = daily if variable_filter is None else daily.where(variable_filter)
     return (with_year_month(d.select("variable", *keys, "date_local", "arithmetic_mean"))
             .groupBy("variable", *keys, "year", "month")
-            .agg(exact_mean("arithmetic_mean", exact).alias("value")))
+            .agg(exact_mean("arithmetic_mean", exact, units_scale(daily, "arithmetic_mean")).alias("value")))
 
 
 def monthly_weather(daily: DataFrame, keys=("state_code",), exact: bool = True) -> DataFrame:
@@ -52,8 +52,8 @@ def monthly_weather(daily: DataFrame, keys=("state_code",), exact: bool = True)
     Conditional aggregation instead of ``pivot``: one aggregation (one shuffle),
     where pivot plans a second aggregate over the pivoted groups.
     """
-    v = F.col("variable")
-    aggs = [exact_mean(F.when(v == F.lit(name), F.col("arithmetic_mean")), exact).alias(S.WEATHER_COLUMNS[name])
+    v, scale = F.col("variable"), units_scale(daily, "arithmetic_mean")
+    aggs = [exact_mean(F.when(v == F.lit(name), F.col("arithmetic_mean")), exact, scale).alias(S.WEATHER_COLUMNS[name])
             for name in S.WEATHER_VARIABLES]
     return (with_year_month(daily.select("variable", *keys, "date_local", "arithmetic_mean"))
             .groupBy(*keys, "year", "month").agg(*aggs))

@@ -77,7 +77,7 @@ def sql_sig(expr: str) -> str:
 SELECT param, state_code, year, month, {", ".join(S.MEASURES)} FROM monthly_pollutant""",
           "P1, F1, A1: monthly means of the five pollutant measures, all six pollutants in one pass")
 def q_monthly_pollutant(spark, sf):
-    return monthly.monthly_pollutant(X.pollutant_daily(spark, sf), STATE)
+    return monthly.monthly_pollutant(X.pollutant_units(spark, sf), STATE)
 
 
 _W = list(S.WEATHER_COLUMNS.values())
@@ -87,7 +87,7 @@ _W = list(S.WEATHER_COLUMNS.values())
 SELECT state_code, year, month, {", ".join(_W)} FROM monthly_weather""",
           "P2, A2: four weather series averaged and spread to am_* columns in one aggregation")
 def q_monthly_weather_pivot(spark, sf):
-    return monthly.monthly_weather(X.weather_daily(spark, sf), STATE)
+    return monthly.monthly_weather(X.weather_units(spark, sf), STATE)
 
 
 @register("monthly_features_state",
@@ -96,7 +96,7 @@ def q_monthly_weather_pivot(spark, sf):
 SELECT param, state_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features""",
           "C1 (J1, O1): monthly pollutant means joined with the four weather means, state key")
 def q_monthly_features_state(spark, sf):
-    return monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), STATE)
+    return monthly.monthly_features(X.pollutant_units(spark, sf), X.weather_units(spark, sf), STATE)
 
 
 @register("monthly_features_county",
@@ -105,7 +105,7 @@ def q_monthly_features_state(spark, sf):
 SELECT param, state_code, county_code, year, month, {", ".join(S.MEASURES + _W)} FROM monthly_features""",
           "C1 county variant: (state, county) key over every state")
 def q_monthly_features_county(spark, sf):
-    return monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), COUNTY)
+    return monthly.monthly_features(X.pollutant_units(spark, sf), X.weather_units(spark, sf), COUNTY)
 
 
 @register("region_list", Q.with_ctes(Q.pollutant_daily()) + """
@@ -143,7 +143,7 @@ SELECT param, state_code, year, month, max_value,
 FROM monthly_pollutant""",
           "F4 on monthly mean max values (flagship)")
 def q_aqi_monthly(spark, sf):
-    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf), STATE, measures=["max_value"])
+    m = monthly.monthly_pollutant(X.pollutant_units(spark, sf), STATE, measures=["max_value"])
     return aqi.subindex_long(m, "max_value")
 
 
@@ -376,7 +376,7 @@ WHERE year >= {RECENT_FROM} AND year <= {S.TRAIN_LAST_YEAR}""",
           "P10: pollutant training rows restricted to recent years (year >= min_year)")
 def q_recent_training(spark, sf):
     years = (RECENT_FROM, S.TRAIN_LAST_YEAR)
-    f = monthly.monthly_features(X.pollutant_daily(spark, sf, *years), X.weather_daily(spark, sf, *years), STATE)
+    f = monthly.monthly_features(X.pollutant_units(spark, sf, *years), X.weather_units(spark, sf, *years), STATE)
     return ST.in_training(f, RECENT_FROM)
 
 
@@ -543,10 +543,10 @@ UPSERT_CUTOFF = "1999-06-15"
           "is upserted with recomputed months from 1999 on, into a new version directory")
 def q_upsert_monthly(spark, sf):
     cut_year = int(UPSERT_CUTOFF[:4])
-    pdaily, wdaily = X.pollutant_daily(spark, sf, last=cut_year), X.weather_daily(spark, sf, last=cut_year)
+    pdaily, wdaily = X.pollutant_units(spark, sf, last=cut_year), X.weather_units(spark, sf, last=cut_year)
     cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
     stale = monthly.monthly_features(pdaily.where(cut), wdaily.where(cut), STATE)
-    fresh = monthly.monthly_features(X.pollutant_daily(spark, sf, cut_year), X.weather_daily(spark, sf, cut_year), STATE)
+    fresh = monthly.monthly_features(X.pollutant_units(spark, sf, cut_year), X.weather_units(spark, sf, cut_year), STATE)
     keys = ["param", "state_code", "year", "month"]
     root = scratch_path(spark, "monthly_features_table")
     schema = stale.schema
@@ -562,8 +562,8 @@ def q_upsert_monthly(spark, sf):
 def q_upsert_partitions(spark, sf):
     cut_year = int(UPSERT_CUTOFF[:4])
     cut = F.col("date_local") < F.lit(UPSERT_CUTOFF).cast("date")
-    stale = monthly.monthly_features(X.pollutant_daily(spark, sf, last=cut_year).where(cut), X.weather_daily(spark, sf, last=cut_year).where(cut), STATE)
-    fresh = monthly.monthly_features(X.pollutant_daily(spark, sf, cut_year), X.weather_daily(spark, sf, cut_year), STATE)
+    stale = monthly.monthly_features(X.pollutant_units(spark, sf, last=cut_year).where(cut), X.weather_units(spark, sf, last=cut_year).where(cut), STATE)
+    fresh = monthly.monthly_features(X.pollutant_units(spark, sf, cut_year), X.weather_units(spark, sf, cut_year), STATE)
     keys, root = ["param", "state_code", "year", "month"], scratch_path(spark, "features_manifest")
     for part in (stale, fresh):
         version = tables.upsert(spark, part, keys, ["param", "year"], root)
@@ -701,7 +701,7 @@ SELECT param, state_code, model, {sql_round_sig("mse")} AS mse, n_test,
           "mse of the mean, month and year, the weather, and all six features, and the winner")
 def q_compare_models_linear(spark, sf):
     from ..operators import ols
-    f = monthly.monthly_features(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), X.weather_daily(spark, sf, last=S.TRAIN_LAST_YEAR), STATE)
+    f = monthly.monthly_features(X.pollutant_units(spark, sf, last=S.TRAIN_LAST_YEAR), X.weather_units(spark, sf, last=S.TRAIN_LAST_YEAR), STATE)
     f = writers.stage(f.select("param", "state_code", *S.POLLUTANT_FEATURES, "max_value"), "features")
     by = ["param", "state_code"]
     mse = writers.stage(ols.cross_fit(f, by, ["year", "month"], CROSS_MODELS, "max_value"), "cross-mse")
@@ -876,7 +876,7 @@ SELECT param, state_code, county_code, year, month, {", ".join(S.MEASURES + _W)}
 WHERE state_code = {ONE_STATE}""",
           "P3: county features restricted to one state, as the county variant does")
 def q_monthly_features_one_state(spark, sf):
-    return monthly.monthly_features(X.pollutant_daily(spark, sf), X.weather_daily(spark, sf), COUNTY, state=ONE_STATE)
+    return monthly.monthly_features(X.pollutant_units(spark, sf), X.weather_units(spark, sf), COUNTY, state=ONE_STATE)
 
 
 @register("forecast_linear_truncated", Q.with_ctes(

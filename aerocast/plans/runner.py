@@ -47,7 +47,7 @@ def run(spark: SparkSession, input_dir: str, warehouse: str, keys=S.KEYS_STATE,
     out: dict[str, DataFrame] = {}
 
     wl = _publish(spark, ST.weather_long(spark, input_dir, keys), warehouse, "weather_monthly", ["variable", *k])
-    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, input_dir), keys)
+    pollutants = monthly.monthly_pollutant(X.pollutant_units(spark, input_dir), keys)
     feats = monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys)
     out["monthly_features"] = _publish(spark, feats, warehouse, "monthly_features", ["param", *k])
     out["weather_monthly"] = wl

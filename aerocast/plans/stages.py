@@ -22,11 +22,11 @@ STATE = S.KEYS_STATE
 
 
 def weather_long(spark: SparkSession, sf: str, keys=STATE, first: int | None = None, last: int | None = None) -> DataFrame:
-    return monthly.monthly_weather_long(X.weather_daily(spark, sf, first, last), keys)
+    return monthly.monthly_weather_long(X.weather_units(spark, sf, first, last), keys)
 
 
 def pollutant_long(spark: SparkSession, sf: str, keys=STATE, first: int | None = None, last: int | None = None) -> DataFrame:
-    m = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, first, last), keys, measures=["max_value"])
+    m = monthly.monthly_pollutant(X.pollutant_units(spark, sf, first, last), keys, measures=["max_value"])
     return m.select("param", *keys, "year", "month", F.col("max_value").alias("value"))
 
 
@@ -104,7 +104,7 @@ def feature_forecasts(spark: SparkSession, sf: str, keys=STATE, trees: int = 0,
     grid = X.grid(spark, sf, keys)
     weather = writers.stage(ahead(in_training(wl), grid, "variable", S.WEATHER_FEATURES, "value"), "weather-forecast")
     gw = writers.stage(align.combine_long(grid, weather, [*keys, "year", "month"], "variable", "prediction", WEATHER_ARM_COLUMNS), "grid-with-weather")
-    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), keys, measures=["max_value"])
+    pollutants = monthly.monthly_pollutant(X.pollutant_units(spark, sf, last=S.TRAIN_LAST_YEAR), keys, measures=["max_value"])
     features = writers.stage(in_training(monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys)), "features")
     return FeatureForecasts(wl, features, weather, gw, ahead(features, gw, "param", S.POLLUTANT_FEATURES, "max_value"))
 
@@ -143,7 +143,7 @@ def model_forecasts(spark: SparkSession, sf: str, keys=STATE, kind: str = "gbt")
 
     wl = writers.stage(weather_long(spark, sf, keys, last=S.TRAIN_LAST_YEAR), "weather-monthly")
     grid = writers.stage(X.grid(spark, sf, keys), "grid")
-    pollutants = monthly.monthly_pollutant(X.pollutant_daily(spark, sf, last=S.TRAIN_LAST_YEAR), keys)
+    pollutants = monthly.monthly_pollutant(X.pollutant_units(spark, sf, last=S.TRAIN_LAST_YEAR), keys)
     with ThreadPoolExecutor(max_workers=1) as pool:  # the one does not depend on the other
         features = pool.submit(stored_training, monthly.join_features(pollutants, monthly.spread_weather(wl, keys), keys),
                                "param", S.POLLUTANT_FEATURES, "max_value")

@@ -5,7 +5,7 @@ import random
 from decimal import Decimal
 
 from aerocast import schema as S
-from aerocast.functions.stats import exact_mean, round_sig
+from aerocast.functions.stats import exact_mean, exact_sum, round_sig
 from aerocast.operators import monthly
 from pyspark.sql import functions as F
 
@@ -72,3 +72,25 @@ def test_round_sig(spark):
     df = spark.createDataFrame([(123456789.123,), (0.000123456789123,), (0.0,), (-98765.4321,)], "x double")
     got = [r.r for r in df.select(round_sig(F.col("x"), 4).alias("r")).collect()]
     assert got == pytest.approx([123500000.0, 0.0001235, 0.0, -98770.0], rel=1e-15)
+
+
+def test_sums_of_units_are_exact(spark):
+    rng = random.Random(11)
+    values = [rng.randint(-2**60, 2**60) for _ in range(3000)] + [2**60, -2**60, 2**30, -2**30, -1, 0, 1, 2**30 - 1] * 20
+    rows = [(i % 3, v if i % 7 else None) for i, v in enumerate(values)] + [(9, None)]
+    df = spark.createDataFrame(rows, "k int, v long").repartition(7)
+    got = {r.k: r for r in df.groupBy("k").agg(exact_sum(F.col("v")).alias("s"), exact_mean("v", scale=12).alias("m")).collect()}
+    for k in range(3):
+        own = [v for key, v in rows if key == k and v is not None]
+        assert int(got[k].s) == sum(own) and got[k].m == float(Decimal(sum(own)) / 10**12) / len(own)
+    assert got[9].s is None and got[9].m is None
+
+
+def test_units_and_decimals_have_the_same_means(spark):
+    from aerocast import fixtures as X
+    sf, keys = "/root/testdata/sf0.001", S.KEYS_COUNTY
+    for a, b in ((monthly.monthly_pollutant(X.pollutant_units(spark, sf), keys), monthly.monthly_pollutant(X.pollutant_daily(spark, sf), keys)),
+                 (monthly.monthly_weather(X.weather_units(spark, sf), keys), monthly.monthly_weather(X.weather_daily(spark, sf), keys)),
+                 (monthly.monthly_weather_long(X.weather_units(spark, sf)), monthly.monthly_weather_long(X.weather_daily(spark, sf)))):
+        rows = sorted(map(tuple, a.collect()), key=repr)
+        assert rows and rows == sorted(map(tuple, b.collect()), key=repr)

@@ -191,6 +191,48 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         run, "file string, part int, chunk int, offset long, length long, doc_id long, ids array<long>")
 
 
+def read_records(rows: DataFrame, path: str) -> DataFrame:
+    """``file, offset, doc_id, ids`` of the records that ``rows`` of the index name, in the order of ``rows`` within partitions.
+
+    A shuffled or partial read: each task opens the files its rows name and fetches just the bytes of its records, whose
+    checksums are verified. ``path`` is a folder that pyarrow can open on every executor (a shared mount, hdfs, s3, gs).
+    A repeated row is read again; a row without a file, offset or length, or that is not where a record lies, raises ``ValueError``.
+    No rows give an empty result. Other columns are ignored.
+    """
+    uri = path if "://" in path or not path.startswith("file:") else "file://" + path.removeprefix("file:")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        system, folder = fs.FileSystem.from_uri(uri)
+        name, source = None, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                found = []
+                for file, offset, length in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
+                    if file is None or offset is None or length is None:
+                        raise ValueError("an index row without file, offset or length")
+                    if file != name:
+                        name, source = file, system.open_input_file(f"{folder}/{file}")
+                    found += [(file, offset, doc_id, ids) for _, _, doc_id, ids in _only(source.read_at(length, offset), file, offset)]
+                ends = np.cumsum([0, *(len(r[3]) for r in found)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in found]), pa.array([r[1] for r in found], pa.int64()), pa.array([r[2] for r in found], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[3] for r in found]).astype(np.int64)))],
+                    ["file", "offset", "doc_id", "ids"])
+
+    return rows.select("file", "offset", "length").mapInArrow(run, "file string, offset long, doc_id long, ids array<long>")
+
+
+def _only(data: bytes, file: str, offset: int) -> list:
+    try:
+        got = list(records(data))
+    except (ValueError, struct.error) as e:
+        raise ValueError(f"{file}: no record at byte {offset}") from e
+    if len(got) != 1:
+        raise ValueError(f"{file}: {len(got)} records at byte {offset}, not one")
+    return got
+
+
 def _rows(name, part, chunk, rows) -> pa.RecordBatch:
     n = len(rows)
     flat = np.concatenate([r[3] for r in rows]).astype(np.int64)

@@ -1,4 +1,3 @@
-import glob
 import zlib
 
 import numpy as np
@@ -9,6 +8,8 @@ from aerocast.session import scratch_path
 from helpers import ODD, documents, with_clashes
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,11 +50,23 @@ def test_round_trip(spark):
         before += len(w[2])
     read = T.read_token_files(spark, path).collect()
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids) for r in read) == want
-    # a shuffled read fetches records by file and offset alone
-    for r in got[::97]:
-        data = open(glob.glob(f"{path.removeprefix('file:')}/{r.file}")[0], "rb").read()[r.offset:r.offset + r.length]
-        (_, _, d, ids), = T.records(data)
-        assert d == r.doc_id and len(ids) == r.n_ids
+
+
+def test_shuffled_read(spark):
+    docs = with_clashes(documents(spark, [*ODD, (7, "a second seven"), (7, "a second seven"), *[(100 + i, f"text {i} \n" * (i % 7)) for i in range(900)]]))
+    path = T.write_token_files(docs.repartition(5), scratch_path(spark, "test-tokens"), PATH)
+    index = T.build_index(spark, path)
+    whole = {(r.file, r.offset): (r.doc_id, r.ids) for r in T.read_token_files(spark, path).collect()}
+    for rows in (index.orderBy(F.rand(3)), index.where("n_ids % 5 = 1").withColumn("doc_id", F.lit("clash")), index.union(index).repartition(3)):
+        got = [(r.file, r.offset, r.doc_id, r.ids) for r in T.read_records(rows, path).collect()]
+        assert sorted((r.file, r.offset) for r in rows.select("file", "offset").collect()) == sorted(g[:2] for g in got)
+        assert all(whole[g[:2]] == g[2:] for g in got)
+    order = index.coalesce(1).sortWithinPartitions(F.desc("ids_before"))
+    assert [(r.file, r.offset) for r in T.read_records(order, path).collect()] == [(r.file, r.offset) for r in order.collect()]
+    assert T.read_records(index.where("false"), path).count() == 0
+    for bad in (F.col("offset") + 1, F.lit(None).cast("long")):
+        with pytest.raises(PythonException):
+            T.read_records(index.withColumn("offset", bad), path).collect()
 
 
 def test_empty_table(spark):

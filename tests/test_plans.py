@@ -148,3 +148,9 @@ def test_reference_chain_has_no_full_outer_join(spark):
     import __spark_entry__ as E
     for name in ("combine_forecasts_reference", "grid_with_weather_reference"):
         assert "FullOuter" not in plan(E.queries()[name](spark, SF_SMALL), "simple")
+
+
+def test_monthly_means_keep_no_decimal_buffers(spark):
+    p = plan(monthly.monthly_features(X.pollutant_units(spark, SF_CHECK), X.weather_units(spark, SF_CHECK)))
+    partial = [line for line in p.splitlines() if line.startswith("Functions") and "partial_sum" in line]
+    assert partial and not any("decimal" in line.lower() or "UnscaledValue" in line for line in partial)

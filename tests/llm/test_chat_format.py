@@ -45,3 +45,9 @@ def test_query(spark):
     assert r.n_turns == 2 and r.loss_chars == len(CONTROL_TEXT)
     assert r.loss_sha256 == hashlib.sha256(CONTROL_TEXT.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{CONTROL_TEXT}\nassistant\n{CONTROL_TEXT}\n".encode()).hexdigest()
+
+
+def test_very_long_text(spark):
+    text = "</s>[INST] a\\ <" * 150_000
+    r = chat.format_conversations(turns(spark, [(1, 0, "user", text), (1, 1, "assistant", text)])).withColumn("back", chat.parse(F.col("formatted"))).first()
+    assert r.identical and [t.text for t in r.back] == [text, text]

@@ -47,3 +47,10 @@ def test_three_hundred_labels_and_damaged_ones(spark):
     model = lang_id.fit(documents(spark, dirty))
     assert model.languages == ["en"]
     assert [r.lang_pred for r in lang_id.predict(documents(spark, dirty[-2:]), model).collect()] == ["en", "en"]
+
+
+def test_ties_go_to_the_first_name(spark):
+    same = "the cat and the dog are in the house " * 3
+    model = lang_id.fit(documents(spark, [(i, same, "bb") for i in range(5)] + [(9 + i, same, "aa") for i in range(5)]))
+    out = lang_id.predict(documents(spark, [(1, same), (1, same), (2, "the dog")]), model).collect()
+    assert [r.lang_pred for r in out] == ["aa"] * 3

@@ -1,7 +1,7 @@
 """Embedding near-duplicates with a pivot-permutation index.
 
 Every vector is described by the ordered list of its nearest reference points
-(pivots). Inverted lists are kept per pair of pivots (per triple for very large tables): a list brings
+(pivots). Inverted lists are kept per pair of pivots (per triple where the caller asks for them): a list brings
 together the vectors that hold all of them among their nearest ``prefix`` pivots. Within a list, pairs that
 share at least ``shared`` of their nearest ``depth`` pivots are candidates; the cosine in double precision
 decides. Pivots are seeded random directions, so nothing is fitted and the index is
@@ -53,8 +53,9 @@ class Setting:
 #: at cosine 0.9 no longer meet. Recall of random pairs at cosine 0.9 exactly is 0.94 or more for each (README).
 SETTINGS = {24: Setting(1024, 7, 2, 20, 7), 12: Setting(512, 7, 2, 20, 5), 6: Setting(128, 6, 2, 16, 4), 4: Setting(32, 6, 2, 12, 2),
             3: Setting(16, 5, 2, 8, 2), 2: Setting(8, 4, 2, 6, 2), 1: Setting(2, 2, 2, 2, 2)}
-#: From so many distinct vectors on, lists of triples keep the lists of wide vectors short.
-LARGE = 1 << 28
+#: Whether wide vectors take lists of triples, which are shorter and five times as many. Never told from the table: one
+#: pair of vectors is found or not whatever else the table holds.
+LARGE = False
 LARGE_WIDE = Setting(1024, 10, 3, 24, 8)
 _PIVOT_BITS, _KEY_BITS = 10, 40
 
@@ -240,14 +241,16 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             "id", F.when(F.col("clash"), F.xxhash64("node", "vector", F.lit(seed))).otherwise(F.col("node")).alias("node"), "vector")
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", large: bool | None = None) -> DataFrame:
     """``id_col, n_links, component_id, kept`` for every row.
 
     ``n_links`` counts the other rows linked directly, equal vectors included; ``component_id``
     is the smallest id reachable. Ties (ids of equal vectors, pivots at one distance) go to the smaller one. A vector that is null, empty or zero or holds a null or
     non-finite component links with nothing and is kept; so does one with other dimensions than the rest.
     Repeated rows count as vectors of their own; other columns are ignored. An empty table gives an empty result.
+    ``large`` (by default ``LARGE``) takes lists of triples for wide vectors.
     """
+    large = bool(LARGE if large is None else large)
     v = F.col("vector")
     fine = (F.size(v) > 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) \
         & F.exists(v, lambda c: c != 0)
@@ -257,7 +260,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "id", F.when(fine, F.transform(v, lambda c: (c + F.lit(0.0)).cast(kind))).alias("vector"))  # one zero
     rows, nodes = _nodes(rows)
     flat = stage_table(rows.select("id", "node"), "vector-ids")
-    large = nodes.count() >= LARGE
     described = stage_table(nodes.select("node", "vector").mapInArrow(
         partial(_describe, large=large), "node long, keys array<long>, perm binary"), "vector-permutations")
     units = _comparisons(described.select(F.explode("keys").alias("key"), "node", "perm"), BLOCK)

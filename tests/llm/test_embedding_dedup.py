@@ -109,3 +109,11 @@ def test_defined_results(spark):
     assert [(r.n_links, r.component_id, r.kept) for r in got] == [
         *[(0, i, True) for i in range(6)], (3, 6, True), (3, 6, False), (3, 6, False), (0, 9, True), (3, 6, False), (0, 11, True)]
     assert D.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_results_do_not_depend_on_the_size_of_the_table(spark, monkeypatch):
+    t = table(spark, pairs_at(64, 600, 0.9 + 1e-9).tolist())
+    small, triples = sorted(D.near_duplicates(t).collect()), sorted(D.near_duplicates(t, large=True).collect())
+    assert small != triples  # the pairs of each setting differ at the edge
+    monkeypatch.setattr(type(t), "count", lambda self: 1 << 40)
+    assert sorted(D.near_duplicates(t).collect()) == small

@@ -20,6 +20,7 @@ and fetches just their bytes.
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -42,7 +43,8 @@ RECORDS_PER_FILE = 8_192
 CACHE_MAX = 600_000
 #: Pieces that do not end in a letter: punctuation, numbers and white space.
 MARKS_MAX = 20_000
-_MARKS = frozenset(".,;:!?")
+#: One or more of these after letters are a piece of their own. Without the apostrophe, which can begin one with letters.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
 _ID = attrgetter("id")
 _MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<II")
@@ -79,6 +81,18 @@ def records(data: bytes, start: int = 0) -> Iterator[tuple[int, int, int | None,
         at = end
 
 
+def _odd_line(text: str) -> bool:
+    """Whether a line feed stands first, last or beside white space."""
+    if "\n" in text:
+        first, *rest = text.split("\n")
+        if not first or first[-1].isspace() or not rest[-1] or rest[-1][0].isspace():
+            return True
+        for line in rest[:-1]:
+            if not line or line[0].isspace() or line[-1].isspace():
+                return True
+    return False
+
+
 class PieceEncoder:
     """The tokenizers library's ids of whole texts, with a bounded cache of pieces.
 
@@ -88,7 +102,6 @@ class PieceEncoder:
     """
 
     _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
-    _ODD_LINE = re.compile(r"\s\n|\n(?:\s|\Z)|\A\n")
     # Fixed value: the split pattern of byte-level BPE files.
     _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -112,18 +125,26 @@ class PieceEncoder:
 
     def _spaced(self, part: str) -> bytes:
         """Ids of a part and the space before it; of a key that begins with a line feed, those of the line feed and
-        the part. Letters, and letters with one mark, need no search of the pattern.
+        the part. Letters, and letters with marks after them, need no search of the pattern.
 
         The pattern takes a line feed between two non-spaces as a piece of its own.
         """
         if part.isalpha():
             return self._ids(self.space + part) if part.isascii() else self._word(" " + part)
         if part[0] == "\n":
-            return self.marks["\n"] + (self._word(part[1:]) if part[1:].isalpha() else self._part(part[1:]))
-        if part[-1] in _MARKS and part[:-1].isalpha():
-            return self.rest[part[:-1]] + self.marks[part[-1]]
+            return self.marks["\n"] + self._first(part[1:])
+        letters = part.rstrip(_MARKS)
+        if letters.isalpha():
+            return self.rest[letters] + self.marks[part[len(letters):]]
         return self._part(" " + part)
 
+    def _first(self, part: str) -> bytes:
+        """Ids of a part without a space before it."""
+        letters = part.rstrip(_MARKS)
+        if not letters.isalpha():
+            return self._part(part)
+        return self._word(letters) + (self.marks[part[len(letters):]] if len(letters) < len(part) else b"")
+
     def _part(self, part: str) -> bytes:
         if part and max(part) >= LATER:
             return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
@@ -137,7 +158,7 @@ class PieceEncoder:
         if self._ODD.search(text):
             first, *rest = self._CUT.split(text)
         else:  # where every line feed lies between two non-spaces, parts are cut before it as well
-            first, *rest = (text if self._ODD_LINE.search(text) else text.replace("\n", " \n")).split(" ")
+            first, *rest = (text if _odd_line(text) else text.replace("\n", " \n")).split(" ")
         return np.frombuffer(self._part(first) + b"".join(map(self.rest.__getitem__, rest)), dtype=np.uint32)
 
 

@@ -72,3 +72,16 @@ def test_shuffled_read(spark):
 def test_empty_table(spark):
     path = T.write_token_files(documents(spark, []), scratch_path(spark, "test-tokens"), PATH)
     assert T.build_index(spark, path).count() == 0 and T.read_token_files(spark, path).count() == 0
+
+
+def test_marks_after_letters_need_no_search(monkeypatch):
+    enc = T.PieceEncoder(PATH)
+    monkeypatch.setattr(enc, "_part", enc._word)  # the first part is "x"
+    for t in ("x word*** word,. é##| word", "x\nÉmentvié&&&\nVi. le%%%"):
+        assert enc.encode(t).tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("t", ["\n", "a\n", "\na", "a\n\nb", "a \nb", "a\n\tb", "a\x1c\nb", "a\nb\n "])
+def test_odd_lines(t):
+    assert T._odd_line(t)
+    assert not any(map(T._odd_line, ["", "a", " a ", "a\nb", "a\nb c\nd"]))

@@ -42,6 +42,19 @@ def _sums(daily: DataFrame, kind: str, keys, by=()) -> DataFrame:
         *[F.sum(c).cast("decimal(38,12)").alias(f"sum_{c}") for c in m], *[F.count(c).alias(f"n_{c}") for c in m])
 
 
+def _read_once(rows: DataFrame, kind: str, keys, path: str) -> DataFrame:
+    """Sums of the good rows by file (``good``), and a row for each file with rows that go to quarantine (not ``good``), stored in ``path``.
+
+    One pass over the files finds both.
+    """
+    good = F.col("_reason").isNull()
+    columns = [_name(kind), *keys, "date_local", *_measures(kind)]
+    own = rows.select("file", good.alias("good"), *[F.when(good, F.col(c)).alias(c) for c in columns])
+    out = _sums(own, kind, keys, ["file", "good"])
+    out.write.parquet(path)
+    return rows.sparkSession.read.schema(out.schema).parquet(path)
+
+
 def _added(df: DataFrame, kind: str, keys) -> DataFrame:
     m = _measures(kind)
     cols = [f"sum_{c}" for c in m] + [f"n_{c}" for c in m]
@@ -66,10 +79,13 @@ def ingest(spark: SparkSession, source: str, root: str, kind: str = "pollutant",
     parts, bad_rows, path = [], 0, None
     if changed:
         path = f"{root}/files-{uuid.uuid4().hex}"
-        good, bad = readers.read_daily_csv(spark, changed, kind, base_path=source, with_file=True)
-        _sums(good, kind, keys, ["file"]).write.parquet(path)
+        rows = readers.read_daily_rows(spark, changed, kind, base_path=source, with_file=True)
+        summed = _read_once(rows, kind, keys, f"{root}/read-{uuid.uuid4().hex}")
+        summed.where("good").drop("good").write.parquet(path)
+        bad = readers.parted(rows, kind)[1]
         quarantine = f"{root}/quarantine-{uuid.uuid4().hex}"
-        bad.write.parquet(quarantine)
+        # the files are read again only where some row of theirs goes to quarantine
+        (spark.createDataFrame([], bad.schema) if summed.where("NOT good").isEmpty() else bad).write.parquet(quarantine)
         bad_rows = spark.read.schema(bad.schema).parquet(quarantine).count()
         parts.append(spark.read.parquet(path).drop("file"))
     if state["totals"]:

@@ -25,10 +25,17 @@ _FILE_CODE = r"daily_([A-Za-z0-9_]+?)_(\d{4})\.csv"
 
 def _num(raw: str, t: T.DataType) -> Column:
     if isinstance(t, T.IntegralType):  # "24" and "24.0" both read as 24
-        return F.expr(f"try_cast(try_cast(`{raw}` AS DECIMAL(38,6)) AS {t.simpleString()})")
+        number = F.expr(f"try_cast(try_cast(`{raw}` AS DECIMAL(38,6)) AS {t.simpleString()})")
+        return F.when(_plain(raw, t), F.expr(f"try_cast(`{raw}` AS {t.simpleString()})")).otherwise(number)
     return F.expr(f"try_cast(`{raw}` AS {t.simpleString()})")
 
 
+def _plain(raw: str, t: T.DataType) -> Column:
+    """Whether the text is a number that the type surely holds exactly: few digits, no exponent, no white space."""
+    digits, places = (9, 0) if isinstance(t, T.IntegralType) else (t.precision - t.scale, t.scale)
+    return F.col(f"`{raw}`").rlike(rf"^[+-]?[0-9]{{1,{digits}}}" + (rf"(\.[0-9]{{1,{places}}})?" if places else "") + r"\z")
+
+
 def _code_from_path(df: DataFrame, col: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), _FILE_CODE, 1 if col == "code" else 2)
 
@@ -44,6 +51,21 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
     Returns ``(good, quarantine)``; quarantine rows keep the raw text and a
     ``reason``.
     """
+    return parted(read_daily_rows(spark, paths, kind, code, key_columns, base_path, with_file), kind)
+
+
+def parted(rows: DataFrame, kind: str = "pollutant") -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)`` of what ``read_daily_rows`` read."""
+    good = rows.where(F.col("_reason").isNull()).drop(*[c for c in rows.columns if c.startswith("_")])
+    bad = rows.where(F.col("_reason").isNotNull()).select(
+        "param" if kind == "pollutant" else "variable", F.col("_raw_state").alias("raw_state_code"), F.col("_raw_date").alias("raw_date"),
+        F.col("_reason").alias("reason"))
+    return good, bad
+
+
+def read_daily_rows(spark: SparkSession, paths, kind: str = "pollutant", code: str | None = None,
+                    key_columns=("State Code", "County Code"), base_path: str | None = None, with_file: bool = False) -> DataFrame:
+    """All rows of raw daily CSV files, good or not (``read_daily_csv``), with ``_reason``: null, or why the row goes to quarantine."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     at = {} if base_path is None else {"basePath": base_path}
     raw = (spark.read.options(**at).option("header", True).option("inferSchema", False)
@@ -84,13 +106,8 @@ def read_daily_csv(spark: SparkSession, paths, kind: str = "pollutant", code: st
     for m in measures:  # a value that does not parse, or does not fit its type exactly, is not cut or lost
         text = F.nullif(F.trim(F.col(f"_raw_{m}")), F.lit(""))
         wide = text.try_cast("decimal(38,18)")
-        reason = reason.when(text.isNotNull() & (F.col(m).isNull() | (wide != F.col(m))), F.lit(f"bad {m}"))
-    typed = typed.withColumn("_reason", reason)
-    good = typed.where(F.col("_reason").isNull()).drop("_reason", "_file_year", "_raw_state", "_raw_date", *[f"_raw_{m}" for m in measures])
-    bad = typed.where(F.col("_reason").isNotNull()).select(
-        name_col, F.col("_raw_state").alias("raw_state_code"), F.col("_raw_date").alias("raw_date"),
-        F.col("_reason").alias("reason"))
-    return good, bad
+        reason = reason.when(text.isNotNull() & ~_plain(f"_raw_{m}", types[m]) & (F.col(m).isNull() | (wide != F.col(m))), F.lit(f"bad {m}"))
+    return typed.withColumn("_reason", reason)
 
 
 def read_grid_csv(spark: SparkSession, path: str, keys=S.KEYS_STATE) -> DataFrame:

@@ -3,7 +3,7 @@ import os
 import pytest
 from aerocast import schema as S
 from aerocast.operators import monthly
-from aerocast.sources import incremental, tables, writers
+from aerocast.sources import incremental, readers, tables, writers
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,3 +105,21 @@ def test_one_changed_file_is_read(spark, tmp_path):
     assert len(again.read) == 1 and "param=44201/year=1999" in again.read[0] and len(again.removed) == 1
     want = daily(spark, [1998, 2000]).unionByName(daily(spark, [1999]).where("param <> '44201'")).unionByName(daily(spark, [1999], 5).where("param = '44201'"))
     assert means() == sorted(map(tuple, monthly.monthly_pollutant(want, ["state_code"]).collect()))
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_files_are_read_once_and_odd_rows_found(spark, tmp_path, monkeypatch, odd):
+    src, root = tmp_path / "csv/param=44201/year=1999", str(tmp_path / "state")
+    src.mkdir(parents=True)
+    head = ["State Code", "County Code", "Date Local", *[{v: k for k, v in S.DAILY_CSV_COLUMNS.items()}[m] for m in S.MEASURES]]
+    rows = ["1,10,1999-01-01,24,50.5,1.5,3,0.25", "1,10,1999-01-02,24.0,50.5, 2.5,3,1e-2"]
+    rows += ["1,10,1999-01-03,24,50.5,1.12345678901,3,0.25", "x,10,1999-01-03,24,50.5,1,3,0.25", "1,10,1999-01-03,1999999999999,50.5,1,3,0.25"] * odd
+    (src / "a.csv").write_text("\n".join([",".join(head), *rows]) + "\n")
+    bad = lambda *a: (None, readers_parted(*a)[1].select(F.raise_error(F.lit("read again")).cast("string").alias("reason")))
+    readers_parted = readers.parted
+    if not odd:  # no second pass over the files
+        monkeypatch.setattr(readers, "parted", bad)
+    done = incremental.ingest(spark, str(tmp_path / "csv"), root, keys=["state_code"])
+    assert done.quarantined == 3 * odd and len(done.read) == 1
+    (row,) = incremental.monthly_means(spark, root, keys=["state_code"]).collect()
+    assert (row.observation_count, row.max_value, row.arithmetic_mean) == (24.0, 2.0, 0.13)
